@@ -69,9 +69,8 @@ def category_list(sold: DataFrame) -> DataFrame:
 
 def category_count(sold: DataFrame, n: int = 10) -> DataFrame:
     """One row: number of categories sold, and how many of them the top n hold."""
-    in_top = top_categories(sold, n).agg(F.count(CATEGORY)).scalar()
     counts = items_per_category(sold).agg(F.count(CATEGORY).alias("no_categories"))
-    return counts.withColumn("no_top_categories", in_top)
+    return counts.withColumn("no_top_categories", F.least("no_categories", F.lit(n).cast("long")))
 
 
 def category_share(sold: DataFrame, n: int = 10) -> DataFrame:

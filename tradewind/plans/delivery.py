@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_date, days_between, percent
@@ -38,14 +38,14 @@ def delay_profile(orders: DataFrame) -> DataFrame:
     return count_by(days, "undelivered", "days_late", name="no_orders")
 
 
+def _delayed(profile: DataFrame) -> DataFrame:
+    """A number of days implies a delivery date, so the profile has one row for each."""
+    return profile.filter(F.col("days_late") > 0).select(F.col("days_late").alias("days_delayed"), "no_orders")
+
+
 def delay_histogram(profile: DataFrame) -> DataFrame:
     """``days_delayed, no_orders`` of the delayed orders, by days."""
-    return (
-        profile.filter(F.col("days_late") > 0)
-        .groupBy(F.col("days_late").alias("days_delayed"))
-        .agg(F.sum("no_orders").alias("no_orders"))
-        .orderBy("days_delayed")
-    )
+    return _delayed(profile).orderBy("days_delayed")
 
 
 def delay_stats(profile: DataFrame) -> DataFrame:
@@ -116,14 +116,15 @@ def delay_percentage(
     """The histogram with ``percentage`` of all delayed orders.
 
     ``first_n`` keeps the first n distinct delays, ``day_range`` those between two numbers of days.
+    The total is a window over the histogram, which has one row per day at most; a separate sum
+    would not share the pass over the orders once the range is pushed into it.
     """
-    histogram = delay_histogram(profile)
-    delayed = profile.filter(F.col("days_late") > 0).agg(F.sum("no_orders").alias("n")).scalar()
+    delayed = F.sum("no_orders").over(Window.partitionBy(F.lit(True)))
+    histogram = _delayed(profile).withColumn("percentage", percent(F.col("no_orders"), delayed))
     if day_range is not None:
         histogram = histogram.filter(F.col("days_delayed").between(*day_range))
-    if first_n is not None:
-        histogram = histogram.limit(first_n)
-    return histogram.withColumn("percentage", percent(F.col("no_orders"), delayed))
+    histogram = histogram.orderBy("days_delayed")
+    return histogram if first_n is None else histogram.limit(first_n)
 
 
 def delayed_exactly(profile: DataFrame, days: int) -> DataFrame:

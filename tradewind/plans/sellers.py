@@ -24,8 +24,8 @@ ONE_SELLER = {"seller_state": "In this state is only one seller", "seller_city":
 
 
 def seller_earnings(order_items: DataFrame) -> DataFrame:
-    """``seller_id, earned``: sum of prices in cents."""
-    return order_items.groupBy("seller_id").agg(sum_cents("price").alias("earned"))
+    """``seller_id, earned``: sum of prices in cents. Items without a seller are left out."""
+    return order_items.filter(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(sum_cents("price").alias("earned"))
 
 
 def seller_sales(order_items: DataFrame, sellers: DataFrame) -> DataFrame:
