@@ -63,10 +63,9 @@ def delay_stats(profile: DataFrame) -> DataFrame:
     )
     rows = F.col("count").cast("double")
     total, squares = F.col("total").cast("double"), F.col("squares").cast("double")
-    spread = F.try_divide(squares - total * F.try_divide(total, rows), rows - 1)
-    return sums.select(
-        "count", F.try_divide(total, rows).alias("mean"), F.sqrt(F.greatest(spread, F.lit(0.0))).alias("stddev"), "min", "max"
-    )
+    mean = F.try_divide(total, rows)
+    spread = F.when(rows > 1, F.greatest(squares - total * mean, F.lit(0.0)) / (rows - 1))
+    return sums.select("count", mean.alias("mean"), F.sqrt(spread).alias("stddev"), "min", "max")
 
 
 def delay_summary(profile: DataFrame) -> DataFrame:

@@ -27,8 +27,9 @@ def read_csv(
     return reader.schema(schema).csv(path, enforceSchema=False)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, *, compression: str = "zstd", partition_by: Sequence[str] = ()) -> None:
