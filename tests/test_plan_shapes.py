@@ -1,0 +1,84 @@
+"""Plans that must hold at any table size."""
+
+import pytest
+from conftest import TESTDATA
+from plans import executed_plan, full_plan, scans
+
+import __spark_entry__ as registry
+
+FOLDER = str(TESTDATA / "sf0.001")
+WRITING = {"ingest_roundtrip", "report_bundle"}
+# Orders serve as customers too; the profile reads each column by itself; items are read for totals, then for months.
+SEVERAL_READS = {"month_spending_unique", "table_profile", "top_seller_months"}
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def joins(spark, request):
+    """Once as planned for small tables, once with every join as a shuffle."""
+    if request.param == "shuffle":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITING))
+def test_joins_stay_on_keys_and_big_tables_are_read_once(spark, joins, name):
+    df = registry.queries()[name](spark, FOLDER)
+    plan = executed_plan(df)
+    everything = full_plan(df)
+    for slow in ("CartesianProduct", "NestedLoop", "EvalPython", "MapInPandas", "ExistingRDD", "MapPartitions"):
+        assert slow not in everything, slow
+    if joins == "shuffle":
+        assert "BroadcastHashJoin" not in plan
+    if name not in SEVERAL_READS:
+        assert scans(plan)["lineitem"] <= 1
+        assert scans(plan)["orders"] <= 1
+
+
+def test_top_seller_months_scans_items_twice(spark, joins):
+    # Once for the totals of all sellers, once for the items of the few top sellers.
+    plan = full_plan(registry.queries()["top_seller_months"](spark, FOLDER)).split("== Initial Plan ==")
+    reads = {line.split("Batched")[0] for part in plan for line in part.split("\n") if "lineitem.parquet" in line}
+    assert "array_contains" in plan[0]
+    assert len([r for r in reads if "l_orderkey" in r and "l_extendedprice" in r]) >= 1
+    assert "ReusedExchange" in "".join(plan)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["status_pipeline", "delivered_share", "pipeline_without_delivered", "status_list"],
+)
+def test_unused_join_is_dropped(spark, name):
+    plan = executed_plan(registry.queries()[name](spark, FOLDER))
+    assert scans(plan) == {"orders": 1}
+    assert "ReadSchema: struct<o_orderstatus:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["max_payment_one_year", "month_spending"])
+def test_year_reaches_the_scan(spark, name):
+    plan = executed_plan(registry.queries()[name](spark, FOLDER))
+    scan = next(line for line in plan.split("\n") if "orders.parquet" in line)
+    pushed = scan.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in pushed and "LessThan(o_orderdate,1998-01-01" in pushed
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "top_products_per_category", "top_products_numbered", "max_payment_by_month", "month_spending",
+        "month_spending_unique", "top_sellers_state", "top_sellers_city", "best_sellers_state_wide",
+    ],
+)
+def test_groups_are_cut_before_the_shuffle(spark, joins, name):
+    plan = full_plan(registry.queries()[name](spark, FOLDER))
+    partial = [line for line in plan.split("\n") if "WindowGroupLimit" in line and "Partial" in line]
+    assert partial
+
+
+def test_lookup_and_pruned_columns(spark):
+    plan = executed_plan(registry.queries()["key_lookup"](spark, FOLDER))
+    assert "EqualTo(o_custkey,17)" in plan
+    plan = executed_plan(registry.queries()["items_per_category"](spark, FOLDER))
+    assert "ReadSchema: struct<l_partkey:bigint>" in plan
+    plan = executed_plan(registry.queries()["top_sellers_state"](spark, FOLDER))
+    assert "ReadSchema: struct<l_suppkey:bigint,l_extendedprice:double>" in plan
