@@ -17,6 +17,7 @@ from tradewind.operators import (
     prune_to_keys,
     require_unique,
     sample_points,
+    sorted_lists,
     sum_by,
     top_ranked,
     top_rows,
@@ -97,6 +98,18 @@ def test_count_by_weights_and_nulls(spark):
     assert found(count_by(df, "k", name="n", weight="n")) == sorted([("x", 5), (None, 4)], key=str)
 
 
+def test_sorted_lists(spark):
+    rows = [("big", f"v{i:03}") for i in range(95)] * 2 + [("small", "b"), ("small", "a"), ("small", "b")]
+    df = spark.createDataFrame(rows, "k string, v string")
+    whole = {r.k: r.vs for r in sorted_lists(df, "k", "v", alias="vs", per_row=100).collect()}
+    assert whole == {"big": [f"v{i:03}" for i in range(95)], "small": ["a", "b"]}
+    split = sorted_lists(df, "k", "v", alias="vs", per_row=20).collect()
+    parts = [r.vs for r in split if r.k == "big"]
+    assert len(parts) == 5 and max(map(len, parts)) < 40
+    assert sorted(sum(parts, [])) == whole["big"] and all(part == sorted(part) for part in parts)
+    assert [r.vs for r in split if r.k == "small"] == [["a", "b"]]
+
+
 def test_sum_by_checks_names(spark):
     df = spark.createDataFrame([("x", "p", 2.0), ("x", "q", 3.0)], "d string, e string, m double")
     assert found(sum_by(df, "d", "m", dimensions=["d", "e"], measures=["m"])) == [("x", 5.0)]

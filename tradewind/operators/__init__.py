@@ -1,6 +1,6 @@
 """Generic DataFrame operators; column names are parameters."""
 
-from .aggregates import count_by, mean_by_key, sum_by
+from .aggregates import count_by, mean_by_key, sorted_lists, sum_by
 from .checks import distinct_ratio, duplicate_groups, look_up, null_counts, profile, require_unique, sample_points
 from .joins import match_keys, prune_to_keys
 from .topn import best_wide, top_ranked, top_rows, top_with_rest
@@ -18,6 +18,7 @@ __all__ = [
     "prune_to_keys",
     "require_unique",
     "sample_points",
+    "sorted_lists",
     "sum_by",
     "top_ranked",
     "top_rows",

@@ -29,3 +29,16 @@ def mean_by_key(df: DataFrame, key: str, **columns: str) -> DataFrame:
     Collapses a lookup that has many rows per key, so that joining it cannot multiply rows.
     """
     return df.groupBy(key).agg(*(F.avg(source).alias(name) for name, source in columns.items()))
+
+
+def sorted_lists(df: DataFrame, key: str, value: str, *, alias: str, per_row: int) -> DataFrame:
+    """``key, alias``: the distinct values of each key as sorted arrays.
+
+    A key has one row, unless its values are more than ``per_row``. Then they are dealt by hash to as
+    many rows as that takes, about ``per_row`` in each, so no task ever has to hold more and nothing
+    is left out.
+    """
+    pairs = df.select(key, value).distinct()
+    rows = pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / per_row).alias("_rows"))
+    dealt = pairs.join(rows, key).withColumn("_row", F.pmod(F.xxhash64(value), F.col("_rows")))
+    return dealt.groupBy(key, "_row").agg(F.sort_array(F.collect_list(value)).alias(alias)).drop("_row")

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_date, cents, in_year, merge_cents, month_label, to_amount, year_before_last
-from ..operators import prune_to_keys, top_rows
+from ..operators import prune_to_keys, sorted_lists, top_rows
 
 PURCHASE = "order_purchase_timestamp"
+# An array of this many ids of 32 characters takes some 50 MB.
+IDS_PER_ROW = 1_000_000
 
 
 def max_payment_by_month(orders: DataFrame, payments: DataFrame, year: int | None = None) -> DataFrame:
@@ -59,24 +61,24 @@ def month_spending(paid: DataFrame) -> DataFrame:
     )
 
 
-def month_spending_unique(paid: DataFrame, customers: DataFrame) -> DataFrame:
+def month_spending_unique(paid: DataFrame, customers: DataFrame, *, ids_per_row: int = IDS_PER_ROW) -> DataFrame:
     """``order_purchase_month, customer_unique_id, month_payment, customer_ids``: the same per person.
 
-    The array lists all ids of the person, in order. Ids are gathered for the winners only.
+    The array lists all ids of the person, in order; ids are gathered for the winners only. A winner
+    with more than ``ids_per_row`` ids has several rows, which share the ids between them.
     """
-    ids = customers.select("customer_id", "customer_unique_id")
+    ids = customers.select("customer_unique_id", F.col("customer_id").cast("string").alias("customer_id"))
     per_person = (
-        paid.join(ids, "customer_id")
+        paid.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("order_purchase_month", "customer_unique_id")
         .agg(merge_cents("paid").alias("paid"))
     )
     best = top_rows(per_person, ["order_purchase_month"], "paid", 1, tie_break=["customer_unique_id"])
-    best = best.select("order_purchase_month", "customer_unique_id", to_amount("paid").alias("month_payment"))
-    ids = prune_to_keys(ids, "customer_unique_id", best.select("customer_unique_id"))
+    winners_ids = prune_to_keys(ids, "customer_unique_id", best.select("customer_unique_id"))
+    lists = sorted_lists(winners_ids, "customer_unique_id", "customer_id", alias="customer_ids", per_row=ids_per_row)
     return (
-        best.join(ids, "customer_unique_id")
-        .groupBy("order_purchase_month", "customer_unique_id", "month_payment")
-        .agg(F.sort_array(F.collect_set(F.col("customer_id").cast("string"))).alias("customer_ids"))
+        best.join(lists, "customer_unique_id")
+        .select("order_purchase_month", "customer_unique_id", to_amount("paid").alias("month_payment"), "customer_ids")
         .orderBy("order_purchase_month")
     )
 
