@@ -160,6 +160,19 @@ register(
     SELECT count(*) AS count, round(avg(days_delayed), 6) AS mean, round(stddev_samp(days_delayed), 6) AS stddev,
            min(days_delayed) AS min, max(days_delayed) AS max FROM late""",
 )
+register(
+    "delay_summary",
+    lambda t: delivery.delay_summary(delays(t)),
+    f"""WITH {DELAYED}, n AS (
+        SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(days_delayed) AS DOUBLE) AS total,
+               CAST(sum(days_delayed * days_delayed) AS DOUBLE) AS squares FROM late
+    )
+    SELECT 'count' AS summary, CAST(count(*) AS VARCHAR) AS days_delayed FROM late
+    UNION ALL SELECT 'mean', CAST(total / n AS VARCHAR) FROM n
+    UNION ALL SELECT 'stddev', CAST(sqrt((squares - total * (total / n)) / (n - 1)) AS VARCHAR) FROM n
+    UNION ALL SELECT 'min', CAST(min(days_delayed) AS VARCHAR) FROM late
+    UNION ALL SELECT 'max', CAST(max(days_delayed) AS VARCHAR) FROM late""",
+)
 register(
     "order_structure",
     lambda t: delivery.order_structure(delays(t)),
