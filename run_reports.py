@@ -29,6 +29,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--suffix", default="")
     parser.add_argument("--file", action="append", default=[], metavar="TABLE=PATH")
     parser.add_argument("--ingest", help="write the CSV tables to this folder as Parquet first")
+    parser.add_argument("--multi-line", nargs="+", default=[], metavar="TABLE", help="CSV tables with line breaks in quotes")
+    parser.add_argument("--orders-by-year", action="store_true", help="partition ingested orders by year of purchase")
     parser.add_argument("--output", required=True)
     parser.add_argument("--families", nargs="+", choices=list(bundle.FAMILIES), default=list(bundle.FAMILIES))
     parser.add_argument("--year", type=int, help="year of the spending report; default: the last full year")
@@ -43,7 +45,10 @@ def input_tables(spark: SparkSession, args: argparse.Namespace) -> bundle.Tables
     tables = SCHEMAS if args.ingest else REPORT_TABLES
     paths = {t: named.get(t, f"{args.csv.rstrip('/')}/{args.prefix}{t}{args.suffix}.csv") for t in tables}
     if args.ingest:
-        ingest(spark, paths, args.ingest, compression=args.compression)
+        ingest(
+            spark, paths, args.ingest, compression=args.compression, multi_line=args.multi_line,
+            orders_by_year=args.orders_by_year,
+        )
         return open_tables(spark, args.ingest, REPORT_TABLES)
     return open_csv_tables(spark, paths)
 

@@ -66,7 +66,7 @@ def test_batch_job(spark, csv_folder, tmp_path, capsys, monkeypatch):
     common = ["--csv", str(csv_folder), "--prefix", "shop_"]
     run_reports.main([*common, "--output", from_csv])
     assert set(capsys.readouterr().out.split()) == set(SCHEMA)
-    run_reports.main([*common, "--ingest", str(tmp_path / "tables"), "--output", from_parquet])
+    run_reports.main([*common, "--ingest", str(tmp_path / "tables"), "--orders-by-year", "--output", from_parquet])
     for name, ddl in SCHEMA.items():
         result = read_parquet(spark, table_path(from_csv, name))
         assert result.dtypes == [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)], name

@@ -12,6 +12,7 @@ from tradewind.functions import (
     merge_cents,
     month_label,
     month_start,
+    on_or_after,
     pick,
     sum_cents,
     to_amount,
@@ -70,6 +71,7 @@ def test_in_year(spark, kind):
         df = df.select(F.col("t").cast(kind).alias("t"))
     assert df.filter(in_year(df, "t", 2017)).count() == 2
     assert df.filter(in_year(df, "t", year_before_last(df, "t"))).count() == 2
+    assert df.filter(on_or_after(df, "t", "2017-12-31")).count() == 2
 
 
 def test_months(spark):

@@ -5,6 +5,8 @@ from conftest import TESTDATA
 from plans import executed_plan, full_plan, scans
 
 import __spark_entry__ as registry
+from tradewind.plans import sellers
+from tradewind.sources import StarTables
 
 FOLDER = str(TESTDATA / "sf0.001")
 WRITING = {"ingest_roundtrip", "report_bundle"}
@@ -62,6 +64,22 @@ def test_year_reaches_the_scan(spark, name):
     assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in pushed and "LessThan(o_orderdate,1998-01-01" in pushed
 
 
+def test_first_day_reaches_the_scan(spark):
+    tables = StarTables(spark, FOLDER)
+    plan = executed_plan(sellers.top_seller_months(tables.order_items, tables.orders, since="1999-05-01"))
+    assert "GreaterThanOrEqual(o_orderdate,1999-05-01" in plan
+
+
+def test_long_ties_stay_spread(spark):
+    """All sellers of a state tie; only the n first rows of a state meet, the rest is a join."""
+    sales = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id AS seller_id", "if(id % 3 = 0, 'hot', concat('s', id % 50)) AS seller_state", "500L AS earned"
+    )
+    best = sellers.top_sellers(sales, "seller_state", 2)
+    assert best.count() == 40_000
+    assert "functions=[rank" not in executed_plan(best) and "[rank(" not in executed_plan(best)
+
+
 @pytest.mark.parametrize(
     "name",
     [

@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from plans import executed_plan
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tradewind.plans.spenders import month_payments
 from tradewind.sources import (
     SCHEMAS,
     columns_at,
@@ -98,6 +100,19 @@ def test_ingest_by_year_prunes_folders(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("year", [2018, None])
+def test_year_reports_read_the_folders_of_that_year_only(spark, tmp_path, year):
+    orders = ORDERS + "o3,c3,shipped,2012-01-02 10:56:33,,,,2012-01-18 00:00:00\n"
+    orders += "o4,c4,shipped,2019-01-02 10:56:33,,,,2019-01-18 00:00:00\n"
+    ingest(spark, {"orders": save(tmp_path / "o.csv", orders)}, str(tmp_path / "p"), orders_by_year=True)
+    table = read_parquet(spark, table_path(str(tmp_path / "p"), "orders"))
+    payments = spark.createDataFrame([(f"o{i}", 1.0 * i) for i in range(1, 5)], "order_id string, payment_value double")
+    paid = month_payments(table, payments, year=year)
+    assert [tuple(r) for r in paid.collect()] == [(1, "c2", 200)]
+    scan = next(line for line in executed_plan(paid).split("\n") if "PartitionFilters: [isnotnull(order_purchase_year" in line)
+    assert "order_purchase_year" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def test_ingest_rejects_unknown_tables(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown"):
         ingest(spark, {"order": "x.csv"}, str(tmp_path))

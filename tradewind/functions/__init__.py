@@ -1,7 +1,7 @@
 """Column expressions shared by the operators and the report plans."""
 
 from .bands import band, pick
-from .dates import as_date, days_between, in_year, month_label, month_start, year_before_last
+from .dates import as_date, days_between, in_year, month_label, month_start, on_or_after, year_before_last
 from .money import cents, merge_cents, sum_cents, to_amount
 from .ratios import percent, ratio
 
@@ -14,6 +14,7 @@ __all__ = [
     "merge_cents",
     "month_label",
     "month_start",
+    "on_or_after",
     "percent",
     "pick",
     "ratio",

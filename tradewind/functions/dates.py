@@ -32,22 +32,33 @@ def month_label(month: Column) -> Column:
     return F.date_format(F.make_date(F.lit(2000), month, F.lit(1)), "MMM")
 
 
-def in_year(df: DataFrame, name: str, year: int | Column) -> Column:
-    """True for rows of one calendar year.
-
-    Written as a range over the stored value in the column's own type, so that a fixed year reaches
-    the Parquet scan; ``year(ts) = y`` would not.
-    """
+def _on_or_after(df: DataFrame, name: str, day: Column) -> Column:
+    """Compares the stored value in its own type, so that a fixed day reaches the Parquet scan."""
     kind = df.schema[name].dataType
     if isinstance(kind, StringType):
-        value, kind = as_date(df, name), "date"
-    else:
-        value = df[name]
-    if isinstance(year, int):
-        first, following = F.lit(f"{year:04d}-01-01").cast("date"), F.lit(f"{year + 1:04d}-01-01").cast("date")
-    else:
-        first, following = F.make_date(year, F.lit(1), F.lit(1)), F.make_date(year + 1, F.lit(1), F.lit(1))
-    return (value >= first.cast(kind)) & (value < following.cast(kind))
+        return as_date(df, name) >= day
+    return df[name] >= day.cast(kind)
+
+
+def on_or_after(df: DataFrame, name: str, day: str) -> Column:
+    """True from one day (``yyyy-MM-dd``) on."""
+    return _on_or_after(df, name, F.lit(day).cast("date"))
+
+
+def in_year(df: DataFrame, name: str, year: int | Column, *, partition: str | None = None) -> Column:
+    """True for rows of one calendar year, as a range; ``year(ts) = y`` would not reach the scan.
+
+    ``partition`` names a year column the table may be partitioned by. Its neighbour years are read
+    too, since the year was cut in the time zone of the job that wrote the table.
+    """
+    first, following = (
+        F.lit(f"{y:04d}-01-01").cast("date") if isinstance(y, int) else F.make_date(y, F.lit(1), F.lit(1))
+        for y in (year, year + 1)
+    )
+    wanted = _on_or_after(df, name, first) & ~_on_or_after(df, name, following)
+    if partition in df.columns:
+        wanted &= df[partition].between(year - 1, year + 1)
+    return wanted
 
 
 def year_before_last(df: DataFrame, name: str) -> Column:

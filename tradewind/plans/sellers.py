@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_date, band, merge_cents, month_start, pick, sum_cents, to_amount
+from ..functions import as_date, band, merge_cents, month_start, on_or_after, pick, sum_cents, to_amount
 from ..operators import best_wide, match_keys, mean_by_key, prune_to_keys, top_ranked
 
 # Band limits, marker sizes and marker colours.
@@ -122,7 +122,9 @@ def top_seller_months(
     """
     best = top_ranked(seller_earnings(order_items), [], "earned", n).select("seller_id")
     day = as_date(orders, "order_purchase_timestamp")
-    wanted = (F.month(day) >= from_month) | (F.year(day) >= from_year) if since is None else day >= F.lit(since).cast("date")
+    wanted = (F.month(day) >= from_month) | (F.year(day) >= from_year)
+    if since is not None:
+        wanted = on_or_after(orders, "order_purchase_timestamp", since)
     placed = orders.filter(wanted).select("order_id", month_start(day).alias("date"))
     items = prune_to_keys(order_items.select("order_id", "seller_id", "price"), "seller_id", best)
     per_month = items.join(placed, "order_id").groupBy("seller_id", "date").agg(sum_cents("price").alias("earned"))

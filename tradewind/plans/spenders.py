@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_date, cents, in_year, merge_cents, month_label, to_amount, year_before_last
 from ..operators import prune_to_keys, sorted_lists, top_rows
+from ..sources.schemas import YEAR_PARTITION
 
 PURCHASE = "order_purchase_timestamp"
 # An array of this many ids of 32 characters takes some 50 MB.
@@ -25,7 +26,7 @@ def max_payment_by_month(orders: DataFrame, payments: DataFrame, year: int | Non
     """
     largest = payments.groupBy("order_id").agg(F.max(cents("payment_value")).alias("paid"))
     if year is not None:
-        orders = orders.filter(in_year(orders, PURCHASE, year))
+        orders = orders.filter(in_year(orders, PURCHASE, year, partition=YEAR_PARTITION))
     day = as_date(orders, PURCHASE)
     placed = orders.select("order_id", "customer_id", F.month(day).alias("month"), F.year(day).alias("year"))
     best = top_rows(placed.join(largest, "order_id"), ["year", "month"], "paid", 1, tie_break=["customer_id"])
@@ -41,7 +42,8 @@ def month_payments(
     one.
     """
     wanted = year_before_last(orders, PURCHASE) if year is None else year
-    placed = orders.filter((F.col("order_status") != excluded_status) & in_year(orders, PURCHASE, wanted)).select(
+    bought = in_year(orders, PURCHASE, wanted, partition=YEAR_PARTITION)
+    placed = orders.filter((F.col("order_status") != excluded_status) & bought).select(
         "order_id", "customer_id", F.month(as_date(orders, PURCHASE)).alias("order_purchase_month")
     )
     per_order = payments.groupBy("order_id").agg(F.sum(cents("payment_value")).alias("paid"))

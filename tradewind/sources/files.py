@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.dates import TEXT_FORMAT
-from .schemas import SCHEMAS
+from .schemas import SCHEMAS, YEAR_PARTITION
 
 
 def read_csv(
@@ -59,20 +59,22 @@ def ingest(
     compression: str = "zstd",
     multi_line: Sequence[str] = (),
     orders_by_year: bool = False,
+    **options,
 ) -> None:
     """Convert CSV tables to Parquet, one ``<table>.parquet`` folder each.
 
     ``csv_paths`` maps table names of ``SCHEMAS`` to files. ``multi_line`` names tables whose quoted
-    text holds line breaks. ``orders_by_year`` partitions orders by year of purchase.
+    text holds line breaks. ``orders_by_year`` partitions orders by year of purchase. Other options
+    go to the CSV reader.
     """
     unknown = sorted(set(csv_paths) - set(SCHEMAS))
     if unknown:
         raise ValueError(f"unknown tables {unknown}; known are {sorted(SCHEMAS)}")
     for table, path in csv_paths.items():
-        df, partition_by = read_csv(spark, path, SCHEMAS[table], multi_line=table in multi_line), ()
+        df, partition_by = read_csv(spark, path, SCHEMAS[table], multi_line=table in multi_line, **options), ()
         if table == "orders" and orders_by_year:
-            df = df.withColumn("order_purchase_year", F.year("order_purchase_timestamp"))
-            partition_by = ("order_purchase_year",)
+            df = df.withColumn(YEAR_PARTITION, F.year("order_purchase_timestamp"))
+            partition_by = (YEAR_PARTITION,)
         write_table(df, table_path(folder, table), compression=compression, partition_by=partition_by)
 
 

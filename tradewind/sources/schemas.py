@@ -44,3 +44,6 @@ SCHEMAS = {
     "sellers": SELLERS,
     "category_translation": CATEGORY_TRANSLATION,
 }
+
+# Column that orders may be partitioned by.
+YEAR_PARTITION = "order_purchase_year"
