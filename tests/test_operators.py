@@ -1,7 +1,9 @@
 import random
+import re
 
 import pandas as pd
 import pytest
+from plans import executed_plan
 from pyspark.sql import functions as F
 
 from tradewind.operators import (
@@ -110,6 +112,18 @@ def test_sorted_lists(spark):
     assert [r.vs for r in split if r.k == "small"] == [["a", "b"]]
 
 
+def test_values_of_a_big_key_never_meet_by_key_alone(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(2000).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS v")
+        plan = executed_plan(sorted_lists(df, "k", "v", alias="vs", per_row=20))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_key = [part for part in plan.split("Exchange hashpartitioning(")[1:] if re.match(r"k#\d+L, \d+\)", part)]
+    # Only the count per key does, combined before the shuffle.
+    assert len(by_key) == 1 and "partial_count" in by_key[0].split("\n")[1]
+
+
 def test_sum_by_checks_names(spark):
     df = spark.createDataFrame([("x", "p", 2.0), ("x", "q", 3.0)], "d string, e string, m double")
     assert found(sum_by(df, "d", "m", dimensions=["d", "e"], measures=["m"])) == [("x", 5.0)]
@@ -131,6 +145,8 @@ def test_pruning_never_changes_the_join(spark, at_most):
     assert pruned.count() == (20 if at_most > 1 else 100)
     assert match_keys(pruned, "k", keys).count() == 20
     assert prune_to_keys(df, "k", keys.limit(0)).count() == 0
+    nothing = df.limit(1).select(F.lit(None).cast("long").alias("k"))
+    assert prune_to_keys(nothing, "k", keys, at_most=at_most).count() == 0
 
 
 def test_profile(spark):

@@ -14,12 +14,13 @@ def prune_to_keys(df: DataFrame, key: str, keys: DataFrame, *, at_most: int = SH
 
     The list is computed inside the same query, and never more than ``at_most + 1`` keys of it are
     gathered. If it turns out to be longer, nothing is dropped here. So this only saves work: it
-    must be followed by a join with ``keys``, which decides exactly at any length.
+    must be followed by a join with ``keys``, which decides exactly at any length. Rows without a key
+    cannot match and are always dropped.
     """
     name = keys.columns[0]
     short = keys.distinct().limit(at_most + 1)
     listed = short.agg(F.when(F.count(F.lit(1)) <= at_most, F.collect_list(name)).alias("listed")).scalar()
-    return df.filter(F.coalesce(F.array_contains(listed, df[key]), F.lit(True)))
+    return df.filter(df[key].isNotNull() & F.coalesce(F.array_contains(listed, df[key]), F.lit(True)))
 
 
 def match_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
