@@ -327,7 +327,11 @@ register(
     lambda t: spenders.winner_count(largest_in_year(t)),
     f"WITH {LARGEST} SELECT count(DISTINCT customer_id) AS no_customers FROM largest WHERE place = 1 AND year = {YEAR}",
 )
-register("status_list", lambda t: spenders.status_list(t.orders), "SELECT DISTINCT o_orderstatus AS order_status FROM orders")
+register(
+    "status_list",
+    lambda t: spenders.status_list(t.orders),
+    "SELECT DISTINCT o_orderstatus AS order_status FROM orders",
+)
 
 
 # Sellers and places.
@@ -348,7 +352,8 @@ for label, place in (("state", "seller_state"), ("city", "seller_city")):
     register(
         f"top_sellers_{label}",
         lambda t, place=place: sellers.top_sellers(sales(t), place),
-        f"WITH {ranked_sales(place)} SELECT seller_id, {place}, CAST(revenue AS DOUBLE) AS revenue FROM ranked WHERE rnk <= 2",
+        f"""WITH {ranked_sales(place)}
+        SELECT seller_id, {place}, CAST(revenue AS DOUBLE) AS revenue FROM ranked WHERE rnk <= 2""",
     )
     register(
         f"best_sellers_{label}_wide",

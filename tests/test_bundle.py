@@ -8,6 +8,7 @@ import run_reports
 from tradewind.plans import bundle, categories, delivery, pipeline, sellers, shipping, spenders
 from tradewind.sources import SCHEMAS, StarTables, read_parquet, table_path
 
+TOTALS = "revenue double, count bigint, lat double, lng double, size bigint, colors string"
 SCHEMA = {
     bundle.DELAY_HISTOGRAM: "days_delayed int, no_orders bigint",
     bundle.DELAY_STATISTICS: "summary string, days_delayed string",
@@ -21,8 +22,8 @@ SCHEMA = {
     "customer_ids array<string>",
     bundle.BEST_SELLERS_STATE: "seller_state string, 1_best_seller string, 2_best_seller string",
     bundle.BEST_SELLERS_CITY: "seller_city string, 1_best_seller string, 2_best_seller string",
-    bundle.STATE_SALES: "seller_state string, revenue double, count bigint, lat double, lng double, size bigint, colors string",
-    bundle.CITY_SALES: "seller_city string, revenue double, count bigint, lat double, lng double, size bigint, colors string",
+    bundle.STATE_SALES: f"seller_state string, {TOTALS}",
+    bundle.CITY_SALES: f"seller_city string, {TOTALS}",
     bundle.STATUS_PIPELINE: "order_status string, amount bigint",
     bundle.SHIP_AHEAD: "two_days boolean, count bigint",
 }

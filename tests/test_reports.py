@@ -15,13 +15,13 @@ def found(df):
 @pytest.fixture
 def orders(spark):
     rows = [
-        # id, customer, status, bought, handed over, delivered, promised
-        ("o1", "c1", "delivered", "2017-01-05 10:00:00", "2017-01-07 08:00:00", "2017-01-10 23:00:00", "2017-01-10 00:00:00"),
-        ("o2", "c2", "delivered", "2017-01-06 10:00:00", "2017-01-08 08:00:00", "2017-01-11 01:00:00", "2017-01-10 00:00:00"),
-        ("o3", "c3", "delivered", "2017-02-01 10:00:00", "2017-02-20 08:00:00", "2017-02-28 01:00:00", "2017-02-18 00:00:00"),
-        ("o4", "c4", "canceled", "2017-02-02 10:00:00", None, None, "2017-02-18 00:00:00"),
-        ("o5", "c5", None, "2018-03-01 10:00:00", "2018-03-03 10:00:00", None, "2018-03-20 00:00:00"),
-        ("o6", "c1", "delivered", "2017-12-31 23:59:59", "2018-01-02 10:00:00", "2018-01-03 10:00:00", None),
+        # id, customer, status, bought; then handed over, delivered, promised
+        ("o1", "c1", "delivered", "2017-01-05 10:00:00") + ("2017-01-07 08:00:00", "2017-01-10 23:00:00", "2017-01-10 00:00:00"),
+        ("o2", "c2", "delivered", "2017-01-06 10:00:00") + ("2017-01-08 08:00:00", "2017-01-11 01:00:00", "2017-01-10 00:00:00"),
+        ("o3", "c3", "delivered", "2017-02-01 10:00:00") + ("2017-02-20 08:00:00", "2017-02-28 01:00:00", "2017-02-18 00:00:00"),
+        ("o4", "c4", "canceled", "2017-02-02 10:00:00") + (None, None, "2017-02-18 00:00:00"),
+        ("o5", "c5", None, "2018-03-01 10:00:00") + ("2018-03-03 10:00:00", None, "2018-03-20 00:00:00"),
+        ("o6", "c1", "delivered", "2017-12-31 23:59:59") + ("2018-01-02 10:00:00", "2018-01-03 10:00:00", None),
     ]
     names = "order_id customer_id order_status order_purchase_timestamp order_delivered_carrier_date".split()
     names += ["order_delivered_customer_date", "order_estimated_delivery_date"]
@@ -62,8 +62,10 @@ def test_delay_numbers_of_no_orders(orders):
 
 
 def test_shipping_is_strict(spark):
-    rows = [("exactly", "2017-01-01", "2017-01-03"), ("more", "2017-01-01", "2017-01-04"), ("late", "2017-01-09", "2017-01-04"),
-            ("not sent", None, "2017-01-04"), ("no promise", "2017-01-01", None), (None, "2017-01-01", "2017-01-09")]
+    rows = [
+        ("exactly", "2017-01-01", "2017-01-03"), ("more", "2017-01-01", "2017-01-04"), ("late", "2017-01-09", "2017-01-04"),
+        ("not sent", None, "2017-01-04"), ("no promise", "2017-01-01", None), (None, "2017-01-01", "2017-01-09"),
+    ]
     orders = spark.createDataFrame(
         rows, "order_id string, order_delivered_carrier_date string, order_estimated_delivery_date string"
     ).withColumns({c: F.concat(F.col(c), F.lit(" 12:00:00")) for c in
@@ -72,7 +74,8 @@ def test_shipping_is_strict(spark):
     assert {r.order_id: (r.two_days, r.critical) for r in flags.collect()} == {
         "exactly": (False, True), "more": (True, False), "late": (False, True)
     }
-    labels = {r.two_days: (r["count"], r.label) for r in shipping.with_ship_label(shipping.ship_ahead_counts(flags)).collect()}
+    counts = shipping.with_ship_label(shipping.ship_ahead_counts(flags))
+    labels = {r.two_days: (r["count"], r.label) for r in counts.collect()}
     assert labels == {True: (1, shipping.SHIPPED_EARLY), False: (2, shipping.SHIPPED_LATE)}
 
 
@@ -85,7 +88,8 @@ def test_pipeline(orders):
 
 @pytest.fixture
 def sold(spark):
-    items = spark.createDataFrame([(p,) for p in ["p1"] * 5 + ["p2"] * 3 + ["p3"] * 3 + ["p4"] * 3 + ["p5", "p6", None, "p8"]], "product_id string")
+    sales = ["p1"] * 5 + ["p2"] * 3 + ["p3"] * 3 + ["p4"] * 3 + ["p5", "p6", None, "p8"]
+    items = spark.createDataFrame([(p,) for p in sales], "product_id string")
     products = spark.createDataFrame(
         [("p1", "a"), ("p2", "b"), ("p3", "b"), ("p4", "b"), ("p5", "b"), ("p6", None), ("p7", "a"), ("p8", "zz")],
         "product_id string, product_category_name string",
@@ -129,7 +133,8 @@ def test_month_spending(spark, orders, payments):
     paid = spenders.month_payments(orders, payments)  # the newest order is of 2018, so 2017
     best = [(1, "c1", 30.3), (2, "c3", 5.0), (12, "c1", 1.0)]
     assert [tuple(r) for r in spenders.month_spending(paid).collect()] == best
-    assert found(spenders.month_spending(spenders.month_payments(orders, payments, year=2017))) == found(spenders.month_spending(paid))
+    in_2017 = spenders.month_payments(orders, payments, year=2017)
+    assert found(spenders.month_spending(in_2017)) == best
     labels = spenders.with_month_label(spenders.month_spending(paid))
     assert [r.month_label for r in labels.collect()] == ["Jan", "Feb", "Dec"]
 
@@ -150,7 +155,8 @@ def market(spark):
         "order_id string, seller_id string, price double",
     )
     places = spark.createDataFrame(
-        [("s1", 10, "X", "A"), ("s2", 10, "X", "A"), ("s3", 11, "X", "B"), ("s4", 12, "Y", "A"), ("s5", 99, "Z", "C"), ("idle", 10, "X", "A")],
+        [("s1", 10, "X", "A"), ("s2", 10, "X", "A"), ("s3", 11, "X", "B"), ("s4", 12, "Y", "A"), ("s5", 99, "Z", "C"),
+         ("idle", 10, "X", "A")],
         "seller_id string, seller_zip_code_prefix int, seller_city string, seller_state string",
     )
     geo = spark.createDataFrame(
@@ -193,7 +199,8 @@ def test_place_totals(market):
 
 def test_null_places(spark, market):
     items, places, geo = market
-    sales = sellers.seller_sales(items, places.withColumn("seller_city", F.when(F.col("seller_city") != "X", F.col("seller_city"))))
+    unknown = F.when(F.col("seller_city") != "X", F.col("seller_city"))
+    sales = sellers.seller_sales(items, places.withColumn("seller_city", unknown))
     by_state = {r.seller_state: r["count"] for r in sellers.state_totals(sales, geo).collect()}
     assert by_state == {"A": 1, "B": 0, "C": 1}
     assert {r.seller_id for r in sellers.top_sellers(sales, "seller_city", 1).collect()} == {"s1", "s2", "s4", "s5"}

@@ -67,13 +67,17 @@ def test_line_breaks_in_quotes(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("codec", ["gzip", "zstd", "snappy"])
-def test_ingest(spark, tmp_path, codec):
-    paths = {"orders": save(tmp_path / "o.csv", ORDERS), "category_translation": save(tmp_path / "t.csv", TRANSLATION, bom=True)}
+@pytest.mark.parametrize(("codec", "ending"), [("gzip", "gz"), ("zstd", "zstd"), ("snappy", "snappy")])
+def test_ingest(spark, tmp_path, codec, ending):
+    paths = {
+        "orders": save(tmp_path / "o.csv", ORDERS),
+        "category_translation": save(tmp_path / "t.csv", TRANSLATION, bom=True),
+    }
     out = str(tmp_path / "parquet")
     for _ in range(2):  # the second run replaces the first
         ingest(spark, paths, out, compression=codec)
-    assert any(codec in file.name or codec[:2] in file.name for file in (tmp_path / "parquet/orders.parquet").glob("*.parquet"))
+    files = [file.name for file in (tmp_path / "parquet/orders.parquet").glob("*.parquet")]
+    assert files and all(f".{ending}.parquet" in name for name in files)
     tables, csv = open_tables(spark, out, list(paths)), open_csv_tables(spark, paths)
     for name in paths:
         assert tables[name].dtypes == csv[name].dtypes
@@ -109,7 +113,7 @@ def test_year_reports_read_the_folders_of_that_year_only(spark, tmp_path, year):
     payments = spark.createDataFrame([(f"o{i}", 1.0 * i) for i in range(1, 5)], "order_id string, payment_value double")
     paid = month_payments(table, payments, year=year)
     assert [tuple(r) for r in paid.collect()] == [(1, "c2", 200)]
-    scan = next(line for line in executed_plan(paid).split("\n") if "PartitionFilters: [isnotnull(order_purchase_year" in line)
+    scan = next(line for line in executed_plan(paid).split("\n") if "orders.parquet" in line and "order_status" in line)
     assert "order_purchase_year" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 

@@ -3,8 +3,8 @@
 Prices arrive as doubles with two decimals. Summing them as doubles depends on the order in which
 partitions arrive; summing decimals is exact but several times slower, because each value is
 boxed. Whole cents in a long are exact and stay in generated code. A per-key sum can hold
-9.2e16 currency units before ANSI mode raises an overflow error; sums over many keys are therefore
-merged as 38-digit decimals, which is cheap on the few pre-aggregated rows.
+9.2e16 currency units before ANSI mode, Spark's default, raises an overflow error; sums over many
+keys are therefore merged as 38-digit decimals, which is cheap on the few pre-aggregated rows.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ def top_rows(
     """At most ``n`` rows per group, largest measure first, equal measures in ``tie_break`` order.
 
     The filter sits directly on the window, so Spark keeps ``n`` rows per group in every task before
-    the shuffle (``WindowGroupLimit``) and a hot group never arrives whole in one task.
+    the shuffle (``WindowGroupLimit``) and a hot group never arrives whole in one task. Spark does so
+    up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default.
     """
     order = Window.partitionBy(*groups).orderBy(F.desc(measure), *tie_break)
     return df.withColumn(position, F.row_number().over(order)).filter(F.col(position) <= n)

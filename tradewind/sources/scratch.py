@@ -29,4 +29,4 @@ def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write an intermediate table and read it back: lost executors cost no recomputation before it."""
     path = f"{folder}/{name}"
     write_table(df, path)
-    return read_parquet(df.sparkSession, path)
+    return read_parquet(df.sparkSession, path, df.schema)
