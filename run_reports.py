@@ -3,8 +3,9 @@
     spark-submit run_reports.py --parquet /data/tables --output /data/results
     spark-submit run_reports.py --csv /data/csv --prefix shop_ --suffix _dataset --output /data/results --families sellers
 
-CSV files are named <prefix><table><suffix>.csv; --file TABLE=PATH overrides one. --ingest FOLDER
-converts them to Parquet first and reads that.
+Inputs are named <prefix><table><suffix>.csv or .parquet; --file TABLE=PATH overrides one. --ingest
+FOLDER converts CSV to Parquet first and reads that. In cluster deploy mode add the package with
+--py-files.
 """
 
 from __future__ import annotations
@@ -14,17 +15,14 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tradewind.plans import bundle
-from tradewind.sources import SCHEMAS, ingest, open_csv_tables, open_tables
-
-# Reviews are ingested, but no report reads them.
-REPORT_TABLES = tuple(table for table in SCHEMAS if table != "order_reviews")
+from tradewind.sources import SCHEMAS, ingest, open_csv_tables, open_tables, read_parquet
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser()
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--csv", help="folder of CSV files")
-    source.add_argument("--parquet", help="folder of ingested tables")
+    source.add_argument("--parquet", help="folder of Parquet tables")
     parser.add_argument("--prefix", default="")
     parser.add_argument("--suffix", default="")
     parser.add_argument("--file", action="append", default=[], metavar="TABLE=PATH")
@@ -35,21 +33,27 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--families", nargs="+", choices=list(bundle.FAMILIES), default=list(bundle.FAMILIES))
     parser.add_argument("--year", type=int, help="year of the spending report; default: the last full year")
     parser.add_argument("--compression", default="zstd")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.ingest and args.parquet:
+        parser.error("--ingest converts CSV files; it needs --csv")
+    return args
 
 
 def input_tables(spark: SparkSession, args: argparse.Namespace) -> bundle.Tables:
-    if args.parquet:
-        return open_tables(spark, args.parquet, REPORT_TABLES)
+    """The tables that the chosen families need; ``--ingest`` converts all nine."""
+    needed = bundle.needed_tables(args.families)
     named = dict(item.split("=", 1) for item in args.file)
-    tables = SCHEMAS if args.ingest else REPORT_TABLES
-    paths = {t: named.get(t, f"{args.csv.rstrip('/')}/{args.prefix}{t}{args.suffix}.csv") for t in tables}
+    folder, ending = (args.parquet, "parquet") if args.parquet else (args.csv, "csv")
+    tables = SCHEMAS if args.ingest else needed
+    paths = {t: named.get(t, f"{folder.rstrip('/')}/{args.prefix}{t}{args.suffix}.{ending}") for t in tables}
+    if args.parquet:
+        return {table: read_parquet(spark, path) for table, path in paths.items()}
     if args.ingest:
         ingest(
             spark, paths, args.ingest, compression=args.compression, multi_line=args.multi_line,
             orders_by_year=args.orders_by_year,
         )
-        return open_tables(spark, args.ingest, REPORT_TABLES)
+        return open_tables(spark, args.ingest, needed)
     return open_csv_tables(spark, paths)
 
 

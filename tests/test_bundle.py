@@ -78,11 +78,30 @@ def test_batch_job(spark, csv_folder, tmp_path, capsys, monkeypatch):
     assert rows(bundle.report_statuses(spark, from_csv)) == [("canceled", 12)]
 
     only = str(tmp_path / "c")
-    run_reports.main(["--parquet", str(tmp_path / "tables"), "--output", only, "--families", "spenders", "--year", "2018"])
+    orders = f"orders={tmp_path / 'tables' / 'orders.parquet'}"
+    for table in ("order_payments", "customers"):
+        read_parquet(spark, table_path(str(tmp_path / "tables"), table)).write.parquet(str(tmp_path / f"named/a_{table}_b.parquet"))
+    run_reports.main(
+        ["--parquet", str(tmp_path / "named"), "--prefix", "a_", "--suffix", "_b", "--file", orders]
+        + ["--output", only, "--families", "spenders", "--year", "2018"]
+    )
+    with pytest.raises(SystemExit):
+        run_reports.arguments(["--parquet", "x", "--ingest", "y", "--output", "z"])
     assert sorted(p.name for p in (tmp_path / "c").iterdir()) == [f"{n}.parquet" for n in
                                                                 (bundle.MONTH_SPENDING, bundle.MONTH_SPENDING_UNIQUE)]
 
 
+def test_a_family_needs_its_own_tables_only(spark, csv_folder, tmp_path):
+    assert set(bundle.NEEDED_TABLES) == set(bundle.FAMILIES)
+    for family in bundle.FAMILIES:
+        alone = tmp_path / family
+        alone.mkdir()
+        for table in bundle.needed_tables([family]):
+            (alone / f"{table}.csv").write_bytes((csv_folder / f"shop_{table}.csv").read_bytes())
+        run_reports.main(["--csv", str(alone), "--output", str(tmp_path / "out"), "--families", family])
+    assert {p.name.removesuffix(".parquet") for p in (tmp_path / "out").iterdir()} == set(SCHEMA)
+
+
 def test_bundle_equals_single_reports(spark, tmp_path):
     tables = StarTables(spark, "/root/testdata/sf0.001").tables()
     out = str(tmp_path)

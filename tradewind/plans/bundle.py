@@ -104,6 +104,17 @@ FAMILIES: dict[str, Callable[[Tables, Callable, Settings], Iterator[tuple[str, D
     "spenders": spender_results,
     "sellers": seller_results,
 }
+NEEDED_TABLES = {
+    "orders": ("orders",),
+    "categories": ("order_items", "products", "category_translation"),
+    "spenders": ("orders", "order_payments", "customers"),
+    "sellers": ("order_items", "sellers", "geolocation"),
+}
+
+
+def needed_tables(families: Sequence[str]) -> list[str]:
+    """The input tables that some report families read."""
+    return sorted({table for family in families for table in NEEDED_TABLES[family]})
 
 
 def write_reports(
