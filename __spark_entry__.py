@@ -22,7 +22,7 @@ from tradewind.operators import (
     sample_points,
     sum_by,
 )
-from tradewind.plans import bundle, categories, delivery, pipeline, sellers, shipping, spenders
+from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
 from tradewind.sources import SCHEMAS, StarTables, columns_at, first_rows, ingest, open_tables, scratch_folder
 from tradewind.sources.star import CANCELED, DELIVERED
 
@@ -399,17 +399,17 @@ register(
 # Order status and early shipping.
 STATUS = "status AS (SELECT o_orderstatus AS order_status, count(*) AS amount FROM orders GROUP BY 1)"
 register(
-    "status_pipeline", lambda t: pipeline.status_pipeline(t.orders), f"WITH {STATUS} SELECT order_status, amount FROM status"
+    "orders_per_status", lambda t: status.orders_per_status(t.orders), f"WITH {STATUS} SELECT order_status, amount FROM status"
 )
 register(
     "delivered_share",
-    lambda t: pipeline.delivered_share(pipeline.status_pipeline(t.orders), DELIVERED),
+    lambda t: status.delivered_share(status.orders_per_status(t.orders), DELIVERED),
     f"""SELECT count(*) AS orders, count(*) FILTER (WHERE o_orderstatus = '{DELIVERED}') AS delivered,
         CAST(count(*) FILTER (WHERE o_orderstatus = '{DELIVERED}') AS DOUBLE) / count(*) AS delivered_share FROM orders""",
 )
 register(
-    "pipeline_without_delivered",
-    lambda t: pipeline.pipeline_without(pipeline.status_pipeline(t.orders), DELIVERED),
+    "orders_without_delivered",
+    lambda t: status.without_status(status.orders_per_status(t.orders), DELIVERED),
     f"WITH {STATUS} SELECT order_status, amount FROM status WHERE order_status <> '{DELIVERED}'",
 )
 AHEAD = f"""{ORDERS},
@@ -536,7 +536,7 @@ BUNDLE_ROWS = {
     bundle.DELAY_HISTOGRAM: "(SELECT count(DISTINCT days_delayed) FROM late)",
     bundle.DELAY_STATISTICS: "5",
     bundle.ORDER_STRUCTURE: "3",
-    bundle.STATUS_PIPELINE: "(SELECT count(DISTINCT o_orderstatus) FROM orders)",
+    bundle.ORDERS_PER_STATUS: "(SELECT count(DISTINCT o_orderstatus) FROM orders)",
     bundle.SHIP_AHEAD: "(SELECT count(DISTINCT date_diff('day', carrier, estimated) > 2) FROM placed)",
     bundle.TOP_CATEGORIES: "(SELECT count(*) + 1 FROM top_categories)",
     bundle.TOP_PRODUCTS: "(SELECT count(*) FROM per_product WHERE place < 4)",

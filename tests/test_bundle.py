@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import run_reports
-from tradewind.plans import bundle, categories, delivery, pipeline, sellers, shipping, spenders
+from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
 from tradewind.sources import SCHEMAS, StarTables, read_parquet, table_path
 
 TOTALS = "revenue double, count bigint, lat double, lng double, size bigint, colors string"
@@ -24,7 +24,7 @@ SCHEMA = {
     bundle.BEST_SELLERS_CITY: "seller_city string, 1_best_seller string, 2_best_seller string",
     bundle.STATE_SALES: f"seller_state string, {TOTALS}",
     bundle.CITY_SALES: f"seller_city string, {TOTALS}",
-    bundle.STATUS_PIPELINE: "order_status string, amount bigint",
+    bundle.ORDERS_PER_STATUS: "order_status string, amount bigint",
     bundle.SHIP_AHEAD: "two_days boolean, count bigint",
 }
 
@@ -116,7 +116,7 @@ def test_bundle_equals_single_reports(spark, tmp_path):
         bundle.DELAY_HISTOGRAM: delivery.delay_histogram(days),
         bundle.DELAY_STATISTICS: delivery.delay_summary(days),
         bundle.ORDER_STRUCTURE: delivery.order_structure(days),
-        bundle.STATUS_PIPELINE: pipeline.status_pipeline(orders),
+        bundle.ORDERS_PER_STATUS: status.orders_per_status(orders),
         bundle.SHIP_AHEAD: shipping.ship_ahead_counts(shipping.ship_ahead_flag(orders)),
         bundle.TOP_CATEGORIES: categories.top_categories_rest(sold),
         bundle.TOP_PRODUCTS: categories.top_products(sold),
@@ -131,7 +131,7 @@ def test_bundle_equals_single_reports(spark, tmp_path):
         assert rows(read_parquet(spark, table_path(out, name))) == rows(df), name
     # Sums and counts that must agree between the results.
     assert sum(r[1] for r in rows(single[bundle.ORDER_STRUCTURE])) == orders.count()
-    assert sum(r[1] for r in rows(single[bundle.STATUS_PIPELINE])) == orders.count()
+    assert sum(r[1] for r in rows(single[bundle.ORDERS_PER_STATUS])) == orders.count()
     assert sum(r[0] for r in single[bundle.TOP_CATEGORIES].collect()) == sold.agg(F.sum("together")).first()[0]
     delayed = dict(rows(single[bundle.ORDER_STRUCTURE]))["Delayed"]
     assert delayed == sum(r[1] for r in rows(single[bundle.DELAY_HISTOGRAM])) == delivery.delay_stats(days).first()["count"]

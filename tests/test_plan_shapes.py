@@ -48,7 +48,7 @@ def test_top_seller_months_scans_items_twice(spark, joins):
 
 @pytest.mark.parametrize(
     "name",
-    ["status_pipeline", "delivered_share", "pipeline_without_delivered", "status_list"],
+    ["orders_per_status", "delivered_share", "orders_without_delivered", "status_list"],
 )
 def test_unused_join_is_dropped(spark, name):
     plan = executed_plan(registry.queries()[name](spark, FOLDER))

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tradewind.plans import categories, delivery, pipeline, sellers, shipping, spenders
+from tradewind.plans import categories, delivery, sellers, shipping, spenders, status
 
 
 def found(df):
@@ -79,11 +79,11 @@ def test_shipping_is_strict(spark):
     assert labels == {True: (1, shipping.SHIPPED_EARLY), False: (2, shipping.SHIPPED_LATE)}
 
 
-def test_pipeline(orders):
-    amounts = pipeline.status_pipeline(orders)
+def test_status(orders):
+    amounts = status.orders_per_status(orders)
     assert found(amounts) == sorted([("delivered", 4), ("canceled", 1), (None, 1)], key=str)
-    assert tuple(pipeline.delivered_share(amounts).first()) == (6, 4, 4 / 6)
-    assert found(pipeline.pipeline_without(amounts)) == sorted([("canceled", 1), (None, 1)], key=str)
+    assert tuple(status.delivered_share(amounts).first()) == (6, 4, 4 / 6)
+    assert found(status.without_status(amounts)) == sorted([("canceled", 1), (None, 1)], key=str)
 
 
 @pytest.fixture

@@ -3,7 +3,7 @@
 import pytest
 from conftest import TESTDATA
 
-from tradewind.plans import categories, delivery, pipeline, spenders
+from tradewind.plans import categories, delivery, spenders, status
 from tradewind.sources import StarTables
 
 
@@ -69,8 +69,8 @@ def test_largest_payments(spark, tables):
     assert rows(sql) == rows(spenders.max_payment_by_month(tables["orders"], tables["order_payments"], year=1997))
 
 
-def test_status_pipeline(spark, tables):
+def test_orders_per_status(spark, tables):
     sql = spark.sql(
         "SELECT order_status, count(order_status) AS amount FROM {orders} GROUP BY order_status", orders=tables["orders"]
     )
-    assert rows(sql) == rows(pipeline.status_pipeline(tables["orders"]))
+    assert rows(sql) == rows(status.orders_per_status(tables["orders"]))

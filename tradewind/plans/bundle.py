@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import as_date
 from ..operators import count_by, require_unique
 from ..sources import materialize, read_parquet, scratch_folder, table_path, write_table
-from . import categories, delivery, pipeline, sellers, shipping, spenders
+from . import categories, delivery, sellers, shipping, spenders, status
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,7 +34,7 @@ BEST_SELLERS_STATE = "4_task_city_best_sellers_state_df"
 BEST_SELLERS_CITY = "4_task_city_best_sellers_df"
 STATE_SALES = "4_task_salesstate_df"
 CITY_SALES = "4_task_salescity_df"
-STATUS_PIPELINE = "5_task_delivery_pipeline"
+ORDERS_PER_STATUS = "5_task_delivery_pipeline"
 SHIP_AHEAD = "6_task_two_days"
 
 
@@ -66,7 +66,7 @@ def order_results(tables: Tables, keep: Callable, settings: Settings) -> Iterato
     yield DELAY_HISTOGRAM, delivery.delay_histogram(profile)
     yield DELAY_STATISTICS, delivery.delay_summary(profile)
     yield ORDER_STRUCTURE, delivery.order_structure(profile)
-    yield STATUS_PIPELINE, pipeline.status_pipeline(summary, weight="no_orders")
+    yield ORDERS_PER_STATUS, status.orders_per_status(summary, weight="no_orders")
     yield SHIP_AHEAD, shipping.ship_ahead_counts(summary, weight="no_orders")
 
 
@@ -147,6 +147,6 @@ def report_map(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def report_statuses(spark: SparkSession, folder: str, status: str = "delivered") -> DataFrame:
-    """Status pipeline without its dominant status, from the written result table."""
-    return pipeline.pipeline_without(read_parquet(spark, table_path(folder, STATUS_PIPELINE)), status)
+def report_statuses(spark: SparkSession, folder: str, dominant: str = "delivered") -> DataFrame:
+    """Orders per status without the dominant one, from the written result table."""
+    return status.without_status(read_parquet(spark, table_path(folder, ORDERS_PER_STATUS)), dominant)
