@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .files import read_parquet
 
@@ -13,23 +16,11 @@ DELIVERED, CANCELED = "F", "P"
 # Brands 1 ... 24 have a translated name; the 25th has none.
 TRANSLATED_BRANDS = 24
 
-# Given schemas save the job that reads a footer to infer them.
-STAR_SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": """
-        o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,
-        o_orderpriority string
-    """,
-    "lineitem": """
-        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
-        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
-        l_shipdate timestamp_ntz
-    """,
-}
+
+@lru_cache(maxsize=None)
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """Types as written, looked up once per session and path, since each look-up is a job."""
+    return read_parquet(spark, path).schema
 
 
 class StarTables:
@@ -40,7 +31,8 @@ class StarTables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", STAR_SCHEMAS[name])
+        path = f"{self.folder}/{name}.parquet"
+        return read_parquet(self.spark, path, stored_schema(self.spark, path))
 
     @property
     def orders(self) -> DataFrame:
