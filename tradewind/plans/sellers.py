@@ -118,7 +118,8 @@ def top_seller_months(
 
     Keeps months from ``from_month`` on in any year and all months from ``from_year`` on; with
     ``since`` (a date), all months from that date on instead. The few top sellers are known before
-    items meet orders, so only their items are shuffled.
+    items meet orders, so only their items are shuffled, summed per order and seller first, lest one
+    order with very many items make one long task.
     """
     best = top_ranked(seller_earnings(order_items), [], "earned", n).select("seller_id")
     day = as_date(orders, "order_purchase_timestamp")
@@ -127,7 +128,8 @@ def top_seller_months(
         wanted = on_or_after(orders, "order_purchase_timestamp", since)
     placed = orders.filter(wanted).select("order_id", month_start(day).alias("date"))
     items = prune_to_keys(order_items.select("order_id", "seller_id", "price"), "seller_id", best)
-    per_month = items.join(placed, "order_id").groupBy("seller_id", "date").agg(sum_cents("price").alias("earned"))
+    per_order = items.groupBy("order_id", "seller_id").agg(sum_cents("price").alias("earned"))
+    per_month = per_order.join(placed, "order_id").groupBy("seller_id", "date").agg(F.sum("earned").alias("earned"))
     return (
         match_keys(per_month, "seller_id", best)
         .select("seller_id", "date", to_amount("earned").alias("month_earnings"))
