@@ -70,6 +70,17 @@ def test_first_day_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,1999-05-01" in plan
 
 
+@pytest.mark.parametrize("name", ["top_seller_months", "month_spending", "max_payment_by_month", "latest_purchase"])
+def test_items_of_an_order_are_combined_before_they_are_shuffled(spark, joins, name):
+    """No scan of items goes straight into a shuffle, so an order with very many items is a row per task."""
+    lines = full_plan(registry.queries()[name](spark, FOLDER)).split("\n")
+    reads = [i for i, line in enumerate(lines) if "FileScan" in line and "lineitem.parquet" in line]
+    assert reads
+    for i in reads:
+        exchange = max(n for n in range(i) if "Exchange " in lines[n])
+        assert any("HashAggregate" in line for line in lines[exchange:i]), name
+
+
 def test_long_ties_stay_spread(spark):
     """All sellers of a state tie; only the n first rows of a state meet, the rest is a join."""
     sales = spark.range(0, 40_000, 1, 8).selectExpr(
