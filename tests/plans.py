@@ -3,25 +3,37 @@
 import re
 from collections import Counter
 
+HIDDEN = ("WholeStageCodegenExec", "InputAdapter")
+
+
+def _below(node, kind):
+    if kind == "AdaptiveSparkPlanExec":
+        return [node.executedPlan()]
+    if kind.endswith("QueryStageExec"):
+        return [node.plan()]
+    if kind.startswith("Reused"):
+        return []
+    both = (node.subqueries(), node.children())
+    return [nodes.apply(i) for nodes in both for i in range(nodes.size())]
+
+
+def _walk(node):
+    kind = node.getClass().getSimpleName()
+    if kind not in HIDDEN:
+        yield node.simpleString(100)
+    for child in _below(node, kind):
+        yield from _walk(child)
+
 
 def executed_plan(df):
-    """The final plan of a query that has run, without the initial plans kept for comparison."""
+    """One line per node of the final plan of a query that has run, parents first; reused parts appear once."""
     df.collect()
-    lines, hidden = [], None
-    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
-        indent = len(line) - len(line.lstrip(" :+-"))
-        if hidden is not None and indent > hidden:
-            continue
-        hidden = indent - 3 if "== Initial Plan ==" in line else None
-        if hidden is None:
-            lines.append(line)
-    return "\n".join(lines)
+    return "\n".join(_walk(df._jdf.queryExecution().executedPlan()))
 
 
 def full_plan(df):
     """Everything Spark prints about an executed query."""
-    if "isFinalPlan=false" in df._jdf.queryExecution().executedPlan().toString():
-        df.collect()
+    df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
