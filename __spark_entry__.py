@@ -558,6 +558,18 @@ register(
 )
 
 
+# The training-data operators, where they are installed.
+try:
+    import corpus_pipeline
+    from tradewind.llm import queries as training
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tradewind.llm"):
+        raise
+else:
+    ENTRIES.update({name: (run, training.ORACLES.get(name)) for name, run in training.QUERIES.items()})
+    ENTRIES["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Top two sellers of every state."""
     return queries()["top_sellers_state"](spark, "/root/testdata/sf0.001")
