@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, packing, tokenfiles
+from . import counting, mixing, packing, tokenfiles
 from .common import reach_workers, shared_folder
 
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    placed, parts = mixing.mix(documents(spark, folder), weights=[3, 1, 2], share=1.5, most=2.0)
+    return mixing.words_taken(placed, parts)
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents(spark, folder), tokenizer("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
@@ -38,4 +43,4 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.token_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_token_counts, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op9_token_files)}
