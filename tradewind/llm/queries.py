@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, mixing, packing, tokenfiles
-from .common import reach_workers, shared_folder
+from . import counting, langid, mixing, packing, rules, tokenfiles
+from .common import crc_of_id, reach_workers, shared_folder
 
 ORACLES: dict[str, str] = {}
 
@@ -37,10 +37,22 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.judge(documents(spark, folder))
+    return found.drop("covered_words", "longest_repeat")
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = crc_of_id() % 3 == 1
+    found = langid.predict(docs, langid.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "tokens")
     tokenfiles.write_tokens(documents(spark, folder), path, tokenizer("word_bpe_49k.json"), end_id=1)
     return tokenfiles.token_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op9_token_files)}
