@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, langid, mixing, packing, rules, tokenfiles
-from .common import crc_of_id, reach_workers, shared_folder
+from . import counting, langid, mixing, packing, quality, rules, simhash, tokenfiles
+from .common import crc_of_id, reach_workers, shared_folder, written
 
 ORACLES: dict[str, str] = {}
 
@@ -49,10 +49,27 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def quality_model(spark: SparkSession, measured: DataFrame, folder: str) -> quality.Model | None:
+    """From the labels of rows that aren't held out."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(crc_of_id() % 4 != 2)
+    return quality.fit(measured, labels.select("doc_id", F.col("quality").alias("label")))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    measured = written(quality.measure(documents(spark, folder)), "statistics")
+    found = quality.score(measured, quality_model(spark, measured, folder))
+    held_out, predicted = crc_of_id() % 4 == 2, (F.col("score") >= 0.7).cast("int")
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op8_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder), shingle=4, bits=4)
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "tokens")
     tokenfiles.write_tokens(documents(spark, folder), path, tokenizer("word_bpe_49k.json"), end_id=1)
     return tokenfiles.token_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files)}
