@@ -69,7 +69,7 @@ def running_totals(
     )
 
 
-def text_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes of text, or of one row."""
     sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     ends = np.cumsum(sizes)
@@ -80,8 +80,8 @@ def text_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         done, start = int(ends[stop - 1]), stop
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of Arrow batches in slices of bounded size."""
+def text_batches(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices of at most `most` bytes of their column `text`, or of one row."""
     for batch in batches:
-        for start, stop in text_slices(batch.column(column)):
+        for start, stop in text_slices(batch.column("text"), most):
             yield batch.slice(start, stop - start)

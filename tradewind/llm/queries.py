@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, langid, mixing, packing, quality, rules, simhash, tokenfiles
+from . import counting, langid, mixing, packing, quality, repeats, rules, simhash, tokenfiles
 from .common import crc_of_id, reach_workers, shared_folder, written
 
 ORACLES: dict[str, str] = {}
@@ -72,4 +72,8 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.token_digests(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files)}
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removals(documents(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files, op10_suffix_dedup)}

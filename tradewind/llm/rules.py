@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, text_batches
+from .suffixes import doubled
 
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
@@ -28,42 +29,13 @@ COUNTS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_line
 def longest_repeats(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For each position the length of the longest run of words from there that also starts elsewhere in its text.
 
-    `words` holds a number per word and `ends` the end of the text that each position is in. Prefix doubling: after
-    round r, `rank` is equal for positions whose next 2**r words are equal, and orders the others; only positions that
-    share their rank are sorted again.
+    `words` holds a number per word and `ends` the end of the text that each position is in. Of two neighbours in the
+    order, the ranks by 2**r words say whether their next 2**r words are equal.
     """
     n = len(words)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    here = np.arange(n)
-    code = ends * (int(words.max()) + 1) + words  # a text's own suffixes only
-    order = np.argsort(code, kind="stable")
-
-    def ranked(keys: np.ndarray, base: np.ndarray) -> np.ndarray:
-        new = np.append(True, keys[1:] != keys[:-1])
-        return base[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
-
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = ranked(code[order], here)
-    levels, k = [rank.copy()], 1
-    slots = here
-    while True:
-        shared = rank[order[slots]]
-        twin = np.append(shared[1:] == shared[:-1], False)
-        twin[1:] |= twin[:-1].copy()
-        slots = slots[twin]
-        if not len(slots):
-            break
-        at = order[slots]
-        after = at + k
-        second = np.where(after < ends[at], rank[np.minimum(after, n - 1)], -1)
-        keys = rank[at] * (n + 1) + second + 1
-        by = np.argsort(keys, kind="stable")
-        order[slots] = at[by]
-        rank = rank.copy()
-        rank[at[by]] = ranked(keys[by], slots)
-        levels.append(rank)
-        k *= 2
+    order, levels = doubled(ends * (int(words.max()) + 1) + words, ends)  # a text's own suffixes only
     a, b = order[:-1], order[1:]
     common = np.zeros(n - 1, dtype=np.int64)
     for r in range(len(levels) - 1, -1, -1):
