@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 # Texts that a task holds as Python objects at a time.
 SLICE_BYTES = 2_000_000
+# Texts that a task encodes at a time, as Arrow arrays.
+ENCODE_BYTES = 8_000_000
 
 
 def reach_workers(spark: SparkSession) -> None:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import running_totals, text_batches, written
+from .common import ENCODE_BYTES, running_totals, text_batches, written
 from .tokens import word_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
@@ -142,9 +142,9 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, w
         encoder, end = word_encoder(tokenizer, False), end_id.to_bytes(4, "little")
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                             ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, ENCODE_BYTES):
             rows = []
-            ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+            ids = encoder.encode(batch.column("text"))
             for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 own += end
                 n = len(own) // 4

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import ENCODE_BYTES, text_batches
 from .tokens import word_encoder
 
 SCHEMA = "doc_id long, shard int, start_in_shard long, n_tokens long, ids array<int>"
@@ -41,8 +41,8 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_encoder(tokenizer, True), end_id.to_bytes(4, "little")
         shard, start = TaskContext.get().partitionId(), 0
-        for batch in text_batches(batches):
-            found = [x + end for x in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
+        for batch in text_batches(batches, ENCODE_BYTES):
+            found = [x + end for x in encoder.encode(batch.column("text"))]
             sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
             ends = np.cumsum(sizes)
             ids = pa.array(np.frombuffer(b"".join(found), "<i4"))

@@ -1,7 +1,9 @@
 """Whole texts to token ids in tasks, with ids of words kept between texts.
 
-No token of the vocabularies used here spans a change from a word to the white space after it, so a text may be
-cut there and each piece looked up; pieces not seen yet are encoded by the library.
+No token of the vocabularies used here spans a change from a word to the space after it, nor, in texts of Latin
+letters, digits and ASCII marks without apostrophes, one between letters or digits and marks. So plain texts are cut
+there, each slice's different words are looked up, and pieces not seen yet are encoded by the library. Other texts are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -9,18 +11,61 @@ from __future__ import annotations
 import os
 import re
 import struct
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 from itertools import chain
 
-# White space that is not ASCII: texts with it, or with the mark that stands for a space in pieces, are not cut.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     ▁　﻿]")
-MOST_KEPT = 300_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Letters whose small forms are single letters too, and digits; ASCII marks without the apostrophe.
+LETTERS = "0-9A-Za-zÀ-ÖØ-öø-įı-ſ"
+MARKS = "!-&(-/:-@\\[-`{-~"
+# What plain texts don't have: other characters, and what may begin a special token.
+OTHERS = rf"[^{LETTERS}{MARKS} \t\n\x0b\x0c\r]|<\|"
+# White space beside a space, or at an end of a text: there a text isn't cut at single spaces.
+UNEVEN = r"[ \t\n\x0b\x0c\r] | [\t\n\x0b\x0c\r]|^ | $"
+MOST_KEPT = 400_000
+
+
+def cut_words(texts: pa.Array) -> pa.ListArray:
+    """Words of texts with the single space before each but the first."""
+    return pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+
+
+def looked_up(words: pa.ListArray, values: Callable[[list[str]], list]) -> tuple[list, np.ndarray, np.ndarray]:
+    """Values of the different words, each word's place among these, and where lists begin and end."""
+    found = words.values.dictionary_encode()
+    return values(found.dictionary.to_pylist()), found.indices.to_numpy(), words.offsets.to_numpy()
+
+
+class Kept(dict):
+    """Values by key, of many keys those met lately. `make` gives the values of new keys, all at once."""
+
+    def __init__(self, make: Callable[[list[str]], Iterable[object]]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def learn(self, keys: Iterable[str]) -> None:
+        """All of `keys` are there until the next call."""
+        if len(self) > MOST_KEPT:
+            self.older = dict(self)
+            self.clear()
+        new = set(keys).difference(self)
+        known = [k for k in new if k in self.older]
+        self.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        new.difference_update(known)
+        if new:
+            rest = list(new)
+            self.update(zip(rest, self.make(rest), strict=True))
 
 
 class WordEncoder:
     """Encodes texts with a file of the tokenizers library; ids are little-endian unsigned 32-bit integers.
 
-    `drops_space` says that the vocabulary has no tokens for white space, so that it need not be encoded.
+    `drops_space` says that the vocabulary has no tokens for white space and capitals, so that the one need not be
+    encoded and the others may be made small before.
     """
 
     def __init__(self, path: str, drops_space: bool):
@@ -28,25 +73,41 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = re.compile(r"[^ \t-\r]+" if drops_space else r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.drops_space = drops_space
+        self.other = OTHERS if drops_space else f"{OTHERS}|{UNEVEN}"
+        space = "" if drops_space else r"[ \t-\r]*"
+        rest = "" if drops_space else r"|[ \t-\r]+"
+        self.at_marks = re.compile(rf"{space}[{LETTERS}]+|{space}[{MARKS}]+{rest}").findall
+        self.pieces = Kept(self.encode_whole)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        """By the library at once."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (x.ids for x in found)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes."""
-        if len(self.kept) > MOST_KEPT:  # pieces not met for long go first
-            self.kept, self.older = {}, self.kept
-        pieces = [None if ODD_SPACE.search(t) else self.cut(t) for t in texts]
-        missed = set(chain.from_iterable(filter(None, pieces))).difference(self.kept)
-        self.kept.update((p, self.older[p]) for p in missed if p in self.older)
-        missed.difference_update(self.older)
-        self.kept.update(zip(missed, self._encode(list(missed)), strict=True))
-        ids = self.kept.__getitem__
-        return [self._encode([t])[0] if p is None else b"".join(map(ids, p)) for t, p in zip(texts, pieces, strict=True)]
+    def _words(self, words: list[str]) -> list[bytes]:
+        parts = [self.at_marks(w) for w in words]
+        self.pieces.learn(chain.from_iterable(parts))
+        return [b"".join(map(self.pieces.__getitem__, p)) for p in parts]
+
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pc.utf8_lower(texts)) if self.drops_space else cut_words(texts)
+        ids, place, bounds = looked_up(words, self._words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[place]
+        ends = np.append(0, np.cumsum(n))
+        every = np.frombuffer(b"".join(ids), "<u4")[np.arange(ends[-1]) + np.repeat(starts[place] - ends[:-1], n)].tobytes()
+        cuts = (4 * ends[bounds]).tolist()
+        return [every[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, as bytes; none for null."""
+        texts = texts.fill_null("")
+        other = pc.match_substring_regex(texts, self.other)
+        plain = iter(self._plain(texts.filter(pc.invert(other))))
+        rest = iter(self.encode_whole(texts.filter(other).to_pylist()))
+        return [next(rest if x else plain) for x in other.to_pylist()]
 
 
 @lru_cache(maxsize=2)
