@@ -26,7 +26,7 @@ MARKS = "!-&(-/:-@\\[-`{-~"
 OTHERS = rf"[^{LETTERS}{MARKS} \t\n\x0b\x0c\r]|<\|"
 # White space beside a space, or at an end of a text: there a text isn't cut at single spaces.
 UNEVEN = r"[ \t\n\x0b\x0c\r] | [\t\n\x0b\x0c\r]|^ | $"
-MOST_KEPT = 400_000
+MOST_KEPT = 300_000
 
 
 def cut_words(texts: pa.Array) -> pa.ListArray:
@@ -79,6 +79,7 @@ class WordEncoder:
         rest = "" if drops_space else r"|[ \t-\r]+"
         self.at_marks = re.compile(rf"{space}[{LETTERS}]+|{space}[{MARKS}]+{rest}").findall
         self.pieces = Kept(self.encode_whole)
+        self.words = Kept(self._make_words)
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         """By the library at once."""
@@ -86,6 +87,10 @@ class WordEncoder:
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (x.ids for x in found)]
 
     def _words(self, words: list[str]) -> list[bytes]:
+        self.words.learn(words)
+        return list(map(self.words.__getitem__, words))
+
+    def _make_words(self, words: list[str]) -> list[bytes]:
         parts = [self.at_marks(w) for w in words]
         self.pieces.learn(chain.from_iterable(parts))
         return [b"".join(map(self.pieces.__getitem__, p)) for p in parts]
