@@ -8,6 +8,7 @@ encoded whole.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -26,6 +27,8 @@ MARKS = "!-&(-/:-@\\[-`{-~"
 OTHERS = rf"[^{LETTERS}{MARKS} \t\n\x0b\x0c\r]|<\|"
 # White space beside a space, or at an end of a text: there a text isn't cut at single spaces.
 UNEVEN = r"[ \t\n\x0b\x0c\r] | [\t\n\x0b\x0c\r]|^ | $"
+# A full stop or comma beside another mark or after white space; elsewhere it is a piece by itself.
+MARKED = rf"[.,][{MARKS}']|[{MARKS}'][.,]|[ \t\n\x0b\x0c\r][.,]|^[.,]"
 MOST_KEPT = 300_000
 
 
@@ -95,8 +98,14 @@ class WordEncoder:
         self.pieces.learn(chain.from_iterable(parts))
         return [b"".join(map(self.pieces.__getitem__, p)) for p in parts]
 
-    def _plain(self, texts: pa.Array) -> list[bytes]:
-        words = pc.ascii_split_whitespace(pc.utf8_lower(texts)) if self.drops_space else cut_words(texts)
+    def _plain(self, texts: pa.Array, marked: bool) -> list[bytes]:
+        if self.drops_space:
+            texts = pc.utf8_lower(texts)
+        if not marked:
+            cut = " " if self.drops_space else "\0"
+            for mark in ".,":
+                texts = pc.replace_substring(texts, mark, f"{cut}{mark}{cut}")
+        words = pc.ascii_split_whitespace(texts) if self.drops_space else cut_words(texts)
         ids, place, bounds = looked_up(words, self._words)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = np.cumsum(sizes) - sizes
@@ -109,10 +118,14 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text, as bytes; none for null."""
         texts = texts.fill_null("")
-        other = pc.match_substring_regex(texts, self.other)
-        plain = iter(self._plain(texts.filter(pc.invert(other))))
-        rest = iter(self.encode_whole(texts.filter(other).to_pylist()))
-        return [next(rest if x else plain) for x in other.to_pylist()]
+        kind = pc.if_else(pc.match_substring_regex(texts, self.other), 2, pc.match_substring_regex(texts, MARKED).cast(pa.int32()))
+        gc.disable()  # nothing below makes cycles, and very many lists are made
+        try:
+            own = [texts.filter(pc.equal(kind, k)) for k in range(3)]
+            found = [iter(self._plain(own[0], False)), iter(self._plain(own[1], True)), iter(self.encode_whole(own[2].to_pylist()))]
+        finally:
+            gc.enable()
+        return [next(found[k]) for k in kind.to_pylist()]
 
 
 @lru_cache(maxsize=2)
