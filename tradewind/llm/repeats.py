@@ -30,9 +30,9 @@ from .suffixes import powers, suffix_order
 LENGTH = 200
 GRAM = 64
 # Bytes of text worked on at a time; windows of a longer text are taken piece by piece.
-PIECE = 1_000_000
+PIECE = 500_000
 # Bytes of a shard's array. An anchor with more is left to hashes of single windows, which any number of tasks count.
-SHARD = 4_000_000
+SHARD = 1_500_000
 # Bits for the place of an anchor in the text worked on, below those of its hash.
 PLACE = np.uint64(28)
 
@@ -147,12 +147,14 @@ def repeated_windows(parts: list[bytes]) -> list[np.ndarray]:
     order = suffix_order(text, len(codes) + 2, LENGTH)
     left = np.append(np.repeat(stops - 1, sizes + 1), 0) - np.arange(len(text))
     order = order[left[order] >= LENGTH]
-    before = np.full(len(text), -1, dtype=np.int64)  # the suffix before each one, in text order
+    del left
+    before = np.full(len(text), -1, dtype=np.int32)  # the suffix before each one, in text order
     before[order[1:]] = order[:-1]
     up, down = powers(len(text))
     sums = np.append(np.uint64(0), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * down[: len(text)]))
     at = np.flatnonzero(before >= 0)
     hashes = (sums[LENGTH:] - sums[:-LENGTH]) * up[: len(text) - LENGTH + 1] if len(text) >= LENGTH else sums[:0]
+    del up, down, sums
     at = at[hashes[at] == hashes[before[at]]]
     rows = np.lib.stride_tricks.sliding_window_view(text, LENGTH) if len(at) else None
     found = np.zeros(len(text), dtype=bool)

@@ -144,6 +144,7 @@ def suffix_order(text: np.ndarray, kinds: int, depth: int) -> np.ndarray:
     new = np.append(True, (hashes[at[1:]] != hashes[at[:-1]]) | ((stops - starts)[at[1:]] != (stops - starts)[at[:-1]]))
     names = np.empty(len(starts), dtype=np.int64)
     names[at] = np.cumsum(new)
+    del up, down, sums, hashes, place, stops
     if not new.all():
         rounds = max(1, (depth // 2).bit_length())
         by, _ = doubled(names, np.full(len(names), len(names)), rounds)
