@@ -1,0 +1,59 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def make_texts(seed=1, n=60):
+    """Prose of a small vocabulary, with copies, near copies, passages in common and odd characters."""
+    rnd = random.Random(seed)
+    vocabulary = ["".join(rnd.choices("abcdeiorst", k=rnd.randint(1, 9))) for _ in range(400)]
+    passage = " ".join(rnd.choices(vocabulary, k=70))
+    texts = []
+    for i in range(n):
+        words = rnd.choices(vocabulary, k=rnd.randint(5, 220))
+        if i % 6 == 1 and texts:
+            words = texts[rnd.randrange(len(texts))].split()
+            if i % 4 == 1:
+                words[rnd.randrange(len(words))] = "Changed"
+        if i % 7 == 2:
+            at = rnd.randrange(len(words))
+            words[at:at] = passage.split()
+        if i % 9 == 4:
+            words = words[:30] * rnd.randint(2, 5)
+        texts.append("".join(w + rnd.choice([" "] * 20 + ["\n", ". ", ", ", "  ", "\t"]) for w in words).strip())
+    return texts
+
+
+@pytest.fixture(scope="session")
+def rows():
+    """Documents with nulls in any column, empty and odd texts, ties and repeated rows."""
+    out = [(i, t, "en" if i % 3 else "fr", f"s{i % 4}", len(t)) for i, t in enumerate(make_texts())]
+    long = " ".join(make_texts(2, 40)) * 3
+    odd = ["", " ", "\n\t\x0b", "a", "one two", "İ Σ ß é 日本語 ſ ﬁ é", "a b ▁ c  d ", "<|endoftext|> x <|startoftext|>", "it's we'll 12.5, x.", ". , a ,b",
+           "same " * 300, long, "日" * 700]
+    out += [(1000 + i, t, None, None, len(t)) for i, t in enumerate(odd)]
+    out += [(2000, None, "en", "s1", None), (None, "no id here " * 30, "en", "", 330), (None, None, None, None, None)]
+    return out + [out[3], out[3], out[-1], out[-4]]
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    """With columns whose names operators use themselves."""
+    frame = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    clash = ["size", "piece", "start", "length", "_fingerprint_", "rank", "low", "text_key_", "n", "_id_"]
+    return frame.select("*", *(F.lit(-7).alias(c) for c in clash)).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+@pytest.fixture(autouse=True, scope="session")
+def workers(spark):
+    from tradewind.llm.common import reach_workers
+
+    reach_workers(spark)

@@ -1,0 +1,128 @@
+import re
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tradewind.llm import langid, quality, rules
+from tradewind.llm.common import WORD
+
+
+def longest_by_hand(words, i):
+    n = 0
+    for j in range(len(words)):
+        if j != i:
+            k = 0
+            while i + k < len(words) and j + k < len(words) and words[i + k] == words[j + k]:
+                k += 1
+            n = max(n, k)
+    return n
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=25), max_size=5))
+def test_longest_repeats(texts):
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    found = rules.longest_repeats(np.array([w for t in texts for w in t], dtype=np.int64), ends)
+    assert found.tolist() == [longest_by_hand(t, i) for t in texts for i in range(len(t))]
+
+
+def covered(words, k):
+    seen = Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return len({i + j for i in range(len(words) - k + 1) if seen[tuple(words[i : i + k])] > 1 for j in range(k)})
+
+
+def test_rules(docs, rows, empty):
+    found = {r.doc_id: r for r in rules.judge(docs).collect()}
+    for doc_id, text, *_ in rows:
+        text, r = text or "", found[doc_id]
+        if doc_id is None:
+            continue
+        words = re.findall(WORD, text)
+        lines = [x for x in text.split("\n") if re.search(WORD, x)]
+        base = (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), covered(words, 3))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base
+        assert r.covered_words == covered(words, 8)
+        assert r.base_failed == (len(words) < 50 or 100 * base[4] > 50 * len(words))
+        fine = r.covered_words <= 0.45 * len(words) and r.longest_repeat <= 50
+        assert r.kept == (not r.base_failed and fine)
+    assert rules.judge(docs).count() == len(rows) and rules.judge(empty).count() == 0
+
+
+def bits_by_hand(texts, text, contexts=3):
+    """Code length of a text under one language, byte by byte."""
+    tables = [Counter() for _ in range(contexts + 1)]
+    for t in texts:
+        data = langid.START + t
+        for i in range(3, len(data)):
+            for k in range(contexts + 1):
+                tables[k][data[i - k : i + 1]] += 1
+    total = 0.0
+    data = langid.START + text
+    for i in range(3, len(data)):
+        k, more = contexts, 0.0
+        while k >= 0:
+            seen = {g: n for g, n in tables[k].items() if g[:-1] == data[i - k : i]}
+            n, d = sum(seen.values()), len(seen)
+            if data[i - k : i + 1] in seen:
+                total += more - np.log2(seen[data[i - k : i + 1]] / (n + d))
+                break
+            more += -np.log2(d / (n + d)) if n else 0
+            k -= 1
+        else:
+            total += more + 8
+    return total
+
+
+def test_code_lengths(spark):
+    texts = {"a": ["abra abba", "bab a"], "b": ["cd abcd", "dcd dd é"]}
+    frame = spark.createDataFrame([(i, t, k) for k, own in texts.items() for i, t in enumerate(own)], "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    data = [x.encode() for x in ["abba", "cd é", "", "xyz"]]
+    expected = [[bits_by_hand([t.encode() for t in texts[k]], x) for k in model.languages] for x in data]
+    np.testing.assert_allclose(langid.code_lengths(model, data), expected, rtol=1e-5)
+
+
+def test_language_of_odd_texts(docs, rows, empty):
+    found = langid.predict(docs, langid.fit(docs)).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    by_id = {r.doc_id: r.lang_pred for r in found}
+    assert by_id[2000] == by_id[1000] == by_id[1002] == "und" and by_id[1003] in ("en", "fr")
+    assert {r.lang_pred for r in langid.predict(docs, langid.fit(empty)).collect()} == {"und"}
+    assert langid.predict(empty, langid.fit(docs)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 5), st.integers(0, 5)), min_size=1, max_size=12))
+def test_isotonic(pairs):
+    n = np.array([a for a, _ in pairs], float)
+    k = np.minimum([b for _, b in pairs], n)
+    found = quality.isotonic(n, k)
+    assert (np.diff(found) >= -1e-12).all()
+    # The largest mean over starts of the least mean over ends.
+    means = [[k[a : b + 1].sum() / max(n[a : b + 1].sum(), 1) for b in range(len(n))] for a in range(len(n))]
+    expected = [max(min(means[a][b] for b in range(i, len(n))) for a in range(i + 1)) for i in range(len(n))]
+    np.testing.assert_allclose(found, expected, atol=1e-12)
+
+
+def test_normal_equations_are_sums_over_all_rows(spark):
+    random = np.random.default_rng(1)
+    x = random.normal(size=(50, quality.STATISTICS))
+    frame = spark.createDataFrame([(r.tolist(), float(i % 2)) for i, r in enumerate(x)], "statistics array<double>, label double").repartition(5)
+    model = quality.Model(np.zeros(quality.STATISTICS), np.ones(quality.STATISTICS), random.normal(size=(quality.STATISTICS, 8)), np.zeros(8), *[np.zeros(0)] * 3)
+    f = quality._features(model, x)
+    y = (np.arange(50) % 2)[:, None]
+    np.testing.assert_allclose(quality._normal_equations(frame, model), f.T @ np.hstack([f, y]), atol=1e-9)
+
+
+def test_quality_of_odd_texts(spark, docs, rows, empty):
+    measured = quality.measure(docs)
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows if r[0] is not None] + [(None, 1), (5, None)], "doc_id long, label int")
+    found = quality.score(measured, quality.fit(measured, labels)).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    assert quality.fit(measured, labels.where("false")) is None
+    assert {r.score for r in quality.score(measured, None).collect()} == {1.0}
+    assert quality.accepted(docs, None).columns == docs.columns and quality.accepted(docs, None).count() == len(rows)
+    assert quality.score(quality.measure(empty), None).count() == 0

@@ -172,7 +172,7 @@ def _compare(bits: int, most: int | None, columns: list[str]):
             keys, prints = rows[:-1], rows[-1]
             if not len(prints):
                 return
-            new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+            new = np.append(True, np.any([k[1:] != k[:-1] for k in keys[:3]], axis=0))
             group = np.cumsum(new) - 1
             if most is not None:
                 big = np.bincount(group)[group] > most
