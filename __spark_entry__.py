@@ -121,8 +121,8 @@ def wide(place: str) -> str:
 def totals(place: str) -> str:
     return f"""
 geo AS (
-    SELECT c_nationkey AS zip_code, avg(c_acctbal) AS lat, avg(-c_acctbal) AS lng
-    FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey < 20 GROUP BY 1
+    SELECT c_nationkey + 5 AS zip_code, avg(c_acctbal) AS lat, avg((c_custkey % 3600) / 10 - 180) AS lng
+    FROM customer GROUP BY 1
 ),
 totals AS (
     SELECT {place}, CAST(sum(revenue) AS DOUBLE) AS revenue, count(*) AS count,
@@ -303,9 +303,7 @@ register(
 )
 register(
     "month_spending_unique",
-    lambda t: spenders.month_spending_unique(paid(t), t.customers).withColumn(
-        "customer_ids", F.array_join("customer_ids", ",")
-    ),
+    lambda t: spenders.month_spending_unique(paid(t), t.customers),
     f"""WITH {PAYMENTS},
     per_person AS (
         SELECT month, customer_unique_id, sum(payment) AS total,
@@ -313,9 +311,8 @@ register(
         FROM paid_in_year GROUP BY month, customer_unique_id
     )
     SELECT month AS order_purchase_month, customer_unique_id, CAST(total AS DOUBLE) AS month_payment,
-           (SELECT string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR))
-            FROM orders WHERE o_custkey = customer_unique_id) AS customer_ids
-    FROM per_person WHERE place = 1""",
+           CAST(o_orderkey AS VARCHAR) AS customer_id
+    FROM per_person JOIN orders ON o_custkey = customer_unique_id WHERE place = 1""",
 )
 register(
     "latest_purchase",
@@ -440,7 +437,7 @@ def column_line(name: str, kind: str, distinct: bool) -> str:
 
 register(
     "table_profile",
-    lambda t: profile(t.raw("orders").drop("o_orderdate"), distinct=["o_orderkey", "o_custkey"]),
+    lambda t: profile(t.raw("orders"), distinct=["o_orderkey", "o_custkey"]),
     " UNION ALL ".join(
         column_line(name, kind, name in ("o_orderkey", "o_custkey"))
         for name, kind in (
@@ -448,6 +445,7 @@ register(
             ("o_custkey", "bigint"),
             ("o_orderstatus", "string"),
             ("o_totalprice", "double"),
+            ("o_orderdate", "timestamp_ntz"),
             ("o_orderpriority", "string"),
         )
     ),
@@ -465,13 +463,65 @@ register(
 register(
     "distinct_ratio",
     lambda t: distinct_ratio(t.geolocation, ["geolocation_lat", "geolocation_lng"]),
-    """WITH geo AS (SELECT c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey < 20)
-    SELECT count(*) AS "rows", count(DISTINCT c_acctbal) AS distinct_rows,
-           CAST(count(DISTINCT c_acctbal) AS DOUBLE) / count(*) AS ratio FROM geo""",
+    """WITH geo AS (SELECT DISTINCT c_acctbal, c_custkey % 3600 FROM customer)
+    SELECT (SELECT count(*) FROM customer) AS "rows", count(*) AS distinct_rows,
+           CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM customer) AS ratio FROM geo""",
 )
 register(
     "sample_points",
-    lambda t: sample_points(t.geolocation, ["geolocation_lat", "geolocation_lng"], 0.01, seed=7),
+    lambda t: sample_points(
+        t.geolocation.withColumn("place", F.round(F.col("geolocation_lat") * 100).cast("long")),
+        ["geolocation_lat", "geolocation_lng"], 0.1, key=["geolocation_zip_code_prefix", "place"], seed=7,
+    ),
+    """SELECT c_acctbal AS geolocation_lat, (c_custkey % 3600) / 10 - 180 AS geolocation_lng FROM customer
+    WHERE CAST('0x' || substr(md5('7|' || (c_nationkey + 5) || '|' || CAST(round(c_acctbal * 100) AS BIGINT)), 1, 8) AS BIGINT)
+          < CAST(floor(0.1 * 4294967296) AS BIGINT)""",
+)
+
+
+# The same questions in Spark SQL: views, a common table expression, IN, and EXTRACT.
+def sql_top_products(t: StarTables) -> DataFrame:
+    for name in ("order_items", "products", "category_translation"):
+        getattr(t, name).createOrReplaceTempView(f"sales_{name}")
+    return t.spark.sql(
+        """
+        WITH sold AS (
+            SELECT product_category_name_english AS product_category_name, product_id, count(product_id) AS together
+            FROM sales_order_items JOIN sales_products USING (product_id)
+            JOIN sales_category_translation USING (product_category_name)
+            GROUP BY ALL
+        )
+        SELECT product_category_name, product_id, together
+        FROM (SELECT *, row_number() OVER (PARTITION BY product_category_name ORDER BY together DESC, product_id) AS n
+              FROM sold)
+        WHERE n < 4 AND product_category_name IN (
+            SELECT product_category_name FROM sold GROUP BY 1 ORDER BY sum(together) DESC, 1 LIMIT 10)
+        """
+    )
+
+
+def sql_payments_by_month(t: StarTables) -> DataFrame:
+    return t.spark.sql(
+        """
+        SELECT CAST(extract(year FROM order_purchase_timestamp) AS INT) AS year,
+               CAST(extract(month FROM order_purchase_timestamp) AS INT) AS month,
+               count(*) AS payments, CAST(sum(CAST(payment_value AS DECIMAL(18,2))) AS DOUBLE) AS paid
+        FROM {payments} JOIN {orders} USING (order_id) GROUP BY 1, 2
+        """,
+        payments=t.order_payments,
+        orders=t.orders,
+    )
+
+
+register(
+    "sql_top_products",
+    sql_top_products,
+    f"SELECT product_category_name, product_id, together FROM ({ENTRIES['top_products_numbered'][1]}) AS r",
+)
+register(
+    "sql_payments_by_month",
+    sql_payments_by_month,
+    f"WITH {PAYMENTS} SELECT year, month, count(*) AS payments, CAST(sum(payment) AS DOUBLE) AS paid FROM paid GROUP BY 1, 2",
 )
 
 
@@ -524,41 +574,53 @@ register(
 )
 
 
+# Result tables: the query with the same rows, and the columns compared. Prices and positions count in hundredths.
+BUNDLE = {
+    bundle.DELAY_HISTOGRAM: ("delay_histogram", ["days_delayed", "no_orders"]),
+    bundle.DELAY_STATISTICS: ("delay_summary", ["summary", "days_delayed"]),
+    bundle.ORDER_STRUCTURE: ("order_structure", ["order_type", "count"]),
+    bundle.ORDERS_PER_STATUS: ("orders_per_status", ["order_status", "amount"]),
+    bundle.OTHER_STATUSES: ("orders_without_delivered", ["order_status", "amount"]),
+    bundle.SHIP_AHEAD: ("ship_ahead_counts", ["two_days", "count"]),
+    bundle.TOP_CATEGORIES: ("top_categories_rest", ["count", "product_category_name"]),
+    bundle.TOP_PRODUCTS: ("top_products_per_category", ["product_category_name", "product_id", "together"]),
+    bundle.TOP_PRODUCTS_NUMBERED: ("top_products_numbered", ["product_category_name", "product_id", "product_number"]),
+    bundle.CATEGORIES: ("category_list", ["product_category_name"]),
+    bundle.MONTH_SPENDING: ("month_spending", ["order_purchase_month", "customer_id", "month_payment"]),
+    bundle.MONTH_SPENDING_UNIQUE: ("month_spending_unique", ["order_purchase_month", "customer_id", "month_payment"]),
+    bundle.BEST_SELLERS_STATE: ("best_sellers_state_wide", ["seller_state", "1_best_seller", "2_best_seller"]),
+    bundle.BEST_SELLERS_CITY: ("best_sellers_city_wide", ["seller_city", "1_best_seller", "2_best_seller"]),
+    bundle.STATE_SALES: ("state_bands", ["seller_state", "revenue", "count", "lat", "lng", "size", "colors"]),
+    bundle.CITY_SALES: ("city_bands", ["seller_city", "revenue", "count", "lat", "lng", "size", "colors"]),
+    bundle.CITY_MAP: ("city_map_dataset", ["seller_city", "revenue", "size", "1_best_seller", "2_best_seller"]),
+}
+IN_HUNDREDTHS = {"month_payment", "revenue", "lat", "lng"}
+
+
 def report_bundle(t: StarTables) -> DataFrame:
-    """All result tables written for one input folder; returns their names and row counts."""
+    """All result tables written for one input folder; returns their names, row counts and digests."""
     folder = scratch_folder(t.spark, "results")
-    settings = bundle.Settings(year=YEAR, excluded_status=CANCELED, count_limits=COUNT_LIMITS)
-    return bundle.result_counts(t.spark, folder, bundle.write_reports(t.spark, t.tables(), folder, settings=settings))
-
-
-MONTHS = "(SELECT count(DISTINCT month) FROM paid_in_year)"
-BUNDLE_ROWS = {
-    bundle.DELAY_HISTOGRAM: "(SELECT count(DISTINCT days_delayed) FROM late)",
-    bundle.DELAY_STATISTICS: "5",
-    bundle.ORDER_STRUCTURE: "3",
-    bundle.ORDERS_PER_STATUS: "(SELECT count(DISTINCT o_orderstatus) FROM orders)",
-    bundle.SHIP_AHEAD: "(SELECT count(DISTINCT date_diff('day', carrier, estimated) > 2) FROM placed)",
-    bundle.TOP_CATEGORIES: "(SELECT count(*) + 1 FROM top_categories)",
-    bundle.TOP_PRODUCTS: "(SELECT count(*) FROM per_product WHERE place < 4)",
-    bundle.TOP_PRODUCTS_NUMBERED: "(SELECT count(*) FROM per_product JOIN top_categories USING (product_category_name) "
-    "WHERE place < 4)",
-    bundle.CATEGORIES: "(SELECT count(*) FROM per_category)",
-    bundle.MONTH_SPENDING: MONTHS,
-    bundle.MONTH_SPENDING_UNIQUE: MONTHS,
-    bundle.BEST_SELLERS_STATE: "(SELECT count(DISTINCT seller_state) FROM sales)",
-    bundle.BEST_SELLERS_CITY: "(SELECT count(DISTINCT seller_city) FROM sales)",
-    bundle.STATE_SALES: "(SELECT count(DISTINCT seller_state) FROM sales)",
-    bundle.CITY_SALES: "(SELECT count(DISTINCT seller_city) FROM sales)",
-}
-register(
-    "report_bundle",
-    report_bundle,
-    f"WITH {DELAYED}, {ITEMS}, {PAYMENTS}, {SALES} "
-    + " UNION ALL ".join(f"SELECT '{name}' AS result, CAST({n} AS BIGINT) AS \"rows\"" for name, n in BUNDLE_ROWS.items()),
-)
+    settings = bundle.Settings(year=YEAR, excluded_status=CANCELED, dominant_status=DELIVERED, count_limits=COUNT_LIMITS)
+    written = bundle.write_reports(t.spark, t.tables(), folder, settings=settings)
+    return bundle.result_digests(t.spark, folder, {name: BUNDLE[name][1] for name in written})
+
+
+def digest_line(name: str) -> str:
+    query, columns = BUNDLE[name]
+    texts = (f"CAST(floor({c} * 100 + 0.5) AS BIGINT)" if c in IN_HUNDREDTHS else f'"{c}"' for c in columns)
+    row = ", ".join(f"coalesce(CAST({x} AS VARCHAR), '')" for x in texts)
+    bits = f"CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 8) AS BIGINT)"
+    return (
+        f"SELECT '{name}' AS result, count(*) AS \"rows\", CAST(coalesce(sum({bits}), 0) AS BIGINT) AS digest "
+        f"FROM ({ENTRIES[query][1]}) AS r"
+    )
+
+
+register("report_bundle", report_bundle, " UNION ALL ".join(map(digest_line, BUNDLE)))
 
 
 # The training-data operators, where they are installed.
+TRAINING: set[str] = set()
 try:
     import corpus_pipeline
     from tradewind.llm import queries as training
@@ -568,6 +630,7 @@ except ModuleNotFoundError as missing:
 else:
     ENTRIES.update({name: (run, training.ORACLES.get(name)) for name, run in training.QUERIES.items()})
     ENTRIES["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+    TRAINING.update(training.QUERIES, ["pipeline"])
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -54,7 +54,7 @@ def input_tables(spark: SparkSession, args: argparse.Namespace) -> bundle.Tables
             orders_by_year=args.orders_by_year,
         )
         return open_tables(spark, args.ingest, needed)
-    return open_csv_tables(spark, paths)
+    return open_csv_tables(spark, paths, multi_line=args.multi_line)
 
 
 def main(argv: list[str] | None = None) -> None:

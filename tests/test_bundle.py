@@ -8,6 +8,7 @@ import run_reports
 from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
 from tradewind.sources import SCHEMAS, StarTables, read_parquet, table_path
 
+# Names and columns of the result tables.
 TOTALS = "revenue double, count bigint, lat double, lng double, size bigint, colors string"
 SCHEMA = {
     bundle.DELAY_HISTOGRAM: "days_delayed int, no_orders bigint",
@@ -19,13 +20,15 @@ SCHEMA = {
     bundle.CATEGORIES: "product_category_name string",
     bundle.MONTH_SPENDING: "order_purchase_month int, customer_id string, month_payment double",
     bundle.MONTH_SPENDING_UNIQUE: "order_purchase_month int, customer_unique_id string, month_payment double, "
-    "customer_ids array<string>",
+    "customer_id string",
     bundle.BEST_SELLERS_STATE: "seller_state string, 1_best_seller string, 2_best_seller string",
     bundle.BEST_SELLERS_CITY: "seller_city string, 1_best_seller string, 2_best_seller string",
     bundle.STATE_SALES: f"seller_state string, {TOTALS}",
     bundle.CITY_SALES: f"seller_city string, {TOTALS}",
     bundle.ORDERS_PER_STATUS: "order_status string, amount bigint",
     bundle.SHIP_AHEAD: "two_days boolean, count bigint",
+    bundle.OTHER_STATUSES: "order_status string, amount bigint",
+    bundle.CITY_MAP: f"seller_city string, {TOTALS}, 1_best_seller string, 2_best_seller string",
 }
 
 

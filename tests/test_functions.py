@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind.functions import (
+    cents,
     as_date,
     band,
     in_year,
@@ -54,9 +55,13 @@ def test_band_edges(spark, limits, cases):
 
 
 def test_as_date_takes_text_timestamps_and_dates(spark):
-    text = spark.createDataFrame([("2017-10-02 23:59:59",), (None,), ("soon",)], "t string")
+    text = spark.createDataFrame([("2017-10-02 23:59:59",), (None,)], "t string")
     day = dt.date(2017, 10, 2)
-    assert column(text, as_date(text, "t")) == [day, None, None]
+    assert column(text, as_date(text, "t")) == [day, None]
+    for wrong in ("soon", "03/01/2017 10:00", ""):
+        damaged = spark.createDataFrame([(wrong,)], "t string")
+        with pytest.raises(Exception, match="holds no time"):
+            column(damaged, as_date(damaged, "t"))
     typed = text.filter("t like '2017%'").select(F.col("t").cast("timestamp").alias("t"))
     assert column(typed, as_date(typed, "t")) == [day]
     dates = typed.select(F.to_date("t").alias("t"))
@@ -93,3 +98,12 @@ def test_cents_are_exact_in_any_order(spark):
 def test_merged_cents_do_not_overflow(spark):
     df = spark.range(3).select(F.lit(2**62).alias("c"))
     assert df.agg(merge_cents("c")).first()[0] == 3 * 2**62
+
+
+def test_prices_are_whole_cents_or_fail(spark):
+    good = spark.createDataFrame([(10.0,), (0.07,), (-1.15,), (None,), (123456789012.34,)], "p double")
+    assert column(good, cents("p")) == [1000, 7, -115, None, 12345678901234]
+    for wrong in (float("nan"), 1e30, 0.004, float("inf"), 1.005):
+        odd = spark.createDataFrame([(wrong,)], "p double")
+        with pytest.raises(Exception, match="no price in whole cents"):
+            column(odd, cents("p"))

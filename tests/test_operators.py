@@ -11,15 +11,14 @@ from tradewind.operators import (
     count_by,
     distinct_ratio,
     duplicate_groups,
+    join_spread,
     look_up,
     match_keys,
     mean_by_key,
     null_counts,
     profile,
-    prune_to_keys,
     require_unique,
     sample_points,
-    sorted_lists,
     sum_by,
     top_ranked,
     top_rows,
@@ -100,28 +99,23 @@ def test_count_by_weights_and_nulls(spark):
     assert found(count_by(df, "k", name="n", weight="n")) == sorted([("x", 5), (None, 4)], key=str)
 
 
-def test_sorted_lists(spark):
-    rows = [("big", f"v{i:03}") for i in range(95)] * 2 + [("small", "b"), ("small", "a"), ("small", "b")]
-    df = spark.createDataFrame(rows, "k string, v string")
-    whole = {r.k: r.vs for r in sorted_lists(df, "k", "v", alias="vs", per_row=100).collect()}
-    assert whole == {"big": [f"v{i:03}" for i in range(95)], "small": ["a", "b"]}
-    split = sorted_lists(df, "k", "v", alias="vs", per_row=20).collect()
-    parts = [r.vs for r in split if r.k == "big"]
-    assert len(parts) == 5 and max(map(len, parts)) < 40
-    assert sorted(sum(parts, [])) == whole["big"] and all(part == sorted(part) for part in parts)
-    assert [r.vs for r in split if r.k == "small"] == [["a", "b"]]
+def test_spread_joins_are_joins(spark):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [2, None, None, 3])], "k long, v long")
+    few = spark.createDataFrame([(1, "a"), (None, "b"), (4, "c")], "k long, w string")
+    joined = join_spread(df, few, ["k"], parts=4)
+    assert joined.columns == ["k", "v", "w"]
+    assert found(joined) == found(df.join(few, df["k"].eqNullSafe(few["k"])).select(df["k"], "v", "w"))
 
 
-def test_values_of_a_big_key_never_meet_by_key_alone(spark):
+def test_rows_of_a_key_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.range(2000).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS v")
-        plan = executed_plan(sorted_lists(df, "k", "v", alias="vs", per_row=20))
+        plan = executed_plan(join_spread(df, spark.range(5).withColumnRenamed("id", "k"), ["k"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    by_key = [part for part in plan.split("Exchange hashpartitioning(")[1:] if re.match(r"k#\d+L, \d+\)", part)]
-    # Only the count per key does, combined before the shuffle.
-    assert len(by_key) == 1 and "partial_count" in by_key[0].split("\n")[1]
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", plan)
+    assert exchanges and all("_part" in e for e in exchanges)
 
 
 def test_sum_by_checks_names(spark):
@@ -137,16 +131,11 @@ def test_mean_by_key(spark):
     assert found(mean_by_key(df, "zip", lat="y", lng="x")) == [(1, 3.0, 5.0), (2, None, None)]
 
 
-@pytest.mark.parametrize("at_most", [1, 100])
-def test_pruning_never_changes_the_join(spark, at_most):
+def test_match_keys(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
-    keys = spark.createDataFrame([(3,), (7,)], "k long")
-    pruned = prune_to_keys(df, "k", keys, at_most=at_most)
-    assert pruned.count() == (20 if at_most > 1 else 100)
-    assert match_keys(pruned, "k", keys).count() == 20
-    assert prune_to_keys(df, "k", keys.limit(0)).count() == 0
-    nothing = df.limit(1).select(F.lit(None).cast("long").alias("k"))
-    assert prune_to_keys(nothing, "k", keys, at_most=at_most).count() == 0
+    keys = spark.createDataFrame([(3,), (7,), (None,)], "k long")
+    assert match_keys(df, "k", keys).count() == 20
+    assert match_keys(df, "k", keys.limit(0)).count() == 0
 
 
 def test_profile(spark):
@@ -180,9 +169,10 @@ def test_distinct_ratio(spark):
 
 def test_sample(spark):
     df = spark.range(20000).select("id", F.lit(1).alias("other"))
-    sample = sample_points(df, ["id"], 0.1, seed=1)
+    sample = sample_points(df, ["id"], 0.1, key=["id"], seed=1)
     ids = [r.id for r in sample.collect()]
     assert sample.columns == ["id"]
     assert 1600 < len(ids) < 2400 and len(set(ids)) == len(ids)
-    assert ids == [r.id for r in sample_points(df, ["id"], 0.1, seed=1).collect()]
-    assert sample_points(df, ["id"], 1.0, seed=1).count() == 20000
+    assert set(ids) == {r.id for r in sample_points(df.repartition(7), ["id"], 0.1, key=["id"], seed=1).collect()}
+    assert set(ids) != {r.id for r in sample_points(df, ["id"], 0.1, key=["id"], seed=2).collect()}
+    assert sample_points(df, ["id"], 1.0, key=["id"]).count() == 20000

@@ -142,7 +142,8 @@ def test_month_spending(spark, orders, payments):
     customers = spark.createDataFrame(people, "customer_id string, customer_unique_id string")
     unique = spenders.month_spending_unique(paid, customers)
     assert [tuple(r) for r in unique.collect()] == [
-        (1, "u1", 30.3, ["c1", "c7"]), (2, "u2", 5.0, ["c2", "c3", "c5"]), (12, "u1", 1.0, ["c1", "c7"])
+        (1, "u1", 30.3, "c1"), (1, "u1", 30.3, "c7"), (2, "u2", 5.0, "c2"), (2, "u2", 5.0, "c3"), (2, "u2", 5.0, "c5"),
+        (12, "u1", 1.0, "c1"), (12, "u1", 1.0, "c7"),
     ]
     assert found(spenders.status_list(orders)) == sorted([("delivered",), ("canceled",), (None,)], key=str)
 

@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from plans import executed_plan
@@ -137,3 +138,24 @@ def test_scratch(spark):
     assert kept.count() == 3
     write_table(spark.range(1), f"{folder}/numbers")
     assert read_parquet(spark, f"{folder}/numbers").count() == 1
+
+
+def test_scratch_without_a_checkpoint_folder():
+    unset = SimpleNamespace(conf={"spark.sql.warehouse.dir": "/shared/tables"})
+    assert scratch_folder(unset, "x").startswith("/shared/tables/x-")
+
+
+@pytest.mark.parametrize("row", ["o1,c1,paid,soon,,,,", "o1,c1"])
+def test_damaged_rows_fail(spark, tmp_path, row):
+    names = [f.split()[0] for f in SCHEMAS["orders"].split(",")]
+    (tmp_path / "orders.csv").write_text(",".join(names) + "\n" + row + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read_csv(spark, str(tmp_path / "orders.csv"), SCHEMAS["orders"]).collect()
+    assert read_csv(spark, str(tmp_path / "orders.csv"), SCHEMAS["orders"], mode="PERMISSIVE").count() == 1
+
+
+def test_csv_reports_take_line_breaks(spark, tmp_path):
+    names = [f.split()[0] for f in SCHEMAS["customers"].split(",")]
+    (tmp_path / "c.csv").write_text(",".join(names) + "\nc1,u1,1,\"two\nlines\",X\n")
+    tables = open_csv_tables(spark, {"customers": str(tmp_path / "c.csv")}, multi_line=["customers"])
+    assert tables["customers"].count() == 1

@@ -11,10 +11,12 @@ TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def as_date(df: DataFrame, name: str) -> Column:
-    """Calendar date of a timestamp, date or text column; null and unreadable text give null."""
+    """Calendar date of a timestamp, date or text column; null for null. Unreadable text fails the job."""
     value = df[name]
     if isinstance(df.schema[name].dataType, StringType):
-        value = F.try_to_timestamp(value, F.lit(TEXT_FORMAT))
+        read = F.try_to_timestamp(value, F.lit(TEXT_FORMAT))
+        unreadable = F.raise_error(F.concat(F.lit(f"{name} holds no time: "), value))
+        value = F.when(value.isNull() | read.isNotNull(), read).otherwise(unreadable)
     return F.to_date(value)
 
 

@@ -13,9 +13,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Whole cents up to here are told apart from fractions of a cent.
+MOST_CENTS = 1e14
+
+
 def cents(price: Column | str) -> Column:
+    """Whole cents of a price. One with fractions of a cent, not a number, or out of range fails the job."""
     price = F.col(price) if isinstance(price, str) else price
-    return F.floor(price * 100 + 0.5)
+    exact = price.cast("double") * 100
+    whole = F.floor(exact + 0.5)
+    good = (F.abs(exact) <= MOST_CENTS) & (F.abs(exact - whole) < 0.05)
+    wrong = F.raise_error(F.concat(F.lit("no price in whole cents: "), price.cast("string")))
+    return F.when(price.isNull(), F.lit(None)).when(good, whole).otherwise(wrong)
 
 
 def sum_cents(price: Column | str) -> Column:

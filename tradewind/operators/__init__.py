@@ -1,8 +1,8 @@
 """Generic DataFrame operators; column names are parameters."""
 
-from .aggregates import count_by, mean_by_key, sorted_lists, sum_by
+from .aggregates import count_by, mean_by_key, sum_by
 from .checks import distinct_ratio, duplicate_groups, look_up, null_counts, profile, require_unique, sample_points
-from .joins import match_keys, prune_to_keys
+from .joins import join_spread, match_keys
 from .topn import best_wide, top_ranked, top_rows, top_with_rest
 
 __all__ = [
@@ -10,15 +10,14 @@ __all__ = [
     "count_by",
     "distinct_ratio",
     "duplicate_groups",
+    "join_spread",
     "look_up",
     "match_keys",
     "mean_by_key",
     "null_counts",
     "profile",
-    "prune_to_keys",
     "require_unique",
     "sample_points",
-    "sorted_lists",
     "sum_by",
     "top_ranked",
     "top_rows",

@@ -7,9 +7,6 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Parts that a key with very many values is shuffled in.
-SALTS = 256
-
 
 def count_by(df: DataFrame, *keys: str, name: str = "count", weight: str | None = None) -> DataFrame:
     """Rows per key. ``weight`` names the count column of an input that is already grouped."""
@@ -34,28 +31,3 @@ def mean_by_key(df: DataFrame, key: str, **columns: str) -> DataFrame:
     Collapses a lookup that has many rows per key, so that joining it cannot multiply rows.
     """
     return df.groupBy(key).agg(*(F.avg(source).alias(name) for name, source in columns.items()))
-
-
-def sorted_lists(df: DataFrame, key: str, value: str, *, alias: str, per_row: int) -> DataFrame:
-    """``key, alias``: the distinct values of each key as sorted arrays.
-
-    A key has one row, unless its values are more than ``per_row``. Then they are dealt by hash to as
-    many rows as that takes, about ``per_row`` in each, so no task ever has to hold more and nothing
-    is left out. Such keys are few (at most one per ``per_row`` values), so their row counts are
-    copied to every salt and joined on key and salt: the values of one key stay spread there too.
-    """
-    salt = F.pmod(F.hash(value), F.lit(SALTS)).alias("_salt")
-    pairs = df.select(key, value).distinct()
-    split = (
-        pairs.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_values"))
-        .filter(F.col("_values") > per_row)
-        .select(
-            key,
-            F.ceil(F.col("_values") / per_row).alias("_rows"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-        )
-    )
-    row = F.coalesce(F.pmod(F.xxhash64(value), F.col("_rows")), F.lit(0)).alias("_row")
-    dealt = pairs.select(key, value, salt).join(split, [key, "_salt"], "left").select(key, value, row)
-    return dealt.groupBy(key, "_row").agg(F.sort_array(F.collect_list(value)).alias(alias)).drop("_row")

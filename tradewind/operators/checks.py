@@ -80,6 +80,12 @@ def distinct_ratio(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.withColumn("ratio", F.try_divide(F.col("distinct_rows").cast("double"), F.col("rows").cast("double")))
 
 
-def sample_points(df: DataFrame, columns: Sequence[str], fraction: float, seed: int | None = None) -> DataFrame:
-    """Bernoulli sample of some columns, decided row by row in the scan stage."""
-    return df.select(*columns).sample(fraction=fraction, seed=seed)
+def sample_points(df: DataFrame, columns: Sequence[str], fraction: float, *, key: Sequence[str], seed: int = 0) -> DataFrame:
+    """Bernoulli sample of some columns, decided row by row in the scan stage by a hash of the row's key.
+
+    The same rows come at any file layout. ``key`` names integer or text columns; rows that agree in
+    all of them are taken or left together.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key))
+    drawn = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return df.filter(drawn < int(fraction * 2**32)).select(*columns)

@@ -1,35 +1,40 @@
-"""Joins against a short list of keys."""
+"""Joins of many rows with few."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A list of at most this many keys is tested row by row in the scan stage.
-SHORT_LIST = 100
+# Parts that the rows of one key are dealt to.
+PARTS = 32
 
 
-def prune_to_keys(df: DataFrame, key: str, keys: DataFrame, *, at_most: int = SHORT_LIST) -> DataFrame:
-    """Drop rows of a big table whose key is not in a short list, before they reach a shuffle.
+def match_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows whose key is in a frame of unique keys. Null keys match nothing.
 
-    The list is computed inside the same query, and never more than ``at_most + 1`` keys of it are
-    gathered. If it turns out to be longer, nothing is dropped here. So this only saves work: it
-    must be followed by a join with ``keys``, which decides exactly at any length. Rows without a key
-    cannot match and are always dropped.
+    For a ``df`` with few rows per key, such as sums. Null-safe equality is used because Spark copies
+    a filter on one side of a plain equality to the other side. There it would land below the
+    aggregate that found the keys, which then could not share its shuffle.
     """
     name = keys.columns[0]
-    short = keys.distinct().limit(at_most + 1)
-    listed = short.agg(F.when(F.count(F.lit(1)) <= at_most, F.collect_list(name)).alias("listed")).scalar()
-    return df.filter(df[key].isNotNull() & F.coalesce(F.array_contains(listed, df[key]), F.lit(True)))
+    wanted = keys.filter(F.col(name).isNotNull()).select(F.col(name).alias(f"_{name}"))
+    return df.join(wanted, df[key].eqNullSafe(wanted[f"_{name}"])).select(*df.columns)
 
 
-def match_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows whose key is in a frame of unique keys; the exact partner of ``prune_to_keys``.
+def join_spread(df: DataFrame, few: DataFrame, keys: Sequence[str], *, parts: int = PARTS) -> DataFrame:
+    """Inner join of any number of rows with one row per key; null keys match each other.
 
-    Null-safe equality is used because Spark copies a filter on one side of a plain equality to the
-    other side. There the pruning filter would land below the aggregate that found the keys, which
-    then could not share its shuffle and would scan the big table once more.
+    The rows of a key are dealt by a hash of the whole row, and the row of ``few`` is repeated for
+    each part, so the rows of one key never meet in one task.
     """
-    name = keys.columns[0]
-    wanted = keys.filter(F.col(name).isNotNull()).select(F.col(name).alias(f"_{name}"))
-    return df.join(wanted, df[key].eqNullSafe(wanted[f"_{name}"])).select(*df.columns)
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(parts)).alias("_part")
+    others = [F.col(c) for c in few.columns if c not in keys]
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_few_part")
+    few = few.select(*(F.col(k).alias(f"_few_{k}") for k in keys), *others, every)
+    dealt = df.select("*", part)
+    same = reduce(lambda a, b: a & b, (dealt[k].eqNullSafe(few[f"_few_{k}"]) for k in keys))
+    joined = dealt.join(few, same & (dealt["_part"] == few["_few_part"]))
+    return joined.select(*df.columns, *others)

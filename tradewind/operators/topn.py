@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_spread
+
 
 def top_rows(
     df: DataFrame, groups: Sequence[str], measure: str, n: int, *, tie_break: Sequence[str], position: str = "position"
@@ -27,8 +28,8 @@ def top_ranked(df: DataFrame, groups: Sequence[str], measure: str, n: int) -> Da
 
     A row has rank <= n exactly when its measure reaches that of the n-th row of its group. That
     floor needs n rows per group only; the rows above it are then found by a plain filter or join,
-    so a long tie stays spread over the tasks instead of passing through one window task. As in the
-    window, null measures come last and count as equal.
+    in parts, so a long tie or group stays spread over the tasks instead of passing through one
+    window task. As in the window, null measures come last and count as equal.
     """
     if not groups:
         first = df.select(measure).orderBy(F.desc(measure)).limit(n)
@@ -37,12 +38,9 @@ def top_ranked(df: DataFrame, groups: Sequence[str], measure: str, n: int) -> Da
         return df.filter((floor.getField("nulls") > 0) | (df[measure] >= floor.getField("least")))
 
     first = top_rows(df.select(*groups, measure), groups, measure, n, tie_break=[])
-    floor = first.groupBy(*(F.col(g).alias(f"_{g}") for g in groups)).agg(
-        F.min(measure).alias("_least"), F.count_if(F.col(measure).isNull()).alias("_nulls")
-    )
-    same_group = reduce(lambda a, b: a & b, (df[g].eqNullSafe(floor[f"_{g}"]) for g in groups))
-    reached = (floor["_nulls"] > 0) | (df[measure] >= floor["_least"])
-    return df.join(floor, same_group & reached).select(*df.columns)
+    floor = first.groupBy(*groups).agg(F.min(measure).alias("_least"), F.count_if(F.col(measure).isNull()).alias("_nulls"))
+    reached = (F.col("_nulls") > 0) | (F.col(measure) >= F.col("_least"))
+    return join_spread(df, floor, groups).filter(reached).select(*df.columns)
 
 
 def best_wide(df: DataFrame, group: str, member: str, measure: str, *, k: int = 2, fill: str) -> DataFrame:

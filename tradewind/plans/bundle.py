@@ -6,6 +6,7 @@ and the result tables are computed from there, so an executor lost late costs li
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_date
 from ..operators import count_by, require_unique
-from ..sources import materialize, read_parquet, scratch_folder, table_path, write_table
+from ..sources import materialize, read_parquet, remove_folder, table_path, write_table
 from . import categories, delivery, sellers, shipping, spenders, status
 
 Tables = Mapping[str, DataFrame]
@@ -36,12 +37,15 @@ STATE_SALES = "4_task_salesstate_df"
 CITY_SALES = "4_task_salescity_df"
 ORDERS_PER_STATUS = "5_task_delivery_pipeline"
 SHIP_AHEAD = "6_task_two_days"
+CITY_MAP = "city_map"
+OTHER_STATUSES = "statuses_without_dominant"
 
 
 @dataclass(frozen=True)
 class Settings:
     year: int | None = None
     excluded_status: str = "canceled"
+    dominant_status: str = "delivered"
     count_limits: Sequence[float] = sellers.COUNT_LIMITS
     compression: str = "zstd"
 
@@ -93,9 +97,10 @@ def seller_results(tables: Tables, keep: Callable, settings: Settings) -> Iterat
     sales = keep(sellers.seller_sales(tables["order_items"], known), "seller_sales")
     yield BEST_SELLERS_STATE, sellers.best_sellers_wide(sales, "seller_state")
     yield BEST_SELLERS_CITY, sellers.best_sellers_wide(sales, "seller_city")
+    positions = keep(sellers.zip_positions(tables["geolocation"]), "zip_positions")
     totals = {STATE_SALES: sellers.state_totals, CITY_SALES: sellers.city_totals}
     for name, total in totals.items():
-        yield name, sellers.with_count_bands(total(sales, tables["geolocation"]), settings.count_limits)
+        yield name, sellers.with_count_bands(total(sales, positions), settings.count_limits)
 
 
 FAMILIES: dict[str, Callable[[Tables, Callable, Settings], Iterator[tuple[str, DataFrame]]]] = {
@@ -119,25 +124,47 @@ def needed_tables(families: Sequence[str]) -> list[str]:
 
 def write_reports(
     spark: SparkSession, tables: Tables, folder: str, *, families: Sequence[str] = tuple(FAMILIES),
-    settings: Settings = Settings(),
+    settings: Settings = Settings(), scratch: str | None = None,
 ) -> list[str]:
-    """Write the result tables of some report families; returns their names."""
-    scratch = scratch_folder(spark, "reports")
+    """Write the result tables of some report families; returns their names.
+
+    Intermediate tables go to ``scratch``, by default a folder beside the results, and are removed at
+    the end. Families with the needed results write the map dataset and the other statuses as well.
+    """
+    scratch = f"{scratch or folder}/_scratch-{uuid.uuid4().hex}".replace("//_", "/_")
     written = []
     for family in families:
         for name, result in FAMILIES[family](tables, lambda df, part: materialize(df, scratch, part), settings):
             write_table(result, table_path(folder, name), compression=settings.compression)
             written.append(name)
+    last = {"sellers": (CITY_MAP, report_map(spark, folder)) if "sellers" in families else None,
+            "orders": (OTHER_STATUSES, report_statuses(spark, folder, settings.dominant_status)) if "orders" in families else None}
+    for name, result in filter(None, last.values()):
+        write_table(result, table_path(folder, name), compression=settings.compression)
+        written.append(name)
+    remove_folder(spark, scratch)
     return written
 
 
-def result_counts(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
-    """``result, rows`` of written result tables."""
-    counts = [
-        read_parquet(spark, table_path(folder, name)).agg(F.count(F.lit(1)).alias("rows")).withColumn("result", F.lit(name))
-        for name in names
-    ]
-    return reduce(DataFrame.unionByName, counts).select("result", "rows")
+def result_digests(spark: SparkSession, folder: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``result, rows, digest`` of written result tables: the sum over the rows of 32 bits of the md5 of their columns.
+
+    Columns are joined as text by ``|``, null as nothing, doubles in whole hundredths.
+    """
+
+    def text(df: DataFrame, name: str):
+        value = F.col(f"`{name}`")
+        if df.schema[name].dataType.typeName() == "double":
+            value = F.floor(value * 100 + 0.5).cast("long")
+        return F.coalesce(value.cast("string"), F.lit(""))
+
+    found = []
+    for name, chosen in columns.items():
+        df = read_parquet(spark, table_path(folder, name))
+        bits = F.conv(F.substring(F.md5(F.concat_ws("|", *(text(df, c) for c in chosen))), 1, 8), 16, 10).cast("long")
+        totals = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest"))
+        found.append(totals.withColumn("result", F.lit(name)))
+    return reduce(DataFrame.unionByName, found).select("result", "rows", "digest")
 
 
 def report_map(spark: SparkSession, folder: str) -> DataFrame:

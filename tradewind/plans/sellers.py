@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_date, band, merge_cents, month_start, on_or_after, pick, sum_cents, to_amount
-from ..operators import best_wide, match_keys, mean_by_key, prune_to_keys, top_ranked
+from ..operators import best_wide, match_keys, mean_by_key, top_ranked
 
 # Band limits, marker sizes and marker colours.
 COUNT_LIMITS = (1500, 200, 100, 20, 10)
@@ -49,6 +49,12 @@ def best_sellers_wide(sales: DataFrame, place: str, k: int = 2) -> DataFrame:
     return best_wide(sales, place, "seller_id", "earned", k=k, fill=fill)
 
 
+def zip_positions(geolocation: DataFrame) -> DataFrame:
+    """``zip_code, lat, lng``: the mean position of each zip code. Totals take this in place of all positions too."""
+    means = mean_by_key(geolocation, "geolocation_zip_code_prefix", lat="geolocation_lat", lng="geolocation_lng")
+    return means.withColumnRenamed("geolocation_zip_code_prefix", "zip_code")
+
+
 def place_totals(sales: DataFrame, geolocation: DataFrame, place: str | Sequence[str], counted: str) -> DataFrame:
     """``<place>, revenue, count, lat, lng``: totals and the mean position of the sellers.
 
@@ -57,8 +63,7 @@ def place_totals(sales: DataFrame, geolocation: DataFrame, place: str | Sequence
     the position means weigh every zip code by its sellers.
     """
     places = [place] if isinstance(place, str) else list(place)
-    positions = mean_by_key(geolocation, "geolocation_zip_code_prefix", lat="geolocation_lat", lng="geolocation_lng")
-    positions = positions.withColumnRenamed("geolocation_zip_code_prefix", "zip_code")
+    positions = geolocation if geolocation.columns == ["zip_code", "lat", "lng"] else zip_positions(geolocation)
     by_zip = sales.groupBy(*places, "zip_code").agg(
         merge_cents("earned").alias("earned"), F.count(counted).alias("n"), F.count(F.lit(1)).alias("sellers")
     )
@@ -117,19 +122,23 @@ def top_seller_months(
     """``seller_id, date, month_earnings`` of the sellers with overall rank <= n.
 
     Keeps months from ``from_month`` on in any year and all months from ``from_year`` on; with
-    ``since`` (a date), all months from that date on instead. The few top sellers are known before
-    items meet orders, so only their items are shuffled, summed per order and seller first, lest one
-    order with very many items make one long task.
+    ``since`` (a date), all months from that date on instead. Items are summed per order and seller
+    first: that grouping feeds the totals and the months, and neither a seller nor an order with very
+    many items makes one long task.
     """
-    best = top_ranked(seller_earnings(order_items), [], "earned", n).select("seller_id")
+    sold = order_items.filter(F.col("seller_id").isNotNull())
+    per_order = sold.groupBy("order_id", "seller_id").agg(sum_cents("price").alias("earned"))
+    totals = per_order.groupBy("seller_id").agg(F.sum("earned").alias("earned"))
+    best = top_ranked(totals, [], "earned", n).select("seller_id")
     day = as_date(orders, "order_purchase_timestamp")
     wanted = (F.month(day) >= from_month) | (F.year(day) >= from_year)
     if since is not None:
         wanted = on_or_after(orders, "order_purchase_timestamp", since)
     placed = orders.filter(wanted).select("order_id", month_start(day).alias("date"))
-    items = prune_to_keys(order_items.select("order_id", "seller_id", "price"), "seller_id", best)
-    per_order = items.groupBy("order_id", "seller_id").agg(sum_cents("price").alias("earned"))
-    per_month = per_order.join(placed, "order_id").groupBy("seller_id", "date").agg(F.sum("earned").alias("earned"))
+    # Null-safe, so that no filter comes under the grouping, which then could not feed both.
+    placed = placed.filter(F.col("order_id").isNotNull()).withColumnRenamed("order_id", "placed_id")
+    in_months = per_order.join(placed, F.col("order_id").eqNullSafe(F.col("placed_id")))
+    per_month = in_months.groupBy("seller_id", "date").agg(F.sum("earned").alias("earned"))
     return (
         match_keys(per_month, "seller_id", best)
         .select("seller_id", "date", to_amount("earned").alias("month_earnings"))

@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_date, cents, in_year, merge_cents, month_label, to_amount, year_before_last
-from ..operators import prune_to_keys, sorted_lists, top_rows
+from ..operators import join_spread, top_rows
 from ..sources.schemas import YEAR_PARTITION
 
 PURCHASE = "order_purchase_timestamp"
-# An array of this many ids of 32 characters takes some 50 MB.
-IDS_PER_ROW = 1_000_000
 
 
 def max_payment_by_month(orders: DataFrame, payments: DataFrame, year: int | None = None) -> DataFrame:
@@ -63,25 +61,26 @@ def month_spending(paid: DataFrame) -> DataFrame:
     )
 
 
-def month_spending_unique(paid: DataFrame, customers: DataFrame, *, ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """``order_purchase_month, customer_unique_id, month_payment, customer_ids``: the same per person.
+def month_spending_unique(paid: DataFrame, customers: DataFrame) -> DataFrame:
+    """``order_purchase_month, customer_unique_id, month_payment, customer_id``: the same per person.
 
-    The array lists all ids of the person, in order; ids are gathered for the winners only. A winner
-    with more than ``ids_per_row`` ids has several rows, which share the ids between them.
+    One row per id of the person who paid most in a month, so a person with very many ids is a long
+    result, not a long row. There is one winner a month, whose row is joined with that person's ids
+    in parts.
     """
-    ids = customers.select("customer_unique_id", F.col("customer_id").cast("string").alias("customer_id"))
+    people = customers.select("customer_id", "customer_unique_id")
     per_person = (
-        paid.join(customers.select("customer_id", "customer_unique_id"), "customer_id")
+        paid.join(people, "customer_id")
         .groupBy("order_purchase_month", "customer_unique_id")
         .agg(merge_cents("paid").alias("paid"))
     )
     best = top_rows(per_person, ["order_purchase_month"], "paid", 1, tie_break=["customer_unique_id"])
-    winners_ids = prune_to_keys(ids, "customer_unique_id", best.select("customer_unique_id"))
-    lists = sorted_lists(winners_ids, "customer_unique_id", "customer_id", alias="customer_ids", per_row=ids_per_row)
+    months = best.groupBy("customer_unique_id").agg(F.collect_list(F.struct("order_purchase_month", "paid")).alias("months"))
+    won = join_spread(people, months.filter(F.col("customer_unique_id").isNotNull()), ["customer_unique_id"])
     return (
-        best.join(lists, "customer_unique_id")
-        .select("order_purchase_month", "customer_unique_id", to_amount("paid").alias("month_payment"), "customer_ids")
-        .orderBy("order_purchase_month")
+        won.select("customer_unique_id", F.col("customer_id").cast("string").alias("customer_id"), F.inline("months"))
+        .select("order_purchase_month", "customer_unique_id", to_amount("paid").alias("month_payment"), "customer_id")
+        .orderBy("order_purchase_month", "customer_unique_id", "customer_id")
     )
 
 

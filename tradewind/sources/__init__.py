@@ -12,7 +12,7 @@ from .files import (
     write_table,
 )
 from .schemas import SCHEMAS
-from .scratch import materialize, scratch_folder
+from .scratch import materialize, remove_folder, scratch_folder
 from .star import StarTables
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "open_tables",
     "read_csv",
     "read_parquet",
+    "remove_folder",
     "scratch_folder",
     "table_path",
     "write_table",

@@ -13,15 +13,22 @@ from .schemas import SCHEMAS, YEAR_PARTITION
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, *, multi_line: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    *,
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
+    **options,
 ) -> DataFrame:
     """A comma-separated file (or folder of files) with a header.
 
     With a schema there is no inference pass, and the header must list the schema's columns, so a
     reordered file fails instead of shifting its values. Without one the types are inferred.
-    ``multi_line`` allows line breaks inside quotes; such files cannot be split over tasks.
+    ``multi_line`` allows line breaks inside quotes; such files cannot be split over tasks. A value
+    that cannot be read as its type fails the job; ``mode="PERMISSIVE"`` makes it null instead.
     """
-    reader = spark.read.options(header=True, sep=",", timestampFormat=TEXT_FORMAT, multiLine=multi_line, **options)
+    reader = spark.read.options(header=True, sep=",", timestampFormat=TEXT_FORMAT, multiLine=multi_line, mode=mode, **options)
     if schema is None:
         return reader.csv(path, inferSchema=True)
     return reader.schema(schema).csv(path, enforceSchema=False)
@@ -74,7 +81,8 @@ def ingest(
         df, partition_by = read_csv(spark, path, SCHEMAS[table], multi_line=table in multi_line, **options), ()
         if table == "orders" and orders_by_year:
             df = df.withColumn(YEAR_PARTITION, F.year("order_purchase_timestamp"))
-            partition_by = (YEAR_PARTITION,)
+            # A file or a few per year, however many tasks read the text.
+            df, partition_by = df.hint("rebalance", YEAR_PARTITION), (YEAR_PARTITION,)
         write_table(df, table_path(folder, table), compression=compression, partition_by=partition_by)
 
 
@@ -83,6 +91,10 @@ def open_tables(spark: SparkSession, folder: str, tables: Sequence[str] = tuple(
     return {table: read_parquet(spark, table_path(folder, table)) for table in tables}
 
 
-def open_csv_tables(spark: SparkSession, csv_paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """The CSV tables by name, for reports straight from CSV."""
-    return {table: read_csv(spark, path, SCHEMAS[table]) for table, path in csv_paths.items()}
+def open_csv_tables(
+    spark: SparkSession, csv_paths: Mapping[str, str], *, multi_line: Sequence[str] = ()
+) -> dict[str, DataFrame]:
+    """The CSV tables by name, for reports straight from CSV. ``multi_line`` is as in ``ingest``."""
+    return {
+        table: read_csv(spark, path, SCHEMAS[table], multi_line=table in multi_line) for table, path in csv_paths.items()
+    }

@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .files import read_parquet, write_table
 
-SETTING = "spark.checkpoint.dir"
-
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
-
-    Only a local session without that setting, as in tests, gets a temporary folder of its own.
-    """
-    base = spark.conf.get(SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tradewind-")
+    """A fresh folder that all executors share: in ``spark.checkpoint.dir``, or in the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a scratch folder and all in it, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write an intermediate table and read it back: lost executors cost no recomputation before it."""
     path = f"{folder}/{name}"

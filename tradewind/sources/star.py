@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .files import read_parquet
 
@@ -15,12 +12,8 @@ ESTIMATED_DAYS = 60
 DELIVERED, CANCELED = "F", "P"
 # Brands 1 ... 24 have a translated name; the 25th has none.
 TRANSLATED_BRANDS = 24
-
-
-@lru_cache(maxsize=None)
-def stored_schema(spark: SparkSession, path: str) -> StructType:
-    """Types as written, looked up once per session and path, since each look-up is a job."""
-    return read_parquet(spark, path).schema
+# Zip codes from 0 on that sellers have and positions don't.
+UNKNOWN_ZIP_CODES = 5
 
 
 class StarTables:
@@ -29,10 +22,14 @@ class StarTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        # Types as written, looked up once per table, since each look-up is a job.
+        self.schemas = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        return read_parquet(self.spark, path, stored_schema(self.spark, path))
+        if name not in self.schemas:
+            self.schemas[name] = read_parquet(self.spark, path).schema
+        return read_parquet(self.spark, path, self.schemas[name])
 
     @property
     def orders(self) -> DataFrame:
@@ -105,14 +102,11 @@ class StarTables:
 
     @property
     def geolocation(self) -> DataFrame:
-        return (
-            self.raw("customer")
-            .filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_nationkey") < 20))
-            .select(
-                F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
-                F.col("c_acctbal").alias("geolocation_lat"),
-                (-F.col("c_acctbal")).alias("geolocation_lng"),
-            )
+        """Positions of all customers; the first zip codes of sellers have none."""
+        return self.raw("customer").select(
+            (F.col("c_nationkey") + UNKNOWN_ZIP_CODES).alias("geolocation_zip_code_prefix"),
+            F.col("c_acctbal").alias("geolocation_lat"),
+            (F.col("c_custkey") % 3600 / 10 - 180).alias("geolocation_lng"),
         )
 
     def tables(self) -> dict[str, DataFrame]:
