@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, langid, mixing, packing, quality, repeats, rules, simhash, tokenfiles
+from . import counting, langid, mixing, packing, quality, repeats, rules, simhash, tokenfiles, topk
 from .common import crc_of_id, reach_workers, shared_folder, written
 
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,13 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents(spark, folder), tokenizer("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 50; all rows are searched, the query's own too."""
+    reach_workers(spark)
+    codes = written(topk.sign_codes(spark.read.parquet(f"{folder}/embeddings.parquet"), "vec_id", "embedding"), "sign-codes")
+    return topk.nearest(codes, codes.where("id % 50 = 0"), k=10)
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = counting.count_tokens(documents(spark, folder), tokenizer("piece_bpe_32k.model"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
@@ -76,4 +83,4 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removals(documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op3_topk_search, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files, op10_suffix_dedup)}
