@@ -129,20 +129,25 @@ def write_reports(
     """Write the result tables of some report families; returns their names.
 
     Intermediate tables go to ``scratch``, by default a folder beside the results, and are removed at
-    the end. Families with the needed results write the map dataset and the other statuses as well.
+    the end. The map dataset and the other statuses come from written results.
     """
     scratch = f"{scratch or folder}/_scratch-{uuid.uuid4().hex}".replace("//_", "/_")
     written = []
-    for family in families:
-        for name, result in FAMILIES[family](tables, lambda df, part: materialize(df, scratch, part), settings):
-            write_table(result, table_path(folder, name), compression=settings.compression)
-            written.append(name)
-    last = {"sellers": (CITY_MAP, report_map(spark, folder)) if "sellers" in families else None,
-            "orders": (OTHER_STATUSES, report_statuses(spark, folder, settings.dominant_status)) if "orders" in families else None}
-    for name, result in filter(None, last.values()):
+
+    def save(name: str, result: DataFrame) -> None:
         write_table(result, table_path(folder, name), compression=settings.compression)
         written.append(name)
-    remove_folder(spark, scratch)
+
+    try:
+        for family in families:
+            for name, result in FAMILIES[family](tables, lambda df, part: materialize(df, scratch, part), settings):
+                save(name, result)
+    finally:
+        remove_folder(spark, scratch)
+    if "sellers" in families:
+        save(CITY_MAP, report_map(spark, folder))
+    if "orders" in families:
+        save(OTHER_STATUSES, report_statuses(spark, folder, settings.dominant_status))
     return written
 
 
