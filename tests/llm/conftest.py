@@ -43,8 +43,9 @@ def rows():
 def docs(spark, rows):
     """With columns whose names operators use themselves."""
     frame = spark.createDataFrame(rows, COLUMNS).repartition(3)
-    clash = ["size", "piece", "start", "length", "_fingerprint_", "rank", "low", "text_key_", "n", "_id_"]
-    return frame.select("*", *(F.lit(-7).alias(c) for c in clash)).cache()
+    clash = ["size", "piece", "start", "length", "_fingerprint", "rank", "low", "text_key", "id_key", "n", "_id", "_print", "keep_id",
+             "_spans", "_copy", "_source", "_rank", "source_key", "extra_0", "extra_7", "ids", "score", "statistics"]
+    return frame.select("*", *(F.lit(-7 - i).alias(c) for i, c in enumerate(clash))).cache()
 
 
 @pytest.fixture(scope="session")

@@ -14,6 +14,11 @@ from tradewind.llm.components import components
 from tradewind.llm.suffixes import suffix_order
 
 
+def extras(docs):
+    """The values of the columns behind those of documents, the same in all rows."""
+    return docs.select(*docs.columns[5:]).distinct().collect()
+
+
 def print_by_hand(text):
     words = re.findall(WORD, re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), text or ""))
     shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
@@ -44,7 +49,7 @@ def test_near_duplicates(docs, rows, empty):
     assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in found) == expected
     assert simhash.near_duplicates(empty).count() == 0
     left = simhash.without_near_duplicates(docs)
-    assert left.columns == docs.columns
+    assert left.columns == docs.columns and extras(left) == extras(docs)
     assert Counter(print_by_hand(r.text) for r in left.collect()).most_common(1)[0][1] == 1
     assert left.count() == len({frozenset(g) for g in group.values()})
 
@@ -129,5 +134,6 @@ def test_removals(spark, docs, rows, empty, monkeypatch, shard, piece):
 def test_texts_without_repeats(docs, rows):
     left = repeats.without_repeats(docs)
     assert left.columns == docs.columns and left.count() == len(rows)
+    assert extras(left) == extras(docs)
     by_id = {r.doc_id: r for r in left.collect()}
     assert by_id[3].text == "" and by_id[3].n_chars == 0 and by_id[2000].text is None and by_id[1003].text == "a"

@@ -49,6 +49,7 @@ def test_mixed_documents_hold_the_words_taken(docs, rows):
         taken[r.doc_id] += r.taken
     mixed = mixing.mixed_documents(docs, WEIGHTS, block_words=16)
     assert mixed.columns == docs.columns
+    assert mixed.select(*docs.columns[5:]).distinct().collect() == docs.select(*docs.columns[5:]).distinct().collect()
     words = Counter()
     texts = {}
     for r in rows:

@@ -44,6 +44,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, own: tuple[str, ...]) -> DataFrame:
+    """`docs` with all columns but the `own` ones renamed, in place, to names that no operator uses; `toDF` with the old
+    names undoes it."""
+    return docs.toDF(*(c if c in own else f"extra_{i}" for i, c in enumerate(docs.columns)))
+
+
 def crc_of_id(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))

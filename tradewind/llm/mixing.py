@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, running_totals, written
+from .common import WORD, running_totals, set_aside, written
 
 BLOCK_WORDS = 128
 SLOTS_PER_SHARD = 1024
@@ -91,7 +91,8 @@ def draw(quotas: DataFrame, slots: int, block_words: int) -> DataFrame:
     """Draws: shard, source_key, block, the pass over the source, and how many of the block's first words it takes.
 
     A source that is drawn more often than its quota gives its last draws to the sources drawn too rarely, in their
-    shards, so each source is drawn as often as its quota says.
+    shards, so each source is drawn as often as its quota says. A source's draws are numbered bucket by bucket of shards,
+    so no task goes through all shards.
     """
     spark = quotas.sparkSession
     slot = spark.range(slots).select(
@@ -102,17 +103,17 @@ def draw(quotas: DataFrame, slots: int, block_words: int) -> DataFrame:
     first_cell, last_cell = (F.col("low") / width).cast("long"), ((F.col("high") - 1) / width).cast("long")
     cells = quotas.where("draws > 0").select("source_key", "low", "high", F.explode(F.sequence(first_cell, last_cell)).alias("cell"))
     found = slot.withColumn("cell", (F.col("drawn") / width).cast("long")).join(cells, "cell").where("low <= drawn AND drawn < high")
-    counts = found.groupBy("shard", "source_key").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("source_key").orderBy("shard")
-    counts = counts.withColumn("end", F.sum("n").over(before)).join(quotas.select("source_key", "draws"), "source_key")
+    counts = written(found.groupBy("shard", "source_key").agg(F.count("*").alias("n")), "draws")
+    numbered = running_totals(counts, ["source_key"], ["shard"], {"begin": F.col("n")})
     # Draws beyond the quota, numbered over all shards, and draws that are missing, numbered over all sources.
-    own = counts.withColumn("kept", F.greatest(F.least(F.col("n"), F.col("draws") - (F.col("end") - F.col("n"))), F.lit(0)))
+    kept = F.greatest(F.least(F.col("n"), F.col("draws") - F.col("begin")), F.lit(0))
+    own = numbered.join(quotas.select("source_key", "draws"), "source_key").withColumn("kept", kept)
     taken = own.where("kept > 0").select(
-        "shard", "source_key", F.explode(F.sequence(F.col("end") - F.col("n"), F.col("end") - F.col("n") + F.col("kept") - 1)).alias("k")
+        "shard", "source_key", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("kept") - 1)).alias("k")
     )
     free = own.groupBy("shard").agg(F.sum(F.col("n") - F.col("kept")).alias("free")).where("free > 0")
-    free = free.withColumn("until", F.sum("free").over(Window.orderBy("shard")))
-    free = free.select("shard", F.explode(F.sequence(F.col("until") - F.col("free"), F.col("until") - 1)).alias("spare"))
+    free = running_totals(free, [], ["shard"], {"begin": F.col("free")})
+    free = free.select("shard", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("free") - 1)).alias("spare"))
     had = counts.groupBy("source_key").agg(F.sum("n").alias("had"))
     short = quotas.join(had, "source_key", "left").withColumn("had", F.coalesce("had", F.lit(0)))
     short = short.withColumn("lack", F.greatest(F.col("draws") - F.col("had"), F.lit(0))).where("lack > 0")
@@ -179,13 +180,15 @@ def words_taken(placed: DataFrame, parts: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights: list[int], **options: float) -> DataFrame:
     """What the mix takes, as documents with the columns of `docs`: a row for each document and pass over its source
     that takes words of it. A text taken whole is left as it is; else its taken words are joined by spaces, in order.
+    Other columns may have any names.
     """
+    names, docs = docs.columns, set_aside(docs, ("doc_id", "text", "source", "n_chars"))
     placed, parts = mix(docs, weights, **options)
     # Rows that agree in id, source and text are alike; a number tells them apart on both sides of the join.
     alike = ["_id", "_source", "_hash"]
     copy = F.row_number().over(Window.partitionBy(*alike).orderBy("_rank"))
-    names = {"_id": F.col("doc_id"), "_source": F.col("source_key"), "_hash": F.col("text_hash"), "_rank": F.col("rank")}
-    ranked = placed.select(*(c.alias(n) for n, c in names.items()), F.col("size").alias("_size")).withColumn("_copy", copy)
+    placing = {"_id": F.col("doc_id"), "_source": F.col("source_key"), "_hash": F.col("text_hash"), "_rank": F.col("rank")}
+    ranked = placed.select(*(c.alias(n) for n, c in placing.items()), F.col("size").alias("_size")).withColumn("_copy", copy)
     spans = F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("_spans")
     taken = parts.groupBy(F.col("source_key").alias("_source"), F.col("rank").alias("_rank"), "turn").agg(spans)
     taken = ranked.join(taken, ["_source", "_rank"]).drop("_rank")
@@ -201,4 +204,4 @@ def mixed_documents(docs: DataFrame, weights: list[int], **options: float) -> Da
     found = texts.join(taken, same).withColumn("text", text)
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    return found.select(*docs.columns).toDF(*names)

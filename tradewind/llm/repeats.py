@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import set_aside, text_batches, written
 from .suffixes import powers, suffix_order
 
 LENGTH = 200
@@ -294,8 +294,9 @@ def removals(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with repeated strings removed from their texts; bytes of a character that is cut go with it.
-    `n_chars`, if there, is counted anew. Null texts stay null."""
-    names = docs.columns
+    `n_chars`, if there, is counted anew. Null texts stay null. Other columns may have any names."""
+    plain = set_aside(docs, ("doc_id", "text", "n_chars"))
+    names = plain.columns
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
@@ -306,4 +307,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in left], batch.column("n_chars").type)
             yield pa.RecordBatch.from_pydict(columns)
 
-    return _marked(docs).select(*names, "_spans").mapInArrow(clean, docs.schema)
+    return _marked(plain).select(*names, "_spans").mapInArrow(clean, plain.schema).toDF(*docs.columns)

@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import text_batches, written
+from .common import set_aside, text_batches, written
 from .components import components
 
 SEED = 42
@@ -62,8 +63,7 @@ def with_fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             found = hash_texts([t or "" for t in batch.column("text").to_pylist()], shingle)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*names, "_fingerprint"])
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(add, ", ".join([*kinds, "_fingerprint long"]))
+    return docs.mapInArrow(add, StructType([*docs.schema.fields, StructField("_fingerprint", LongType())]))
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -255,8 +255,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
 
 
 def without_near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """One row of each component of `docs`, that with the least doc_id, with all its columns."""
-    printed = written(with_fingerprints(docs, shingle), "fingerprints")
-    keepers = classes(printed.select("doc_id", "_fingerprint"), bits).where("keeper").select("_fingerprint", "keep_id")
-    own = printed.join(keepers, "_fingerprint").where("doc_id <=> keep_id")
-    return own.dropDuplicates(["_fingerprint"]).select(*docs.columns)
+    """One row of each component of `docs`, that with the least doc_id, with all its columns, whatever their names.
+
+    Texts meet their component's keeper by fingerprint and id, so a fingerprint with very many documents is dealt to all
+    tasks.
+    """
+    plain = set_aside(docs, ("doc_id", "text"))
+    printed = written(with_fingerprints(plain, shingle), "fingerprints")
+    keepers = classes(printed.select("doc_id", "_fingerprint"), bits).where("keeper")
+    keepers = keepers.select(F.col("_fingerprint").alias("_print"), F.col("keep_id").alias("_id"))
+    own = printed.join(keepers, (F.col("_fingerprint") == F.col("_print")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    return own.dropDuplicates(["_fingerprint"]).select(*plain.columns).toDF(*docs.columns)
