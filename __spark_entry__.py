@@ -23,7 +23,7 @@ from tradewind.operators import (
     sum_by,
 )
 from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
-from tradewind.sources import SCHEMAS, StarTables, columns_at, first_rows, ingest, open_tables, scratch_folder
+from tradewind.sources import SCHEMAS, StarTables, columns_at, first_rows, ingest, open_tables, read_csv, scratch_folder
 from tradewind.sources.star import CANCELED, DELIVERED
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -574,6 +574,101 @@ register(
 )
 
 
+def as_input(t: StarTables, table: str) -> DataFrame:
+    """A test table with the columns of `SCHEMAS`, those that it lacks being null."""
+    df, schema = getattr(t, table), StructType.fromDDL(SCHEMAS[table])
+    return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+
+
+# Tables with a test table of their kind, and their columns that it fills. Reviews have none.
+FILLED = {
+    "customers": ["customer_id", "customer_unique_id"],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"],
+    "order_items": ["order_id", "product_id", "seller_id", "price"],
+    "order_payments": ["order_id", "payment_value"],
+    "orders": ["order_id", "customer_id", "order_status"],
+    "products": ["product_id", "product_category_name"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "category_translation": ["product_category_name", "product_category_name_english"],
+}
+
+
+def ingest_all_tables(t: StarTables) -> DataFrame:
+    """All tables as CSV text, reviews with a line break in quotes, ingested together; rows and digest of each."""
+    folder = scratch_folder(t.spark, "ingest-all")
+    reviews = t.raw("orders").select(
+        F.concat(F.lit("r"), F.col("o_orderkey")).alias("review_id"),
+        F.col("o_orderkey").alias("order_id"),
+        (F.col("o_orderkey") % 5 + 1).alias("review_score"),
+        F.concat(F.col("o_orderstatus"), F.lit("\nline 2, \"quoted\"")).alias("review_comment_message"),
+    )
+    stars = {table: as_input(t, table) for table in FILLED}
+    schema = StructType.fromDDL(SCHEMAS["order_reviews"])
+    stars["order_reviews"] = reviews.select(
+        *((F.col(f.name) if f.name in reviews.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema)
+    )
+    for table, df in stars.items():
+        df.write.option("escape", '"').csv(f"{folder}/csv/{table}", header=True, timestampFormat="yyyy-MM-dd HH:mm:ss")
+    ingest(t.spark, {x: f"{folder}/csv/{x}" for x in stars}, f"{folder}/parquet", multi_line=["order_reviews"], escape='"')
+    columns = {**FILLED, "order_reviews": [*reviews.columns]}
+    return bundle.result_digests(t.spark, f"{folder}/parquet", columns)
+
+
+def ingested_digest(table: str, source: str, values: list[str]) -> str:
+    row = ", ".join(f"coalesce(CAST({v} AS VARCHAR), '')" for v in values)
+    bits = f"CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 8) AS BIGINT)"
+    return (
+        f"SELECT '{table}' AS result, count(*) AS \"rows\", CAST(coalesce(sum({bits}), 0) AS BIGINT) AS digest FROM {source}"
+    )
+
+
+def hundredths(value: str) -> str:
+    return f"CAST(floor({value} * 100 + 0.5) AS BIGINT)"
+
+
+register(
+    "ingest_all_tables",
+    ingest_all_tables,
+    " UNION ALL ".join(
+        ingested_digest(*x)
+        for x in (
+            ("customers", "orders", ["o_orderkey", "o_custkey"]),
+            ("geolocation", "customer", ["c_nationkey + 5", hundredths("c_acctbal"), hundredths("(c_custkey % 3600 / 10 - 180)")]),
+            ("order_items", "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", hundredths("l_extendedprice")]),
+            ("order_payments", "lineitem", ["l_orderkey", hundredths("l_extendedprice")]),
+            ("orders", "orders", ["o_orderkey", "o_orderkey", "o_orderstatus"]),
+            ("products", "part", ["p_partkey", "p_brand"]),
+            (
+                "sellers",
+                "supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
+                ["s_suppkey", "s_nationkey", "n_name", "r_name"],
+            ),
+            ("category_translation", "range(1, 25) AS b(n)", ["'Brand#' || n", "'brand_' || lpad(CAST(n AS VARCHAR), 2, '0')"]),
+            (
+                "order_reviews",
+                "orders",
+                ["'r' || o_orderkey", "o_orderkey", "o_orderkey % 5 + 1", "o_orderstatus || chr(10) || 'line 2, \"quoted\"'"],
+            ),
+        )
+    ),
+)
+
+
+def marked_csv(t: StarTables) -> DataFrame:
+    """Products from CSV files whose headers begin with a byte order mark."""
+    folder = scratch_folder(t.spark, "marked")
+    products = t.products.select(F.col("product_id").cast("string").alias("\ufeffproduct_id"), "product_category_name")
+    products.write.csv(folder, header=True)
+    return read_csv(t.spark, folder, "product_id string, product_category_name string")
+
+
+register(
+    "byte_order_mark",
+    marked_csv,
+    "SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_brand AS product_category_name FROM part",
+)
+
+
 # Result tables: the query with the same rows, and the columns compared. Prices and positions count in hundredths.
 BUNDLE = {
     bundle.DELAY_HISTOGRAM: ("delay_histogram", ["days_delayed", "no_orders"]),

@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -7,8 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TESTDATA = Path(os.environ.get("TESTDATA_DIR", "/root/testdata"))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

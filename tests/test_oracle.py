@@ -4,7 +4,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import TESTDATA
+from testdata import TESTDATA
 
 import __spark_entry__ as registry
 

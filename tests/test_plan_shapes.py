@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import TESTDATA
+from testdata import TESTDATA
 from plans import executed_plan, full_plan, scans
 
 import __spark_entry__ as registry

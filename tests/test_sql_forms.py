@@ -1,7 +1,7 @@
 """The same questions asked in Spark SQL over views give the same rows."""
 
 import pytest
-from conftest import TESTDATA
+from testdata import TESTDATA
 
 from tradewind.plans import categories, delivery, spenders, status
 from tradewind.sources import StarTables

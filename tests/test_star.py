@@ -1,7 +1,7 @@
 """The input tables do not depend on how the star schema was written."""
 
 import pytest
-from conftest import TESTDATA
+from testdata import TESTDATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
