@@ -77,3 +77,25 @@ def test_empty_table(empty):
 def test_no_python_runs_on_executors(docs):
     plan = mixing.mixed_documents(docs, WEIGHTS)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_places_undo_permutations(spark):
+    from pyspark.sql import functions as F
+
+    for n in (1, 2, 3, 5, 12, 97, 1000):
+        count, key = F.lit(n).cast("long"), (F.lit("s"), F.lit(1).cast("long"))
+        moved = spark.range(n).select("id", mixing._permuted(F.col("id"), count, *key).alias("x"))
+        assert moved.where(mixing._place(F.col("x"), count, *key) != F.col("id")).count() == 0
+
+
+@pytest.mark.parametrize("most", [1.3, 2.0])
+def test_small_sources_reach_their_targets(spark, most):
+    """Beside a hot source, sources of less than a block and of few blocks are taken to their limit, word by word."""
+    sizes = {"hot": 30_000} | {f"s{n}": n for n in (1, 5, 10, 64, 127, 128, 129, 130, 400, 900, 5_000)}
+    rows = [(i, " ".join(["w"] * n), "en", s, 2 * n - 1) for i, (s, n) in enumerate(sizes.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = mixing.words_taken(*mixing.mix(docs, [9, 1, 2], most=most, share=1.2)).collect()
+    goal = {r.source: r.target for r in found}
+    assert sum(goal[s] == most * n for s, n in sizes.items()) >= 5
+    for r in found:
+        assert abs(r.taken - r.target) <= 0.5

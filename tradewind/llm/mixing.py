@@ -3,11 +3,12 @@
 The words of a source's documents, one after another, are cut into blocks of a fixed number of words. The mix is a row
 of slots, cut into output shards; each slot draws a source, so a shard's counts per source are multinomial. A source's
 k-th draw takes its block pi(k), where pi is a pseudorandom permutation of the block numbers, a new one for each pass
-over the source; blocks and draws are joined by block number.
+over the source; blocks and draws are joined by block number. A source's draws end with the word that reaches its target.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,21 +59,50 @@ def targets(sizes: DataFrame, weights: list[int], share: float, most: float) ->
     )
 
 
-def _quotas(goals: DataFrame, block_words: int, most: float) -> DataFrame:
-    """Per source: blocks, draws, words of the last draw, and the source's part [low, high) of all draws."""
+def _quotas(goals: DataFrame, block_words: int) -> DataFrame:
+    """Per source: blocks, draws, words of the last draw, and the source's part [low, high) of all draws.
+
+    The draws are whole passes over the source, and one pass more until the words left are used up. A source's last block
+    may be shorter than the others, so it counts where that block comes in this pass.
+    """
+    whole = F.lit(block_words)
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    words = F.round("target").cast("long")
-    draws = F.least(F.ceil(words / block_words).cast("long"), F.floor(blocks * most).cast("long"))
-    q = goals.withColumns({"blocks": blocks, "draws": draws})
-    q = q.withColumn("last_words", F.least(words - (F.col("draws") - 1) * block_words, F.lit(block_words)))
-    return q.withColumn("high", F.sum("draws").over(Window.orderBy("source_key"))).withColumn("low", F.col("high") - F.col("draws"))
+    q = goals.withColumns({"blocks": blocks, "words": F.round("target").cast("long")})
+    q = q.withColumn("rest", F.pmod("words", F.greatest("source_size", F.lit(1))))
+    q = q.withColumn("passes", ((F.col("words") - F.col("rest")) / F.greatest("source_size", F.lit(1))).cast("long"))
+    place = _place(F.col("blocks") - 1, F.greatest("blocks", F.lit(1)), F.col("source_key"), F.col("passes"))
+    q = q.withColumns({"place": place, "missing": F.col("blocks") * block_words - F.col("source_size")})
+
+    def held(draws: Column) -> Column:
+        """Words of the last pass's first `draws` blocks."""
+        return draws * whole - F.when(F.col("place") < draws, F.col("missing")).otherwise(0)
+
+    few = F.ceil(F.col("rest") / block_words).cast("long")
+    q = q.withColumn("more", few + (held(few) < F.col("rest")).cast("long"))
+    last = F.when(F.col("rest") > 0, F.col("rest") - held(F.col("more") - 1)).otherwise(whole)
+    q = q.withColumns({"draws": F.col("passes") * F.col("blocks") + F.col("more"), "last_words": last})
+    q = q.withColumn("high", F.sum("draws").over(Window.orderBy("source_key"))).withColumn("low", F.col("high") - F.col("draws"))
+    return q.drop("words", "rest", "passes", "place", "missing", "more")
+
+
+def _grid(n: Column) -> tuple[Column, Column]:
+    """Rows and columns of a grid that holds n numbers and fewer than a row more."""
+    rows = F.greatest(F.floor(F.sqrt(n)).cast("long"), F.lit(1).cast("long"))
+    return rows, F.ceil(n / rows).cast("long")
+
+
+def _walked(start: Column, n: Column, step: Callable[[Column], Column]) -> Column:
+    """The first number below n of step(start), step(step(start)), ..."""
+    walk = F.sequence(F.lit(1), F.lit(WALK))
+    # Nearly all numbers lie below n after one step, so the walk is seldom taken.
+    first = step(start)
+    return F.when(first < n, first).otherwise(F.aggregate(walk, first, lambda x, _: F.when(x < n, x).otherwise(step(x))))
 
 
 def _permuted(k: Column, n: Column, *key: Column, rounds: int = 4) -> Column:
     """pi(k) for k in [0, n): a Feistel network on a rows-by-columns grid that holds n numbers and fewer than a row
     more, walked on until the number lies below n."""
-    rows = F.greatest(F.floor(F.sqrt(n)).cast("long"), F.lit(1).cast("long"))
-    columns = F.ceil(n / rows).cast("long")
+    rows, columns = _grid(n)
 
     def step(x: Column) -> Column:
         a, b = (x / columns).cast("long"), F.pmod(x, columns)
@@ -83,10 +113,23 @@ def _permuted(k: Column, n: Column, *key: Column, rounds: int = 4) -> Column:
                 b = F.pmod(b + F.pmod(F.xxhash64(F.lit(SEED + i), *key, a), columns), columns)
         return a * columns + b
 
-    walk = F.sequence(F.lit(1), F.lit(WALK))
-    # Nearly all numbers lie below n after one step, so the walk is seldom taken.
-    first = step(k)
-    return F.when(first < n, first).otherwise(F.aggregate(walk, first, lambda x, _: F.when(x < n, x).otherwise(step(x))))
+    return _walked(k, n, step)
+
+
+def _place(block: Column, n: Column, *key: Column, rounds: int = 4) -> Column:
+    """The k in [0, n) with pi(k) = block: the network's rounds undone from the last on, and the same walk."""
+    rows, columns = _grid(n)
+
+    def step(x: Column) -> Column:
+        a, b = (x / columns).cast("long"), F.pmod(x, columns)
+        for i in reversed(range(rounds)):
+            if i % 2:
+                a = F.pmod(a - F.pmod(F.xxhash64(F.lit(SEED + i), *key, b), rows), rows)
+            else:
+                b = F.pmod(b - F.pmod(F.xxhash64(F.lit(SEED + i), *key, a), columns), columns)
+        return a * columns + b
+
+    return _walked(block, n, step)
 
 
 def draw(quotas: DataFrame, slots: int, block_words: int) -> DataFrame:
@@ -154,7 +197,7 @@ def mix(
     columns = ["doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size"), source_key().alias("source_key")]
     sizes = written(docs.select(*columns), "sizes")
     goals = written(targets(sizes, weights, share, most), "targets")
-    quotas = _quotas(goals, block_words, most)
+    quotas = written(_quotas(goals, block_words), "quotas")
     slots = quotas.agg(F.coalesce(F.sum("draws"), F.lit(0))).first()[0]
     order = ["doc_id", "size", "text_hash"]
     ranked = running_totals(sizes, ["source_key"], order, {"low": F.col("size"), "rank": F.lit(1)})
