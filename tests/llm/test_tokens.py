@@ -42,6 +42,19 @@ def test_counter_gives_the_librarys_counts(texts):
     assert counting.prefix_counter(PIECE).totals(pa.array(texts)) == [len(model.encode(t)) for t in texts]
 
 
+def test_null_characters_are_counted():
+    model = SentencePieceProcessor(model_file=PIECE)
+    texts = ["a\0b c", "\0", "\0a", "a\0", "a \0 b", "\0\0 a", "a\0\0b", " \0", "▁\0", "no such character"]
+    assert counting.prefix_counter(PIECE).totals(pa.array(texts)) == [len(model.encode(t)) for t in texts]
+
+    @settings(max_examples=60, deadline=None)
+    @given(st.lists(st.text(st.sampled_from("aeT é\0.\n▁日"), max_size=20), min_size=1, max_size=20))
+    def check(texts):
+        assert counting.prefix_counter(PIECE).totals(pa.array(texts)) == [len(model.encode(t)) for t in texts]
+
+    check()
+
+
 def test_every_prefix_is_counted_from_the_table():
     model = SentencePieceProcessor(model_file=PIECE)
     for text in ["Thing of  the\nworld, 日本 é ", "a", " x y", "one▁two three"]:
