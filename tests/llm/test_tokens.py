@@ -65,6 +65,37 @@ def test_every_prefix_is_counted_from_the_table():
             assert counting.longest_prefix(text, ends, tokens, budget, PIECE) == max(i for i, n in enumerate(counts) if n <= budget)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.one_of(TEXT, st.text(st.sampled_from("aeinorst \0▁日"), max_size=40)))
+def test_tables_hold_every_prefix(text):
+    model = SentencePieceProcessor(model_file=PIECE)
+    counts = [len(model.encode(text[:i])) for i in range(1, len(text) + 1)]
+    assert counting.prefix_counter(PIECE).table(text) == (list(range(1, len(text) + 1)), counts)
+
+
+def test_tables_of_longer_texts(rows):
+    model = SentencePieceProcessor(model_file=PIECE)
+    for text in [r[1] for r in rows[:8]] + ["日本語" * 60, "internationalization" * 9, "a" * 200, "x▁" * 50, " " * 70]:
+        _, counts = counting.prefix_counter(PIECE).table(text)
+        assert counts == [len(model.encode(text[:i])) for i in range(1, len(text) + 1)]
+
+
+def test_long_texts_are_encoded_once(monkeypatch):
+    counter, encoded = counting.PrefixCounter(PIECE), []
+    encode = counter.model.encode
+
+    def counted(texts, **options):
+        encoded.append(sum(map(len, [texts] if isinstance(texts, str) else texts)))
+        return encode(texts, **options)
+
+    monkeypatch.setattr(counter.model, "encode", counted)
+    text = "one▁two " * 500
+    assert counter.totals(pa.array([text])) == [len(encode(text))]
+    assert sum(encoded) == len(text)
+    ends, tokens = counter.table("日本" * 5_000)
+    assert len(ends) == len(tokens) == 10_000 and sum(encoded) == len(text)
+
+
 def test_token_counts(docs, rows, empty):
     model = SentencePieceProcessor(model_file=PIECE)
     found = Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in counting.count_tokens(docs, PIECE).collect())
