@@ -85,6 +85,17 @@ def test_code_lengths(spark):
     np.testing.assert_allclose(langid.code_lengths(model, data), expected, rtol=1e-5)
 
 
+def test_all_contexts_of_a_small_language_count(spark):
+    random = np.random.default_rng(3)
+    common = "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 400_000))
+    rare = ["ÀB ÀBC", "CÀB À"]
+    rows = [(0, common, "common"), *((i + 1, t, "rare") for i, t in enumerate(rare))]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.escape) > 36**3
+    found = langid.code_lengths(model, [x.encode() for x in ["ÀBC À", "ab À"]])[:, model.languages.index("rare")]
+    np.testing.assert_allclose(found, [bits_by_hand([t.encode() for t in rare], x.encode()) for x in ["ÀBC À", "ab À"]], rtol=1e-5)
+
+
 def test_language_of_odd_texts(docs, rows, empty):
     found = langid.predict(docs, langid.fit(docs)).collect()
     assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)

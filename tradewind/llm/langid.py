@@ -25,13 +25,16 @@ START = b"\n\n\n"
 
 class Model(NamedTuple):
     """`code` gives each byte value a number, 0 for bytes not met in the fit. `short` has bits by the three numbers
-    of two context bytes and the byte, `context` the number of a known three-byte context (0: none), and `long` bits by
-    that and the byte; both for each language."""
+    of two context bytes and the byte, `context` the number of a known three-byte context (0: none), `escape` bits by
+    that. `grams` has the known numbers of three context bytes and the byte, ascending, and `long` their bits, NaN where a
+    language hasn't met them; their last row stands for all others. Bits are for each language."""
 
     languages: list[str]
     code: np.ndarray
     context: np.ndarray
     short: np.ndarray
+    escape: np.ndarray
+    grams: np.ndarray
     long: np.ndarray
 
 
@@ -70,11 +73,10 @@ def count_grams(docs: DataFrame, rows_per_language: int) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, rows_per_language: int = 2000, contexts: int = 30_000) -> Model:
+def fit(docs: DataFrame, rows_per_language: int = 2000) -> Model:
     """Context trees of the languages in `docs(doc_id, text, lang)`; rows without a text or language teach nothing.
 
-    The driver gets the counts of the bounded sample. The `contexts` commonest three-byte contexts are kept, the trees
-    of others end at two bytes.
+    The driver gets the counts of the bounded sample. All of its contexts are kept; of three bytes only the bytes met.
     """
     rows = count_grams(docs, rows_per_language).toPandas()
     languages = sorted(rows["lang"].unique())
@@ -87,10 +89,12 @@ def fit(docs: DataFrame, rows_per_language: int = 2000, contexts: int = 30_000)
     a, b, c, d = (code[x] for x in digits)
     n = rows["n"].to_numpy(np.float64)
     own = [rows["lang"].to_numpy() == x for x in languages]
-    known = np.bincount((a * size + b) * size + c, weights=n, minlength=size**3)
-    kept = np.argsort(-known, kind="stable")[: min(contexts, int((known > 0).sum()))]
+    three = (a * size + b) * size + c
+    kept = np.unique(three)
     context = np.zeros(size**3, dtype=np.int32)
     context[kept] = np.arange(1, len(kept) + 1)
+    four = three * size + d
+    met = np.append(np.unique(four), np.iinfo(np.int64).max)
 
     def bits(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
         """Bits of each byte after each context, from counts (contexts by bytes) and bits under the shorter context."""
@@ -99,8 +103,10 @@ def fit(docs: DataFrame, rows_per_language: int = 2000, contexts: int = 30_000)
             seen, escape = -np.log2(counts / np.maximum(total + kinds, 1)), -np.log2(kinds / np.maximum(total + kinds, 1))
         return np.where(counts > 0, seen, shorter + np.where(kinds > 0, escape, 0))
 
-    short, long = [], []
-    for mine in own:
+    short = np.zeros((size**3, len(languages)), dtype=np.float32)
+    escape = np.zeros((len(kept) + 1, len(languages)), dtype=np.float32)
+    long = np.full((len(met), len(languages)), np.nan, dtype=np.float32)
+    for i, mine in enumerate(own):
         w = n[mine]
 
         def table(context: np.ndarray, contexts: int, w: np.ndarray = w, mine: np.ndarray = mine) -> np.ndarray:
@@ -108,16 +114,14 @@ def fit(docs: DataFrame, rows_per_language: int = 2000, contexts: int = 30_000)
 
         zero = bits(table(np.zeros(mine.sum(), dtype=np.int64), 1), np.full((1, size), 8.0))
         one = bits(table(c[mine], size), zero)
-        two = bits(table((b * size + c)[mine], size * size), np.tile(one, (size, 1)))
-        short.append(two.ravel())
-        place = context[((a * size + b) * size + c)[mine]]
-        counts = table(place, len(kept) + 1)
-        counts[0] = 0
-        long.append(bits(counts, two[np.append(0, kept % (size * size))]).ravel())
-    empty = np.zeros((size**3, 0))
-    return Model(
-        languages, code, context, np.stack(short, 1).astype(np.float32) if short else empty, np.stack(long, 1).astype(np.float32) if long else empty
-    )
+        short[:, i] = bits(table((b * size + c)[mine], size * size), np.tile(one, (size, 1))).ravel()
+        place = context[three[mine]]
+        kinds = np.bincount(place, minlength=len(kept) + 1)
+        total = np.bincount(place, weights=w, minlength=len(kept) + 1) + kinds
+        there = kinds > 0
+        escape[there, i] = -np.log2(kinds[there] / total[there])
+        long[np.searchsorted(met, four[mine]), i] = -np.log2(w / total[place])
+    return Model(languages, code, context, short, escape, met, long)
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -125,9 +129,11 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     size = len(np.unique(model.code[model.code > 0])) + 1
     data = np.frombuffer(b"".join(START + t for t in texts) or START, np.uint8)
     codes = model.code[data]
-    pair = _grams(codes, 3, size)[1:] if len(codes) > 3 else np.zeros(0, dtype=np.int64)
-    before = model.context[_grams(codes, 3, size)[:-1]] if len(codes) > 3 else np.zeros(0, dtype=np.int64)
-    bits = np.where((before > 0)[:, None], model.long[before.astype(np.int64) * size + codes[3:]], model.short[pair])
+    threes = _grams(codes, 3, size)
+    fours = threes[:-1] * size + codes[3:]
+    at = np.searchsorted(model.grams, fours)
+    long = model.long[np.where(model.grams[at] == fours, at, len(model.grams) - 1)]
+    bits = np.where(np.isnan(long), model.short[threes[1:]] + model.escape[model.context[threes[:-1]]], long)
     sums = np.vstack([np.zeros((1, len(model.languages))), np.cumsum(bits, axis=0, dtype=np.float64)])
     stops = np.cumsum([len(t) + len(START) for t in texts]) - len(START)
     return sums[stops] - sums[stops - [len(t) for t in texts]]
@@ -137,7 +143,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of `docs(doc_id, text)`: doc_id, lang_pred and score. `und` with score 0 where the text is null or has no
     letter, or where no language was learned. The score is the share of the predicted language when a language's
     weight halves with each bit that it needs more, per byte of up to 64 bytes. Equal codes: the first by name."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by `contexts` and the languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letter = shared.value, regex.compile(r"\p{L}").search
