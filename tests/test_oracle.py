@@ -41,7 +41,7 @@ def test_matches_sql(spark, tables, name):
 
 
 def test_all_reports_have_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == registry.TRAINING
+    assert set(registry.queries()) - set(registry.oracle_sql()) <= registry.TRAINING
 
 
 def test_entry(spark):

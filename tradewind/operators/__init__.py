@@ -3,6 +3,7 @@
 from .aggregates import count_by, mean_by_key, sum_by
 from .checks import distinct_ratio, duplicate_groups, look_up, null_counts, profile, require_unique, sample_points
 from .joins import join_spread, match_keys
+from .ranks import positions
 from .topn import best_wide, top_ranked, top_rows, top_with_rest
 
 __all__ = [
@@ -15,6 +16,7 @@ __all__ = [
     "match_keys",
     "mean_by_key",
     "null_counts",
+    "positions",
     "profile",
     "require_unique",
     "sample_points",
