@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counting, langid, mixing, packing, quality, repeats, rules, simhash, tokenfiles, topk
+from . import counting, langid, linededup, merkle, mixing, packing, quality, ranking, repeats, rules, simhash, tokenfiles, topk
 from .common import crc_of_id, reach_workers, shared_folder, written
+from .oracles import ORACLES
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def tokenizer(name: str) -> str:
@@ -83,4 +84,18 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removals(documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op3_topk_search, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files, op10_suffix_dedup)}
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return ranking.ranked(documents(spark, folder), items, k=20).drop("item")
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = linededup.without_frequent_lines(documents(spark, folder).select("doc_id", "text"), least=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.prove_all(documents(spark, folder)).drop("path")
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mix, op2_best_fit_packing, op3_topk_search, op4_token_counts, op5_quality_rules, op6_language_id, op7_quality_classifier, op8_simhash_dedup, op9_token_files, op10_suffix_dedup, op11_ranked_search, op12_line_dedup, op13_merkle_manifest)}
