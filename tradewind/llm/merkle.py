@@ -28,12 +28,18 @@ FANOUT = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
+# Nodes with their paths that one task writes.
+NODES_PER_TASK = 20_000
+
+
 class Tree(NamedTuple):
     """`records[i]`, written: tree, rank, n, digest, children of the nodes of height i + 1. `tops`, written: tree, height,
-    digest."""
+    digest. `leaves` and `trees` count these."""
 
     records: list[DataFrame]
     tops: DataFrame
+    leaves: int
+    trees: int
 
 
 class Manifest(NamedTuple):
@@ -61,7 +67,12 @@ def digest_of(digests: Column) -> Column:
     return F.sha2(F.array_join(digests, ""), 256)
 
 
-def _build(level: DataFrame, most: int, name: str) -> Tree:
+def _nodes(df: DataFrame, leaves: int, trees: int, height: int, name: str) -> DataFrame:
+    """A written table of at most one row per node of a height, in as many files as these need."""
+    return written(df.coalesce(1 + (leaves // FANOUT**height + trees) // NODES_PER_TASK), f"{name}-{height}")
+
+
+def _build(level: DataFrame, leaves: int, trees: int, most: int, name: str) -> Tree:
     """Trees over leaves (tree, rank from 0, n leaves of the tree, digest); `most` is the largest n."""
     tops, records = [level.where("n = 1").select("tree", F.lit(0).alias("height"), "digest")], []
     while most > 1:
@@ -70,11 +81,11 @@ def _build(level: DataFrame, most: int, name: str) -> Tree:
         nodes = level.where("n > 1").groupBy("tree", run, "n").agg(children.alias("own"))
         above = F.expr(f"(n + {FANOUT - 1}) div {FANOUT}").alias("n")
         nodes = nodes.select("tree", F.col("run").alias("rank"), above, F.col("own.digest").alias("children"))
-        level = written(nodes.withColumn("digest", digest_of(F.col("children"))), f"{name}-{len(records) + 1}")
+        level = _nodes(nodes.withColumn("digest", digest_of(F.col("children"))), leaves, trees, len(records) + 1, name)
         records.append(level)
         tops.append(level.where("n = 1").select("tree", F.lit(len(records)).alias("height"), "digest"))
         most = -(-most // FANOUT)
-    return Tree(records, written(reduce(DataFrame.union, tops), f"{name}-tops"))
+    return Tree(records, _nodes(reduce(DataFrame.union, tops), 0, trees, 0, f"{name}-tops"), leaves, trees)
 
 
 def _descend(tree: Tree, requests: DataFrame, starts: DataFrame, name: str) -> DataFrame:
@@ -85,7 +96,7 @@ def _descend(tree: Tree, requests: DataFrame, starts: DataFrame, name: str) -> D
     passed = {0: requests.where("n > 1").select("tree", "rank")}
     for i in range(1, height + 1):
         above = passed[i - 1].select("tree", F.expr(f"rank div {FANOUT}").alias("rank")).distinct()
-        passed[i] = written(above, f"{name}-passed") if i < height else above
+        passed[i] = _nodes(above, tree.leaves, tree.trees, i, f"{name}-passed") if i < height else above
     state, starts = None, starts.withColumn("top", F.col("digest"))
     for i in range(height, 0, -1):
         entering = starts.where(F.col("height") == i).select("tree", F.lit(0).cast("long").alias("rank"), "digest", "top", "steps")
@@ -104,7 +115,7 @@ def _descend(tree: Tree, requests: DataFrame, starts: DataFrame, name: str) -> D
             state = asked.withColumns({"found": child, "steps": F.array_append("steps", step)}).drop("children")
         else:
             state = asked.select("tree", "rank", child.alias("digest"), "top", F.array_append("steps", step).alias("steps"))
-            state = written(state, f"{name}-at-{i - 1}")
+            state = _nodes(state, tree.leaves, tree.trees, i - 1, f"{name}-at")
     alone = starts.where("height = 0").select("tree", "top", F.col("digest").alias("found"), "steps")
     lone = requests.where("n = 1").join(alone, "tree")
     return lone if state is None else state.unionByName(lone)
@@ -137,11 +148,14 @@ def manifest(leaves: DataFrame) -> Manifest:
     languages = positions(held, [F.col("lang").asc_nulls_first()], f"{folder}/languages", "tree")
     ranked = join_spread(placed, languages.select("lang", "tree", "n", "first"), ["lang"])
     ranked = ranked.withColumn("rank", F.col("_position") - F.col("first")).drop("_position", "first")
-    sizes = languages.agg(F.count(F.lit(1)).alias("trees"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    lower = _build(ranked.select("tree", "rank", "n", F.col("leaf").alias("digest")), sizes.most, "nodes")
+    sizes = languages.agg(
+        F.count(F.lit(1)).alias("trees"), F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("n"), F.lit(0)).alias("leaves")
+    ).first()
+    nodes = ranked.select("tree", "rank", "n", F.col("leaf").alias("digest"))
+    lower = _build(nodes, sizes.leaves, sizes.trees, sizes.most, "nodes")
     n = F.lit(sizes.trees).cast("long").alias("n")
     tops = lower.tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), n, "digest")
-    upper = _build(tops, sizes.trees, "top-nodes")
+    upper = _build(tops, sizes.trees, 1, sizes.trees, "top-nodes")
     root = upper.tops.first()
     return Manifest(ranked, languages, lower, upper, root and root["digest"])
 
@@ -150,13 +164,13 @@ def proofs(trees: Manifest, requests: DataFrame) -> DataFrame:
     """`requests`, rows of `trees.leaves`, with `subroot` and `path`: the siblings from the leaf up, as digests in a row
     `before` and `after` the path's own node, both empty where that has none."""
     none = F.array().cast("array<struct<before:string,after:string>>")
-    tops = trees.lower.tops.select(F.lit(0).cast("long").alias("top"), F.col("tree").alias("rank"), "tree", "height", "digest")
-    wanted = requests.select("tree").distinct().join(tops, "tree")
-    n = trees.languages.agg(F.count(F.lit(1)).alias("n")).scalar()
-    wanted = wanted.select(F.col("top").alias("tree"), "rank", n.alias("n"), "height", F.col("digest").alias("own"))
+    wanted = requests.select("tree").distinct().join(trees.lower.tops, "tree")
+    zero, n = F.lit(0).cast("long").alias("tree"), F.lit(trees.upper.leaves).cast("long").alias("n")
+    wanted = _nodes(wanted.select(zero, F.col("tree").alias("rank"), n, "height"), 0, trees.upper.leaves, 0, "top-requests")
     at_root = trees.upper.tops.withColumn("steps", none)
     found = _descend(trees.upper, wanted, at_root, "top")
-    starts = written(found.select(F.col("rank").alias("tree"), "height", F.col("found").alias("digest"), "steps"), "starts")
+    starts = found.select(F.col("rank").alias("tree"), "height", F.col("found").alias("digest"), "steps")
+    starts = _nodes(starts, 0, trees.upper.leaves, 0, "starts")
     paths = _descend(trees.lower, requests, starts, "leaf").withColumnRenamed("top", "subroot")
     return paths.withColumn("path", F.reverse("steps")).drop("steps")
 
