@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -18,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Texts that a task holds as Python objects at a time.
 SLICE_BYTES = 2_000_000
 # Texts that a task encodes at a time, as Arrow arrays.
-ENCODE_BYTES = 8_000_000
+ENCODE_BYTES = 4_000_000
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -44,6 +45,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gives_back(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task function, and at its end free memory goes back to the system: workers stay for later tasks and stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def set_aside(docs: DataFrame, own: tuple[str, ...]) -> DataFrame:
     """`docs` with all columns but the `own` ones renamed, in place, to names that no operator uses; `toDF` with the old
     names undoes it."""

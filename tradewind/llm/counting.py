@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import ENCODE_BYTES, text_batches
+from .common import text_batches
 from .tokens import MOST_KEPT, Kept, cut_words, looked_up
 
 if TYPE_CHECKING:
@@ -35,6 +35,8 @@ SPACES = "  |^ | $|\u2581|\\x00"
 
 # Characters of the longest words whose tables are kept.
 LONGEST_KEPT = 64
+# Texts counted at a time.
+ENCODED = 8_000_000
 
 
 class Merges:
@@ -149,7 +151,7 @@ def count_tokens(docs: DataFrame, model: str, tables: bool = False) -> DataFrame
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counter(model)
-        for batch in text_batches(batches, ENCODE_BYTES):
+        for batch in text_batches(batches, ENCODED):
             texts = batch.column("text").fill_null("")
             rows = [counter.table(t) for t in texts.to_pylist()] if tables else [(None, None)] * len(texts)
             yield pa.RecordBatch.from_arrays(

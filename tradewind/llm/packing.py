@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ENCODE_BYTES, running_totals, text_batches, written
+from .common import ENCODE_BYTES, gives_back, running_totals, text_batches, written
 from .tokens import word_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
@@ -156,7 +156,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, w
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(gives_back(cut), PIECES)
 
 
 def pack(parts: DataFrame, capacity: int = 2048) -> DataFrame:

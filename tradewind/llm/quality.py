@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, text_batches, written
+from .common import WORD, gives_back, text_batches, written
 
 SYMBOLS = b"#*$%&|<>"
 STATISTICS = 15
@@ -77,7 +77,7 @@ def measure(docs: DataFrame) -> DataFrame:
             columns = [batch.column("doc_id").cast(pa.int64()), pa.array(list(rows), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "statistics"])
 
-    return docs.select("doc_id", "text").mapInArrow(count, "doc_id long, statistics array<double>")
+    return docs.select("doc_id", "text").mapInArrow(gives_back(count), "doc_id long, statistics array<double>")
 
 
 def _features(model: Model, rows: np.ndarray) -> np.ndarray:
@@ -189,4 +189,4 @@ def accepted(docs: DataFrame, model: Model | None, least: float = 0.7) -> DataFr
             found = probabilities(shared.value, statistics([t or "" for t in batch.column("text").to_pylist()]))
             yield batch.filter(pa.array(found >= least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(gives_back(keep), docs.schema)

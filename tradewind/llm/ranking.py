@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from ..operators import top_rows
 from ..operators.ranks import positions
-from .common import ENCODE_BYTES, shared_folder, text_batches, written
+from .common import gives_back, shared_folder, text_batches, written
 from .linededup import CAPITALS
 
 # The characters between terms, all in ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BUNDLE = 256
+# Text of a shard.
+SHARD_BYTES = 4_000_000
 FILTER = 1 << 20
 # Parts that a term's postings are dealt to when they meet the items.
 PARTS = 16
@@ -86,7 +88,7 @@ def _shard(batch: pa.RecordBatch, shard: int, wanted: np.ndarray, owners: int) -
     return pa.RecordBatch.from_arrays(columns, names=["owner", "shard", "term", "docs", "counts", "ids"])
 
 
-def write_postings(docs: DataFrame, path: str, terms: DataFrame, owners: int, shard_bytes: int = ENCODE_BYTES) -> None:
+def write_postings(docs: DataFrame, path: str, terms: DataFrame, owners: int, shard_bytes: int = SHARD_BYTES) -> None:
     """Postings of `docs(doc_id, text)` for the terms of `terms(term)`, by owner, and per shard its ids and sizes.
 
     At most `FILTER` numbers of the terms' checksums reach the driver and the tasks.
@@ -101,7 +103,7 @@ def write_postings(docs: DataFrame, path: str, terms: DataFrame, owners: int, sh
             if batch.num_rows:
                 yield _shard(batch, first + i, wanted.value, owners)
 
-    docs.select("doc_id", "text").mapInArrow(index, POSTINGS).write.partitionBy("owner").parquet(path)
+    docs.select("doc_id", "text").mapInArrow(gives_back(index), POSTINGS).write.partitionBy("owner").parquet(path)
 
 
 def _add(left: pa.Table, right: pa.Table, n_docs: int, n_terms: int) -> pa.Table:
@@ -153,7 +155,7 @@ def _best(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             )
 
 
-def ranked(docs: DataFrame, items: DataFrame, k: int = 20, owners: int = 4, shard_bytes: int = ENCODE_BYTES) -> DataFrame:
+def ranked(docs: DataFrame, items: DataFrame, k: int = 20, owners: int = 4, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The `k` documents of `docs(doc_id, text)` with the highest scores above 0 for each row of `items(item_id, text)`:
     item_id, item (a number of the row), rank from 1, doc_id, score. Equal scores stand by ascending doc_id, null first.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import set_aside, text_batches, written
+from .common import gives_back, set_aside, text_batches, written
 from .suffixes import powers, suffix_order
 
 LENGTH = 200
@@ -234,16 +234,16 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def marks(keyed: DataFrame) -> DataFrame:
     """Repeated spans of the texts of `keyed(id_key, text_key, text)`: id_key, text_key, start, stop. Spans overlap."""
-    cut = written(keyed.select("id_key", "text_key", "text").mapInArrow(_cut, STRETCHES), "stretches")
+    cut = written(keyed.select("id_key", "text_key", "text").mapInArrow(gives_back(_cut), STRETCHES), "stretches")
     # Ranges of all columns: a common anchor, or a stretch in very many copies, is dealt to several tasks.
     order = ["anchor", "stretch", "id_key", "text_key", "start"]
-    settled = written(cut.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_settle, OUTCOMES), "settled")
+    settled = written(cut.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(gives_back(_settle), OUTCOMES), "settled")
     copies = settled.where("repeated").select("id_key", "text_key", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("stop"))
     asked = settled.where("NOT repeated").groupBy("id_key", "text_key").agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("found"))
     texts = keyed.select("id_key", "text_key", "text").join(asked, ["id_key", "text_key"])
-    fetched = texts.mapInArrow(_fetch, "anchor long, id_key long, text_key long, start long, data binary")
+    fetched = texts.mapInArrow(gives_back(_fetch), "anchor long, id_key long, text_key long, start long, data binary")
     dealt = fetched.repartition("anchor").sortWithinPartitions("anchor")
-    compared = written(dealt.mapInArrow(_compare, "anchor long, id_key long, text_key long, start long, stop long, data binary"), "compared")
+    compared = written(dealt.mapInArrow(gives_back(_compare), "anchor long, id_key long, text_key long, start long, stop long, data binary"), "compared")
     single = compared.where("anchor IS NOT NULL").mapInArrow(_single_windows, "window binary, id_key long, text_key long, start long")
     often = single.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     hot = single.join(often, "window").select("id_key", "text_key", "start", (F.col("start") + LENGTH).alias("stop"))
@@ -289,7 +289,7 @@ def removals(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     found = _marked(docs.select("doc_id", "text")).select("doc_id", "text", "_spans")
-    return found.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.mapInArrow(gives_back(digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -307,4 +307,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in left], batch.column("n_chars").type)
             yield pa.RecordBatch.from_pydict(columns)
 
-    return _marked(plain).select(*names, "_spans").mapInArrow(clean, plain.schema).toDF(*docs.columns)
+    return _marked(plain).select(*names, "_spans").mapInArrow(gives_back(clean), plain.schema).toDF(*docs.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import set_aside, text_batches, written
+from .common import gives_back, set_aside, text_batches, written
 from .components import components
 
 SEED = 42
@@ -63,7 +63,7 @@ def with_fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             found = hash_texts([t or "" for t in batch.column("text").to_pylist()], shingle)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*names, "_fingerprint"])
 
-    return docs.mapInArrow(add, StructType([*docs.schema.fields, StructField("_fingerprint", LongType())]))
+    return docs.mapInArrow(gives_back(add), StructType([*docs.schema.fields, StructField("_fingerprint", LongType())]))
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -218,7 +218,7 @@ def links(prints: DataFrame, bits: int = 4, group: int = GROUP) -> DataFrame:
     kinds = "anchor long, a long, b long"
     spread = prints.select("_fingerprint").mapInArrow(_spread, "anchor long, _fingerprint long")
     dealt = spread.repartition("anchor").sortWithinPartitions("anchor")
-    found = written(dealt.mapInArrow(_compare(bits, group, ["anchor", "_fingerprint"]), kinds), "links")
+    found = written(dealt.mapInArrow(gives_back(_compare(bits, group, ["anchor", "_fingerprint"])), kinds), "links")
     # Large groups: each cut by a hash into parts of about `group`, and every part at home met by every part.
     large = found.where("anchor IS NOT NULL").select("anchor", F.col("a").alias("_fingerprint"))
     sizes = large.groupBy("anchor").agg(F.ceil(F.count("*") / group).cast("long").alias("n"))

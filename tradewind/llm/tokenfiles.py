@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ENCODE_BYTES, text_batches
+from .common import ENCODE_BYTES, gives_back, text_batches
 from .tokens import word_encoder
 
 SCHEMA = "doc_id long, shard int, start_in_shard long, n_tokens long, ids array<int>"
@@ -55,7 +55,7 @@ def write_tokens(
     tie = F.xxhash64("text")
     dealt = docs.select("doc_id", "text").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
     (
-        dealt.mapInArrow(encode, SCHEMA)
+        dealt.mapInArrow(gives_back(encode), SCHEMA)
         .write.option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.enable.dictionary", "false")
         .option("parquet.block.size", str(row_group_bytes))
