@@ -23,6 +23,7 @@ from tradewind.operators import (
     sum_by,
 )
 from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
+from tradewind.plans.refresh import ReportStore
 from tradewind.sources import SCHEMAS, StarTables, columns_at, first_rows, ingest, open_tables, read_csv, scratch_folder
 from tradewind.sources.star import CANCELED, DELIVERED
 
@@ -714,6 +715,50 @@ def digest_line(name: str) -> str:
 register("report_bundle", report_bundle, " UNION ALL ".join(map(digest_line, BUNDLE)))
 
 
+def split_by_days(t: StarTables, n: int = 3) -> list[dict[str, DataFrame]]:
+    """The test tables in batches: orders by id, items and payments by other rules, so that many come before or after
+    their order."""
+    rules = {"orders": "order_id", "order_items": "order_id + product_id", "order_payments": "order_id + floor(payment_value)"}
+    return [{name: getattr(t, name).where(F.expr(f"({rule}) % {n} = {i}")) for name, rule in rules.items()} for i in range(n)]
+
+
+def incremental_bundle(t: StarTables) -> DataFrame:
+    """All result tables from three batches, the second offered twice, the first two compacted."""
+    store = ReportStore(t.spark, scratch_folder(t.spark, "store"))
+    first, second, third = split_by_days(t)
+    for name, batch in (("a", first), ("b", second), ("b", second)):
+        store.add(name, batch)
+    store.compact()
+    store.add("c", third)
+    settings = bundle.Settings(year=YEAR, excluded_status=CANCELED, dominant_status=DELIVERED, count_limits=COUNT_LIMITS)
+    store.refresh(t.tables(), settings)
+    return bundle.result_digests(t.spark, store.open, {name: BUNDLE[name][1] for name in store.published.tables()})
+
+
+def incremental_seller_months(t: StarTables) -> DataFrame:
+    store = ReportStore(t.spark, scratch_folder(t.spark, "store"))
+    for i, batch in enumerate(split_by_days(t, 2)):
+        store.add(str(i), batch)
+    return store.top_seller_months(3, since="1996-01-01")
+
+
+register("incremental_bundle", incremental_bundle, ENTRIES["report_bundle"][1])
+register(
+    "incremental_seller_months",
+    incremental_seller_months,
+    """WITH sold AS (
+        SELECT l_suppkey AS seller_id, l_orderkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS price FROM lineitem
+    ),
+    best AS (
+        SELECT seller_id FROM (SELECT seller_id, rank() OVER (ORDER BY sum(price) DESC) AS place FROM sold GROUP BY 1)
+        WHERE place <= 3
+    )
+    SELECT seller_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, CAST(sum(price) AS DOUBLE) AS month_earnings
+    FROM sold JOIN best USING (seller_id) JOIN orders ON l_orderkey = o_orderkey
+    WHERE o_orderdate >= DATE '1996-01-01' GROUP BY 1, 2""",
+)
+
+
 # The training-data operators, where they are installed.
 TRAINING: set[str] = set()
 try:

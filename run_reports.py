@@ -2,6 +2,7 @@
 
     spark-submit run_reports.py --parquet /data/tables --output /data/results
     spark-submit run_reports.py --csv /data/csv --prefix shop_ --suffix _dataset --output /data/results --families sellers
+    spark-submit run_reports.py --parquet /data/new/2018-05-02 --store /data/store --batch 2018-05-02
 
 Inputs are named <prefix><table><suffix>.csv or .parquet; --file TABLE=PATH overrides one. --ingest
 FOLDER converts CSV to Parquet first and reads that. In cluster deploy mode add the package with
@@ -11,11 +12,13 @@ FOLDER converts CSV to Parquet first and reads that. In cluster deploy mode add
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from tradewind.plans import bundle
-from tradewind.sources import SCHEMAS, ingest, open_csv_tables, open_tables, read_parquet
+from tradewind.plans.refresh import ReportStore
+from tradewind.sources import SCHEMAS, Published, ingest, open_csv_tables, open_tables, read_parquet
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -29,11 +32,17 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--ingest", help="write the CSV tables to this folder as Parquet first")
     parser.add_argument("--multi-line", nargs="+", default=[], metavar="TABLE", help="CSV tables with line breaks in quotes")
     parser.add_argument("--orders-by-year", action="store_true", help="partition ingested orders by year of purchase")
-    parser.add_argument("--output", required=True)
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--output", help="folder of result tables, each replaced as it is written")
+    target.add_argument("--publish", help="folder of versions of the result tables; readers see all change at once")
+    target.add_argument("--store", help="take the orders, items and payments as a batch and publish from all batches")
+    parser.add_argument("--batch", help="name of the batch for --store; one taken before changes nothing")
     parser.add_argument("--families", nargs="+", choices=list(bundle.FAMILIES), default=list(bundle.FAMILIES))
     parser.add_argument("--year", type=int, help="year of the spending report; default: the last full year")
     parser.add_argument("--compression", default="zstd")
     args = parser.parse_args(argv)
+    if (args.store is None) != (args.batch is None):
+        parser.error("--store and --batch belong together")
     if args.ingest and args.parquet:
         parser.error("--ingest converts CSV files; it needs --csv")
     return args
@@ -61,9 +70,19 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName("sales reports").getOrCreate()
     settings = bundle.Settings(year=args.year, compression=args.compression)
-    for name in bundle.write_reports(
-        spark, input_tables(spark, args), args.output, families=args.families, settings=settings
-    ):
+    tables = input_tables(spark, args)
+    if args.store:
+        store = ReportStore(spark, args.store)
+        store.add(args.batch, tables)
+        store.refresh(tables, settings)  # also after a run that died between the two
+        names = store.published.tables()
+    elif args.publish:
+        published = Published(spark, args.publish)
+        published.publish(partial(bundle.write_reports, spark, tables, families=args.families, settings=settings))
+        names = published.tables()
+    else:
+        names = bundle.write_reports(spark, tables, args.output, families=args.families, settings=settings)
+    for name in names:
         print(name)
 
 

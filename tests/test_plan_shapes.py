@@ -11,7 +11,7 @@ from tradewind.plans import sellers
 from tradewind.sources import StarTables
 
 FOLDER = str(TESTDATA / "sf0.001")
-WRITING = {"ingest_roundtrip", "report_bundle"} | registry.TRAINING
+WRITING = {"ingest_roundtrip", "report_bundle", "incremental_bundle", "incremental_seller_months"} | registry.TRAINING
 # Orders serve as customers too; the profile reads each column by itself; the SQL text names its grouping twice.
 SEVERAL_READS = {"month_spending_unique", "table_profile", "sql_top_products"}
 

@@ -7,19 +7,22 @@ and the result tables are computed from there, so an executor lost late costs li
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_date
 from ..operators import count_by, require_unique
-from ..sources import materialize, read_parquet, remove_folder, table_path, write_table
+from ..sources import materialize, read_parquet, remove_folder, side_by_side, table_path, write_table
 from . import categories, delivery, sellers, shipping, spenders, status
 
 Tables = Mapping[str, DataFrame]
+Parts = dict[str, Callable[[], DataFrame]]
+Results = dict[str, DataFrame]
 
 # Names of the result tables.
 DELAY_HISTOGRAM = "1_task_days_delayed"
@@ -64,50 +67,89 @@ def order_summary(orders: DataFrame) -> DataFrame:
     return count_by(facts, *facts.columns, name="no_orders")
 
 
-def order_results(tables: Tables, keep: Callable, settings: Settings) -> Iterator[tuple[str, DataFrame]]:
-    summary = keep(order_summary(tables["orders"]), "order_summary")
+# Each family: the summary tables that hold all its reports need, and the results from those. A summary is a function
+# without arguments, so that none is planned that isn't asked for.
+
+
+def order_parts(tables: Tables, settings: Settings) -> Parts:
+    return {"order_summary": lambda: order_summary(tables["orders"])}
+
+
+def order_results(parts: Tables, tables: Tables, settings: Settings) -> Results:
+    summary = parts["order_summary"]
     profile = count_by(summary, "undelivered", "days_late", name="no_orders", weight="no_orders")
-    yield DELAY_HISTOGRAM, delivery.delay_histogram(profile)
-    yield DELAY_STATISTICS, delivery.delay_summary(profile)
-    yield ORDER_STRUCTURE, delivery.order_structure(profile)
-    yield ORDERS_PER_STATUS, status.orders_per_status(summary, weight="no_orders")
-    yield SHIP_AHEAD, shipping.ship_ahead_counts(summary, weight="no_orders")
+    return {
+        DELAY_HISTOGRAM: delivery.delay_histogram(profile),
+        DELAY_STATISTICS: delivery.delay_summary(profile),
+        ORDER_STRUCTURE: delivery.order_structure(profile),
+        ORDERS_PER_STATUS: status.orders_per_status(summary, weight="no_orders"),
+        SHIP_AHEAD: shipping.ship_ahead_counts(summary, weight="no_orders"),
+        OTHER_STATUSES: status.without_status(status.orders_per_status(summary, weight="no_orders"), settings.dominant_status),
+    }
 
 
-def category_results(tables: Tables, keep: Callable, settings: Settings) -> Iterator[tuple[str, DataFrame]]:
-    sold = categories.sold_products(tables["order_items"], tables["products"], tables["category_translation"])
-    sold = keep(sold, "sold_products")
-    yield TOP_CATEGORIES, categories.top_categories_rest(sold)
-    yield TOP_PRODUCTS, categories.top_products(sold)
-    yield TOP_PRODUCTS_NUMBERED, categories.top_products_numbered(sold)
-    yield CATEGORIES, categories.category_list(sold)
+def category_parts(tables: Tables, settings: Settings) -> Parts:
+    sold = lambda: categories.sold_products(tables["order_items"], tables["products"], tables["category_translation"])
+    return {"sold_products": sold}
 
 
-def spender_results(tables: Tables, keep: Callable, settings: Settings) -> Iterator[tuple[str, DataFrame]]:
-    paid = spenders.month_payments(
+def category_results(parts: Tables, tables: Tables, settings: Settings) -> Results:
+    sold = parts["sold_products"]
+    return {
+        TOP_CATEGORIES: categories.top_categories_rest(sold),
+        TOP_PRODUCTS: categories.top_products(sold),
+        TOP_PRODUCTS_NUMBERED: categories.top_products_numbered(sold),
+        CATEGORIES: categories.category_list(sold),
+    }
+
+
+def spender_parts(tables: Tables, settings: Settings) -> Parts:
+    paid = lambda: spenders.month_payments(
         tables["orders"], tables["order_payments"], year=settings.year, excluded_status=settings.excluded_status
     )
-    paid = keep(paid, "month_payments")
-    yield MONTH_SPENDING, spenders.month_spending(paid)
-    yield MONTH_SPENDING_UNIQUE, spenders.month_spending_unique(paid, tables["customers"])
-
-
-def seller_results(tables: Tables, keep: Callable, settings: Settings) -> Iterator[tuple[str, DataFrame]]:
-    known = require_unique(tables["sellers"], "seller_id")
-    sales = keep(sellers.seller_sales(tables["order_items"], known), "seller_sales")
-    yield BEST_SELLERS_STATE, sellers.best_sellers_wide(sales, "seller_state")
-    yield BEST_SELLERS_CITY, sellers.best_sellers_wide(sales, "seller_city")
-    positions = keep(sellers.zip_positions(tables["geolocation"]), "zip_positions")
-    totals = {STATE_SALES: sellers.state_totals, CITY_SALES: sellers.city_totals}
-    for name, total in totals.items():
-        yield name, sellers.with_count_bands(total(sales, positions), settings.count_limits)
-
-
-FAMILIES: dict[str, Callable[[Tables, Callable, Settings], Iterator[tuple[str, DataFrame]]]] = {
-    "orders": order_results,
-    "categories": category_results,
-    "spenders": spender_results,
-    "sellers": seller_results,
+    return {"month_payments": paid}
+
+
+def spender_results(parts: Tables, tables: Tables, settings: Settings) -> Results:
+    paid = parts["month_payments"]
+    return {
+        MONTH_SPENDING: spenders.month_spending(paid),
+        MONTH_SPENDING_UNIQUE: spenders.month_spending_unique(paid, tables["customers"]),
+    }
+
+
+def seller_parts(tables: Tables, settings: Settings) -> Parts:
+    return {
+        "seller_sales": lambda: sellers.seller_sales(
+            tables["order_items"], require_unique(tables["sellers"], "seller_id")
+        ),
+        "zip_positions": lambda: sellers.zip_positions(tables["geolocation"]),
+    }
+
+
+def seller_results(parts: Tables, tables: Tables, settings: Settings) -> Results:
+    sales, positions = parts["seller_sales"], parts["zip_positions"]
+    best = {place: sellers.best_sellers_wide(sales, place) for place in ("seller_state", "seller_city")}
+    cities = sellers.with_count_bands(sellers.city_totals(sales, positions), settings.count_limits)
+    return {
+        BEST_SELLERS_STATE: best["seller_state"],
+        BEST_SELLERS_CITY: best["seller_city"],
+        STATE_SALES: sellers.with_count_bands(sellers.state_totals(sales, positions), settings.count_limits),
+        CITY_SALES: cities,
+        CITY_MAP: sellers.map_dataset(cities, best["seller_city"]),
+    }
+
+
+class Family(NamedTuple):
+    parts: Callable[[Tables, Settings], Parts]
+    results: Callable[[Tables, Tables, Settings], Results]
+
+
+FAMILIES = {
+    "orders": Family(order_parts, order_results),
+    "categories": Family(category_parts, category_results),
+    "spenders": Family(spender_parts, spender_results),
+    "sellers": Family(seller_parts, seller_results),
 }
 NEEDED_TABLES = {
     "orders": ("orders",),
@@ -122,37 +164,52 @@ def needed_tables(families: Sequence[str]) -> list[str]:
     return sorted({table for family in families for table in NEEDED_TABLES[family]})
 
 
-def write_reports(
-    spark: SparkSession, tables: Tables, folder: str, *, families: Sequence[str] = tuple(FAMILIES),
+def write_results(
+    spark: SparkSession, parts: Tables, tables: Tables, folder: str, families: Sequence[str], settings: Settings
+) -> list[str]:
+    """Write the result tables of some families from their summary tables, a few at a time; returns their names."""
+    results = {}
+    for family in families:
+        results.update(FAMILIES[family].results(parts, tables, settings))
+    side_by_side(
+        spark,
+        [partial(write_table, df, table_path(folder, name), compression=settings.compression) for name, df in results.items()],
+    )
+    return list(results)
+
+
+def write_from(
+    spark: SparkSession, parts: Parts, tables: Tables, folder: str, *, families: Sequence[str] = tuple(FAMILIES),
     settings: Settings = Settings(), scratch: str | None = None,
 ) -> list[str]:
-    """Write the result tables of some report families; returns their names.
+    """Write the summary tables, side by side, then the results from those, side by side; returns the results' names.
 
-    Intermediate tables go to ``scratch``, by default a folder beside the results, and are removed at
-    the end. The map dataset and the other statuses come from written results.
+    Summary tables go to ``scratch``, by default a folder beside the results, and are removed at the end.
     """
     scratch = f"{scratch or folder}/_scratch-{uuid.uuid4().hex}".replace("//_", "/_")
-    written = []
-
-    def save(name: str, result: DataFrame) -> None:
-        write_table(result, table_path(folder, name), compression=settings.compression)
-        written.append(name)
-
+    jobs = [lambda name=name, part=part: materialize(part(), scratch, name) for name, part in parts.items()]
     try:
-        for family in families:
-            for name, result in FAMILIES[family](tables, lambda df, part: materialize(df, scratch, part), settings):
-                save(name, result)
+        kept = dict(zip(parts, side_by_side(spark, jobs)))
+        return write_results(spark, kept, tables, folder, families, settings)
     finally:
         remove_folder(spark, scratch)
-    if "sellers" in families:
-        save(CITY_MAP, report_map(spark, folder))
-    if "orders" in families:
-        save(OTHER_STATUSES, report_statuses(spark, folder, settings.dominant_status))
-    return written
 
 
-def result_digests(spark: SparkSession, folder: str, columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``result, rows, digest`` of written result tables: the sum over the rows of 32 bits of the md5 of their columns.
+def write_reports(
+    spark: SparkSession, tables: Tables, folder: str, *, families: Sequence[str] = tuple(FAMILIES),
+    settings: Settings = Settings(), scratch: str | None = None,
+) -> list[str]:
+    """Write the result tables of some report families; returns their names."""
+    parts: Parts = {}
+    for family in families:
+        parts.update(FAMILIES[family].parts(tables, settings))
+    return write_from(spark, parts, tables, folder, families=families, settings=settings, scratch=scratch)
+
+
+def result_digests(
+    spark: SparkSession, folder: str | Callable[[str], DataFrame], columns: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """``result, rows, digest`` of result tables, written to a folder or opened by name: the sum over the rows of 32 bits of the md5 of their columns.
 
     Columns are joined as text by ``|``, null as nothing, doubles in whole hundredths.
     """
@@ -165,7 +222,7 @@ def result_digests(spark: SparkSession, folder: str, columns: Mapping[str, Seque
 
     found = []
     for name, chosen in columns.items():
-        df = read_parquet(spark, table_path(folder, name))
+        df = folder(name) if callable(folder) else read_parquet(spark, table_path(folder, name))
         bits = F.conv(F.substring(F.md5(F.concat_ws("|", *(text(df, c) for c in chosen))), 1, 8), 16, 10).cast("long")
         totals = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest"))
         found.append(totals.withColumn("result", F.lit(name)))

@@ -20,9 +20,13 @@ def translated_products(products: DataFrame, translation: DataFrame) -> DataFram
     return products.join(translation, CATEGORY).select("product_id", F.col(f"{CATEGORY}_english").alias(CATEGORY))
 
 
-def sold_products(order_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    """``product_category_name, product_id, together``: number of items sold per product."""
-    sold = order_items.groupBy("product_id").agg(F.count(F.lit(1)).alias("items"))
+def items_per_product(order_items: DataFrame) -> DataFrame:
+    """``product_id, items``: number of items sold, known product or not."""
+    return order_items.groupBy("product_id").agg(F.count(F.lit(1)).alias("items"))
+
+
+def with_category(sold: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """``product_category_name, product_id, together`` for the counts of ``items_per_product``."""
     return (
         sold.join(translated_products(products, translation), "product_id")
         .groupBy(CATEGORY, "product_id")
@@ -30,6 +34,11 @@ def sold_products(order_items: DataFrame, products: DataFrame, translation: Data
     )
 
 
+def sold_products(order_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    """``product_category_name, product_id, together``: number of items sold per product."""
+    return with_category(items_per_product(order_items), products, translation)
+
+
 def items_per_category(sold: DataFrame) -> DataFrame:
     return sold.groupBy(CATEGORY).agg(F.sum("together").alias("count"))
 

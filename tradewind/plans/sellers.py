@@ -28,12 +28,17 @@ def seller_earnings(order_items: DataFrame) -> DataFrame:
     return order_items.filter(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(sum_cents("price").alias("earned"))
 
 
-def seller_sales(order_items: DataFrame, sellers: DataFrame) -> DataFrame:
-    """``seller_id, earned, zip_code, seller_city, seller_state`` of every seller that sold something."""
+def with_place(earnings: DataFrame, sellers: DataFrame) -> DataFrame:
+    """``seller_id, earned, zip_code, seller_city, seller_state`` for the sums of ``seller_earnings``."""
     places = sellers.select(
         "seller_id", F.col("seller_zip_code_prefix").alias("zip_code"), "seller_city", "seller_state"
     )
-    return seller_earnings(order_items).join(places, "seller_id")
+    return earnings.join(places, "seller_id")
+
+
+def seller_sales(order_items: DataFrame, sellers: DataFrame) -> DataFrame:
+    """``seller_id, earned, zip_code, seller_city, seller_state`` of every seller that sold something."""
+    return with_place(seller_earnings(order_items), sellers)
 
 
 def top_sellers(sales: DataFrame, place: str | Sequence[str], n: int = 2) -> DataFrame:

@@ -11,12 +11,17 @@ from .files import (
     table_path,
     write_table,
 )
+from .publish import Published, side_by_side
 from .schemas import SCHEMAS
 from .scratch import materialize, remove_folder, scratch_folder
+from .snapshots import Conflict, Snapshots
 from .star import StarTables
 
 __all__ = [
     "SCHEMAS",
+    "Conflict",
+    "Published",
+    "Snapshots",
     "StarTables",
     "columns_at",
     "first_rows",
@@ -28,6 +33,7 @@ __all__ = [
     "read_parquet",
     "remove_folder",
     "scratch_folder",
+    "side_by_side",
     "table_path",
     "write_table",
 ]
