@@ -24,7 +24,21 @@ from tradewind.operators import (
 )
 from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
 from tradewind.plans.refresh import ReportStore
-from tradewind.sources import SCHEMAS, StarTables, columns_at, first_rows, ingest, open_tables, read_csv, scratch_folder
+from tradewind.sources import (
+    KEYS,
+    SCHEMAS,
+    OrderBuckets,
+    StarTables,
+    TableCounts,
+    columns_at,
+    counts_table,
+    first_rows,
+    ingest,
+    open_tables,
+    read_csv,
+    scratch_folder,
+    write_order_buckets,
+)
 from tradewind.sources.star import CANCELED, DELIVERED
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -594,9 +608,11 @@ FILLED = {
 }
 
 
-def ingest_all_tables(t: StarTables) -> DataFrame:
-    """All tables as CSV text, reviews with a line break in quotes, ingested together; rows and digest of each."""
-    folder = scratch_folder(t.spark, "ingest-all")
+REVIEWS = ["review_id", "order_id", "review_score", "review_comment_message"]
+
+
+def ingest_everything(t: StarTables, folder: str) -> dict[str, TableCounts]:
+    """All tables as CSV text, reviews with a line break in quotes, ingested together."""
     reviews = t.raw("orders").select(
         F.concat(F.lit("r"), F.col("o_orderkey")).alias("review_id"),
         F.col("o_orderkey").alias("order_id"),
@@ -610,9 +626,30 @@ def ingest_all_tables(t: StarTables) -> DataFrame:
     )
     for table, df in stars.items():
         df.write.option("escape", '"').csv(f"{folder}/csv/{table}", header=True, timestampFormat="yyyy-MM-dd HH:mm:ss")
-    ingest(t.spark, {x: f"{folder}/csv/{x}" for x in stars}, f"{folder}/parquet", multi_line=["order_reviews"], escape='"')
-    columns = {**FILLED, "order_reviews": [*reviews.columns]}
-    return bundle.result_digests(t.spark, f"{folder}/parquet", columns)
+    return ingest(t.spark, {x: f"{folder}/csv/{x}" for x in stars}, f"{folder}/parquet", multi_line=["order_reviews"], escape='"')
+
+
+def ingest_all_tables(t: StarTables) -> DataFrame:
+    """Rows and digest of each ingested table, read back."""
+    folder = scratch_folder(t.spark, "ingest-all")
+    ingest_everything(t, folder)
+    return bundle.result_digests(t.spark, f"{folder}/parquet", {**FILLED, "order_reviews": REVIEWS})
+
+
+# Columns of whole numbers and text, whose text forms are the same everywhere.
+COUNTED = {
+    "customers": ["customer_id", "customer_unique_id", "customer_city"],
+    "geolocation": ["geolocation_zip_code_prefix"],
+    "order_items": ["order_id", "product_id", "seller_id", "order_item_id"],
+    "orders": ["order_id", "order_status"],
+    "products": ["product_id", "product_category_name"],
+    "order_reviews": ["review_id", "review_score", "review_comment_title"],
+}
+
+
+def ingest_counts(t: StarTables) -> DataFrame:
+    """Rows, nulls, least and largest value of some columns, taken while the tables are written."""
+    return counts_table(t.spark, ingest_everything(t, scratch_folder(t.spark, "ingest-counts")), COUNTED)
 
 
 def ingested_digest(table: str, source: str, values: list[str]) -> str:
@@ -655,6 +692,94 @@ register(
 )
 
 
+def counts_line(table: str, column: str, value: str, kind: str, source: str) -> str:
+    v = f"CAST({value} AS {kind})"
+    return (
+        f"SELECT '{table}' AS \"table\", '{column}' AS \"column\", count(*) AS \"rows\", count(*) - count({v}) AS nulls, "
+        f"CAST(min({v}) AS VARCHAR) AS least, CAST(max({v}) AS VARCHAR) AS largest FROM {source}"
+    )
+
+
+register(
+    "ingest_counts",
+    ingest_counts,
+    " UNION ALL ".join(
+        counts_line(*x)
+        for x in (
+            ("customers", "customer_id", "o_orderkey", "VARCHAR", "orders"),
+            ("customers", "customer_unique_id", "o_custkey", "VARCHAR", "orders"),
+            ("customers", "customer_city", "NULL", "VARCHAR", "orders"),
+            ("geolocation", "geolocation_zip_code_prefix", "c_nationkey + 5", "BIGINT", "customer"),
+            ("order_items", "order_id", "l_orderkey", "VARCHAR", "lineitem"),
+            ("order_items", "product_id", "l_partkey", "VARCHAR", "lineitem"),
+            ("order_items", "seller_id", "l_suppkey", "VARCHAR", "lineitem"),
+            ("order_items", "order_item_id", "NULL", "BIGINT", "lineitem"),
+            ("orders", "order_id", "o_orderkey", "VARCHAR", "orders"),
+            ("orders", "order_status", "o_orderstatus", "VARCHAR", "orders"),
+            ("products", "product_id", "p_partkey", "VARCHAR", "part"),
+            ("products", "product_category_name", "p_brand", "VARCHAR", "part"),
+            ("order_reviews", "review_id", "'r' || o_orderkey", "VARCHAR", "orders"),
+            ("order_reviews", "review_score", "o_orderkey % 5 + 1", "BIGINT", "orders"),
+            ("order_reviews", "review_comment_title", "NULL", "VARCHAR", "orders"),
+        )
+    ),
+)
+
+
+def ingest_quarantine(t: StarTables) -> DataFrame:
+    """Payments as CSV text with planted damage; the rows set aside with their reasons, and the number of good ones."""
+    folder = scratch_folder(t.spark, "damaged")
+    lines = t.raw("lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").cast("string").alias("payment_sequential"),
+        F.lit("card").alias("payment_type"),
+        F.when(F.col("l_orderkey") % 53 == 5, "many").otherwise("1").alias("payment_installments"),
+        F.when(F.col("l_orderkey") % 97 == 0, F.concat(F.lit("x"), "l_linenumber")).otherwise("2.5").alias("payment_value"),
+    )
+    lines.write.csv(f"{folder}/csv", header=True)
+    counts = ingest(t.spark, {"order_payments": f"{folder}/csv"}, f"{folder}/good", quarantine=f"{folder}/bad", most_damaged=0.2)
+    rows = t.spark.range(1).select(F.lit("good rows").alias("record"), F.lit(str(counts["order_payments"].rows)).alias("reason"))
+    return open_tables(t.spark, f"{folder}/bad", ["order_payments"])["order_payments"].select("record", "reason").union(rows)
+
+
+register(
+    "ingest_quarantine",
+    ingest_quarantine,
+    """WITH lines AS (
+        SELECT l_orderkey % 53 = 5 AS many, l_orderkey % 97 = 0 AS priced, l_orderkey, l_linenumber FROM lineitem
+    )
+    SELECT l_orderkey || ',' || l_linenumber || ',card,' || CASE WHEN many THEN 'many' ELSE '1' END || ','
+           || CASE WHEN priced THEN 'x' || l_linenumber ELSE '2.5' END AS record,
+           concat_ws('; ', CASE WHEN many THEN 'payment_installments is no int: many' END,
+                     CASE WHEN priced THEN 'payment_value is no double: x' || l_linenumber END) AS reason
+    FROM lines WHERE many OR priced
+    UNION ALL SELECT 'good rows', CAST(count(*) AS VARCHAR) FROM lines WHERE NOT many AND NOT priced""",
+)
+
+
+def bucketed(t: StarTables) -> OrderBuckets:
+    """Orders and payments in buckets by order."""
+    folder = scratch_folder(t.spark, "buckets")
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return write_order_buckets(t.spark, t.orders, {"order_payments": t.order_payments}, folder, buckets)
+
+
+def bucketed_month_spending(t: StarTables) -> DataFrame:
+    store = bucketed(t)
+    return spenders.month_spending(
+        spenders.month_payments(store.placed, store.facts("order_payments"), year=YEAR, excluded_status=CANCELED, keys=KEYS)
+    )
+
+
+def bucketed_max_payment(t: StarTables) -> DataFrame:
+    store = bucketed(t)
+    return spenders.max_payment_by_month(store.placed, store.facts("order_payments"), keys=KEYS)
+
+
+register("bucketed_month_spending", bucketed_month_spending, ENTRIES["month_spending"][1])
+register("bucketed_max_payment", bucketed_max_payment, ENTRIES["max_payment_by_month"][1])
+
+
 def marked_csv(t: StarTables) -> DataFrame:
     """Products from CSV files whose headers begin with a byte order mark."""
     folder = scratch_folder(t.spark, "marked")

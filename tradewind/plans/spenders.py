@@ -6,6 +6,8 @@ anyway, and an order with very many payments cannot skew it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,37 +18,42 @@ from ..sources.schemas import YEAR_PARTITION
 PURCHASE = "order_purchase_timestamp"
 
 
-def max_payment_by_month(orders: DataFrame, payments: DataFrame, year: int | None = None) -> DataFrame:
+def max_payment_by_month(
+    orders: DataFrame, payments: DataFrame, year: int | None = None, *, keys: Sequence[str] = ("order_id",)
+) -> DataFrame:
     """``customer_id, month, year, max_cash``: the largest single payment of every month.
 
+    ``keys`` are the columns that orders and payments are joined on; bucketed tables have two.
+
     The largest payment of a month is the largest per customer of that month too, so nothing needs
     to be grouped by customer. Equal payments: the smaller ``customer_id``.
     """
-    largest = payments.groupBy("order_id").agg(F.max(cents("payment_value")).alias("paid"))
+    largest = payments.groupBy(*keys).agg(F.max(cents("payment_value")).alias("paid"))
     if year is not None:
         orders = orders.filter(in_year(orders, PURCHASE, year, partition=YEAR_PARTITION))
     day = as_date(orders, PURCHASE)
-    placed = orders.select("order_id", "customer_id", F.month(day).alias("month"), F.year(day).alias("year"))
-    best = top_rows(placed.join(largest, "order_id"), ["year", "month"], "paid", 1, tie_break=["customer_id"])
+    placed = orders.select(*keys, "customer_id", F.month(day).alias("month"), F.year(day).alias("year"))
+    best = top_rows(placed.join(largest, list(keys)), ["year", "month"], "paid", 1, tie_break=["customer_id"])
     return best.select("customer_id", "month", "year", to_amount("paid").alias("max_cash"))
 
 
 def month_payments(
-    orders: DataFrame, payments: DataFrame, *, year: int | None = None, excluded_status: str = "canceled"
+    orders: DataFrame, payments: DataFrame, *, year: int | None = None, excluded_status: str = "canceled",
+    keys: Sequence[str] = ("order_id",),
 ) -> DataFrame:
     """``order_purchase_month, customer_id, paid``: sum in cents per customer and month of one year.
 
     Orders with the excluded status or none at all are left out. The default year is the last full
-    one.
+    one. ``keys`` are the columns that orders and payments are joined on.
     """
     wanted = year_before_last(orders, PURCHASE) if year is None else year
     bought = in_year(orders, PURCHASE, wanted, partition=YEAR_PARTITION)
     placed = orders.filter((F.col("order_status") != excluded_status) & bought).select(
-        "order_id", "customer_id", F.month(as_date(orders, PURCHASE)).alias("order_purchase_month")
+        *keys, "customer_id", F.month(as_date(orders, PURCHASE)).alias("order_purchase_month")
     )
-    per_order = payments.groupBy("order_id").agg(F.sum(cents("payment_value")).alias("paid"))
+    per_order = payments.groupBy(*keys).agg(F.sum(cents("payment_value")).alias("paid"))
     return (
-        placed.join(per_order, "order_id").groupBy("order_purchase_month", "customer_id").agg(F.sum("paid").alias("paid"))
+        placed.join(per_order, list(keys)).groupBy("order_purchase_month", "customer_id").agg(F.sum("paid").alias("paid"))
     )
 
 

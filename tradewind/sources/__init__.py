@@ -1,9 +1,10 @@
 """Input tables, file formats and intermediate tables."""
 
+from .buckets import KEYS, OrderBuckets, write_order_buckets
+from .counted import ColumnCounts, TableCounts, counted, counts_table
 from .files import (
     columns_at,
     first_rows,
-    ingest,
     open_csv_tables,
     open_tables,
     read_csv,
@@ -11,7 +12,9 @@ from .files import (
     table_path,
     write_table,
 )
+from .ingest import ingest
 from .publish import Published, side_by_side
+from .quarantine import TooDamaged
 from .schemas import SCHEMAS
 from .scratch import materialize, remove_folder, scratch_folder
 from .snapshots import Conflict, Snapshots
@@ -19,11 +22,18 @@ from .star import StarTables
 
 __all__ = [
     "SCHEMAS",
+    "ColumnCounts",
     "Conflict",
+    "KEYS",
+    "OrderBuckets",
     "Published",
     "Snapshots",
     "StarTables",
+    "TableCounts",
+    "TooDamaged",
     "columns_at",
+    "counted",
+    "counts_table",
     "first_rows",
     "ingest",
     "materialize",
@@ -35,5 +45,6 @@ __all__ = [
     "scratch_folder",
     "side_by_side",
     "table_path",
+    "write_order_buckets",
     "write_table",
 ]

@@ -21,6 +21,14 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, which is removed."""
+    remove_folder(spark, target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write an intermediate table and read it back: lost executors cost no recomputation before it."""
     path = f"{folder}/{name}"
