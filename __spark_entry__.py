@@ -14,12 +14,19 @@ from pyspark.sql.types import StructType
 
 from tradewind.functions import as_date
 from tradewind.operators import (
+    IdSets,
+    complete_rank,
     distinct_ratio,
     duplicate_groups,
+    fixed_sample,
+    id_sets,
     look_up,
+    merge_samples,
     null_counts,
     profile,
     sample_points,
+    set_members,
+    set_sizes,
     sum_by,
 )
 from tradewind.plans import bundle, categories, delivery, sellers, shipping, spenders, status
@@ -494,6 +501,65 @@ register(
 )
 
 
+def fixed_points(t: StarTables) -> DataFrame:
+    """300 positions for a map, customers drawn in proportion to their balance: merged from samples of two halves."""
+    points = t.raw("customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    halves = [points.where(F.col("c_custkey") % 2 == i) for i in range(2)]
+    samples = [fixed_sample(half, 300, key=["c_custkey"], seed=3, weight="c_acctbal") for half in halves]
+    return merge_samples(samples, 300, key=["c_custkey"]).drop("priority")
+
+
+register(
+    "fixed_points",
+    fixed_points,
+    """SELECT c_custkey, c_nationkey, c_acctbal FROM customer WHERE c_acctbal > 0
+    ORDER BY -ln((CAST(CAST('0x' || substr(md5('3|' || c_custkey), 1, 13) AS BIGINT) AS DOUBLE) + 1) / 4503599627370497.0)
+             / c_acctbal, c_custkey LIMIT 300""",
+)
+
+
+def all_seller_ranks(t: StarTables, places: list[str]) -> DataFrame:
+    """Every seller's place by revenue in tens of thousands, so that many share one."""
+    sales = sellers.seller_sales(t.order_items, t.sellers)
+    sales = sales.select("seller_id", *places, F.expr("earned div 100000000").alias("millions"))
+    return complete_rank(sales, "millions", scratch_folder(t.spark, "ranks"), places)
+
+
+def all_ranks_sql(place: str) -> str:
+    over = f"OVER ({f'PARTITION BY {place}' if place else ''} ORDER BY millions DESC)"
+    return f"""WITH {SALES}, told AS (SELECT *, CAST(floor(revenue / 1000000) AS BIGINT) AS millions FROM sales)
+    SELECT seller_id, {f'{place}, ' if place else ''}millions, rank() {over} AS rank, dense_rank() {over} AS dense_rank,
+           percent_rank() {over} AS percent_rank FROM told"""
+
+
+register("all_seller_ranks", lambda t: all_seller_ranks(t, []), all_ranks_sql(""))
+register("all_seller_ranks_state", lambda t: all_seller_ranks(t, ["seller_state"]), all_ranks_sql("seller_state"))
+
+
+def customer_sets(t: StarTables) -> IdSets:
+    return id_sets(t.customers, "customer_unique_id", "customer_id", scratch_folder(t.spark, "sets"))
+
+
+def ids_of_month_winners(t: StarTables) -> DataFrame:
+    """All ids of the persons who paid most in a month, from their sets."""
+    paid = spenders.month_payments(t.orders, t.order_payments, year=YEAR, excluded_status=CANCELED)
+    winners = spenders.month_spending_unique(paid, t.customers).select("customer_unique_id").distinct()
+    return set_members(customer_sets(t), winners)
+
+
+register(
+    "ids_per_person",
+    lambda t: set_sizes(customer_sets(t)),
+    "SELECT o_custkey AS customer_unique_id, count(DISTINCT o_orderkey) AS size FROM orders GROUP BY 1",
+)
+register(
+    "ids_of_month_winners",
+    ids_of_month_winners,
+    f"""SELECT DISTINCT customer_unique_id, CAST(customer_id AS BIGINT) AS customer_id
+    FROM ({ENTRIES['month_spending_unique'][1]}) AS r""",
+)
+
+
 # The same questions in Spark SQL: views, a common table expression, IN, and EXTRACT.
 def sql_top_products(t: StarTables) -> DataFrame:
     for name in ("order_items", "products", "category_translation"):

@@ -13,7 +13,8 @@ from tradewind.sources import StarTables
 FOLDER = str(TESTDATA / "sf0.001")
 WRITING = {
     "ingest_roundtrip", "report_bundle", "incremental_bundle", "incremental_seller_months", "ingest_counts", "ingest_quarantine",
-    "bucketed_month_spending", "bucketed_max_payment",
+    "bucketed_month_spending", "bucketed_max_payment", "all_seller_ranks", "all_seller_ranks_state", "ids_per_person",
+    "ids_of_month_winners",
 } | registry.TRAINING
 # Orders serve as customers too; the profile reads each column by itself; the SQL text names its grouping twice.
 SEVERAL_READS = {"month_spending_unique", "table_profile", "sql_top_products"}

@@ -89,3 +89,26 @@ def sample_points(df: DataFrame, columns: Sequence[str], fraction: float, *, key
     text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key))
     drawn = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return df.filter(drawn < int(fraction * 2**32)).select(*columns)
+
+
+def fixed_sample(
+    df: DataFrame, n: int, *, key: Sequence[str], seed: int = 0, weight: str | None = None, priority: str = "priority"
+) -> DataFrame:
+    """``n`` rows, or all if there are fewer, with a ``priority``, smallest first; the same at any file layout.
+
+    The priority is a hash of the row's key, as a number between 0 and 1. With a ``weight`` it is the waiting time of that
+    number at the rate of the weight, so that rows are drawn in proportion to it; rows without a positive weight are never
+    drawn. Every task keeps its ``n`` first rows. Rows that agree in the whole key tie. A sample is at most ``n`` rows in one
+    task, so ``n`` is meant for a map or a report.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key))
+    drawn = (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 1) / float(2**52 + 1)
+    if weight is not None:
+        drawn = F.when(F.col(weight) > 0, -F.log(drawn) / F.col(weight))
+    rows = df.withColumn(priority, drawn).filter(F.col(priority).isNotNull())
+    return rows.orderBy(priority, *key).limit(n)
+
+
+def merge_samples(samples: Sequence[DataFrame], n: int, *, key: Sequence[str], priority: str = "priority") -> DataFrame:
+    """The sample of all rows from the samples of parts of them, each of ``n`` rows or more by the same rule."""
+    return reduce(DataFrame.unionByName, samples).orderBy(priority, *key).limit(n)
