@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_date, band, merge_cents, month_start, on_or_after, pick, sum_cents, to_amount
-from ..operators import best_wide, match_keys, mean_by_key, top_ranked
+from ..operators import best_wide, join_spread, mean_by_key, top_ranked
 
 # Band limits, marker sizes and marker colours.
 COUNT_LIMITS = (1500, 200, 100, 20, 10)
@@ -140,12 +140,14 @@ def top_seller_months(
     if since is not None:
         wanted = on_or_after(orders, "order_purchase_timestamp", since)
     placed = orders.filter(wanted).select("order_id", month_start(day).alias("date"))
-    # Null-safe, so that no filter comes under the grouping, which then could not feed both.
+    # Only the sums of the few best sellers meet the orders. Null-safe, so that no filter comes under the grouping, which
+    # then could not feed both.
+    sold = join_spread(per_order, best, ["seller_id"])
     placed = placed.filter(F.col("order_id").isNotNull()).withColumnRenamed("order_id", "placed_id")
-    in_months = per_order.join(placed, F.col("order_id").eqNullSafe(F.col("placed_id")))
+    in_months = sold.join(placed, F.col("order_id").eqNullSafe(F.col("placed_id")))
     per_month = in_months.groupBy("seller_id", "date").agg(F.sum("earned").alias("earned"))
     return (
-        match_keys(per_month, "seller_id", best)
+        per_month
         .select("seller_id", "date", to_amount("earned").alias("month_earnings"))
         .orderBy("date", "seller_id")
     )
