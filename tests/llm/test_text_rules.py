@@ -46,11 +46,30 @@ def test_rules(docs, rows, empty):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base
         assert r.covered_words == covered(words, 8)
         assert r.base_failed == (len(words) < 50 or 100 * base[4] > 50 * len(words))
-        fine = r.covered_words <= 0.45 * len(words) and r.longest_repeat <= 50
+        assert r.longest_repeat == max((longest_by_hand(words, i) for i in range(len(words))), default=0) or len(words) > 700
+        fine = r.covered_words <= 0.3 * len(words) and r.longest_repeat <= 0.15 * len(words) and r.longest_repeat <= 50
         assert r.kept == (not r.base_failed and fine)
     assert rules.judge(docs).count() == len(rows) and rules.judge(empty).count() == 0
 
 
+def test_each_limit_decides_alone(spark):
+    """Texts of different words with one passage twice, three times, or once more in a very long text."""
+    word = iter(f"w{i}" for i in range(10_000))
+    passage = [next(word) for _ in range(60)]
+
+    def text(n, length, times):
+        own = [next(word) for _ in range(n - length * times)]
+        for i in range(times):
+            own[i * (length + 10) : i * (length + 10)] = passage[:length]
+        return " ".join(own)
+
+    cases = {1: (text(200, 8, 7), True), 2: (text(200, 8, 8), False), 3: (text(200, 30, 2), True), 4: (text(206, 31, 2), False),
+             5: (text(1000, 50, 2), True), 6: (text(1000, 51, 2), False), 7: (text(200, 0, 0), True)}
+    found = {r.doc_id: r for r in rules.judge(spark.createDataFrame([(i, t) for i, (t, _) in cases.items()], "doc_id long, text string")).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {i: r.kept for i, r in found.items()} == {i: kept for i, (_, kept) in cases.items()}
+
+
 def bits_by_hand(texts, text, contexts=3):
     """Code length of a text under one language, byte by byte."""
     tables = [Counter() for _ in range(contexts + 1)]

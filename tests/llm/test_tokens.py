@@ -18,6 +18,11 @@ BYTE, WORD, PIECE = (path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json",
 TEXT = st.text(st.sampled_from("aeT é.,-'5 \n\t 日Σ|<>▁İ"), max_size=25) | st.text(max_size=15)
 
 
+def totals(counter, texts):
+    counts, sizes = counter.tables(pa.array(texts, pa.string()))
+    return [int(own[-1]) if len(own) else 0 for own in np.split(counts, np.cumsum(sizes)[:-1])]
+
+
 def whole(file, text):
     return Tokenizer.from_file(file).encode(text or "", add_special_tokens=False).ids
 
@@ -39,70 +44,70 @@ def test_encoder_gives_the_librarys_ids(file, drops_space):
 @given(st.lists(TEXT, min_size=1, max_size=20))
 def test_counter_gives_the_librarys_counts(texts):
     model = SentencePieceProcessor(model_file=PIECE)
-    assert counting.prefix_counter(PIECE).totals(pa.array(texts)) == [len(model.encode(t)) for t in texts]
+    assert totals(counting.prefix_counter(PIECE), texts) == [len(model.encode(t)) for t in texts]
 
 
 def test_null_characters_are_counted():
     model = SentencePieceProcessor(model_file=PIECE)
     texts = ["a\0b c", "\0", "\0a", "a\0", "a \0 b", "\0\0 a", "a\0\0b", " \0", "▁\0", "no such character"]
-    assert counting.prefix_counter(PIECE).totals(pa.array(texts)) == [len(model.encode(t)) for t in texts]
+    assert totals(counting.prefix_counter(PIECE), texts) == [len(model.encode(t)) for t in texts]
 
     @settings(max_examples=60, deadline=None)
     @given(st.lists(st.text(st.sampled_from("aeT é\0.\n▁日"), max_size=20), min_size=1, max_size=20))
     def check(texts):
-        assert counting.prefix_counter(PIECE).totals(pa.array(texts)) == [len(model.encode(t)) for t in texts]
+        assert totals(counting.prefix_counter(PIECE), texts) == [len(model.encode(t)) for t in texts]
 
     check()
 
 
-def test_every_prefix_is_counted_from_the_table():
+def test_questions_are_answered_from_the_table():
     model = SentencePieceProcessor(model_file=PIECE)
     for text in ["Thing of  the\nworld, 日本 é ", "a", " x y", "one▁two three"]:
-        ends, tokens = counting.prefix_counter(PIECE).table(text)
+        _, tokens = counting.prefix_counter(PIECE).table(text)
         counts = [len(model.encode(text[:i])) for i in range(len(text) + 1)]
-        assert [counting.tokens_of_prefix(text, ends, tokens, i, PIECE) for i in range(len(text) + 1)] == counts
+        assert [counting.tokens_of_prefix(tokens, i) for i in range(len(text) + 1)] == counts
         for budget in range(counts[-1] + 2):
-            assert counting.longest_prefix(text, ends, tokens, budget, PIECE) == max(i for i, n in enumerate(counts) if n <= budget)
+            assert counting.longest_prefix(tokens, budget) == max(i for i, n in enumerate(counts) if n <= budget)
+
+
+def prefix_counts(model, text):
+    return [len(model.encode(text[:i])) for i in range(1, len(text) + 1)]
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.one_of(TEXT, st.text(st.sampled_from("aeinorst \0▁日"), max_size=40)))
-def test_tables_hold_every_prefix(text):
+@given(st.lists(st.one_of(TEXT, st.text(st.sampled_from("aeinorst \0▁日"), max_size=40)), max_size=6))
+def test_tables_hold_every_prefix(texts):
     model = SentencePieceProcessor(model_file=PIECE)
-    counts = [len(model.encode(text[:i])) for i in range(1, len(text) + 1)]
-    assert counting.prefix_counter(PIECE).table(text) == (list(range(1, len(text) + 1)), counts)
+    counts, sizes = counting.prefix_counter(PIECE).tables(pa.array(texts, pa.string()))
+    assert sizes.tolist() == [len(t) for t in texts]
+    assert counts.tolist() == [n for t in texts for n in prefix_counts(model, t)]
 
 
 def test_tables_of_longer_texts(rows):
     model = SentencePieceProcessor(model_file=PIECE)
     for text in [r[1] for r in rows[:8]] + ["日本語" * 60, "internationalization" * 9, "a" * 200, "x▁" * 50, " " * 70]:
-        _, counts = counting.prefix_counter(PIECE).table(text)
-        assert counts == [len(model.encode(text[:i])) for i in range(1, len(text) + 1)]
-
-
-def test_long_texts_are_encoded_once(monkeypatch):
-    counter, encoded = counting.PrefixCounter(PIECE), []
-    encode = counter.model.encode
+        assert counting.prefix_counter(PIECE).table(text)[1] == prefix_counts(model, text)
 
-    def counted(texts, **options):
-        encoded.append(sum(map(len, [texts] if isinstance(texts, str) else texts)))
-        return encode(texts, **options)
 
-    monkeypatch.setattr(counter.model, "encode", counted)
-    text = "one▁two " * 500
-    assert counter.totals(pa.array([text])) == [len(encode(text))]
-    assert sum(encoded) == len(text)
-    ends, tokens = counter.table("日本" * 5_000)
-    assert len(ends) == len(tokens) == 10_000 and sum(encoded) == len(text)
+def test_word_tables_are_forgotten_and_made_again(monkeypatch, rows):
+    monkeypatch.setattr(counting, "KEPT_BYTES", 20_000)
+    counter, model = counting.PrefixCounter(PIECE), SentencePieceProcessor(model_file=PIECE)
+    for _ in range(2):
+        for i in range(0, 60, 10):
+            texts = [r[1] for r in rows[i : i + 10]]
+            assert totals(counter, texts) == [len(model.encode(t)) for t in texts]
+    assert len(counter.kept.words) < 2_000
 
 
 def test_token_counts(docs, rows, empty):
     model = SentencePieceProcessor(model_file=PIECE)
-    found = Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in counting.count_tokens(docs, PIECE).collect())
-    assert found == Counter((r[0], len((r[1] or "").encode()), len(model.encode(r[1] or ""))) for r in rows)
-    assert counting.count_tokens(empty, PIECE).count() == 0
-    stored = counting.count_tokens(docs.where("doc_id < 5"), PIECE, tables=True).collect()
-    assert all(r.tokens_at[-1] == r.n_tokens for r in stored)
+    found = Counter(tuple(r)[:4] for r in counting.count_tokens(docs, PIECE, limit=100).collect())
+    sizes = [len(model.encode(r[1] or "")) for r in rows]
+    assert found == Counter((r[0], len((r[1] or "").encode()), n, n > 100) for r, n in zip(rows, sizes, strict=True))
+    assert {r[3] for r in found} == {True, False}
+    assert counting.count_tokens(empty, PIECE, limit=100).count() == 0
+    stored = counting.count_tokens(docs.where("doc_id < 5"), PIECE, limit=1, tables=True).collect()
+    assert all(r.tokens_at[-1] == r.n_tokens and len(r.tokens_at) == len(r.prefix_ends) for r in stored)
 
 
 def test_packing(docs, rows, empty):

@@ -2,16 +2,16 @@
 
 No piece of the vocabulary spans a change from another character to a space, so the count of a prefix that ends with
 a word is the count of the prefix before that word and the word's own count. Inside a word the same holds of the
-word's own table of prefixes, which is made once per word and kept. There a prefix's last piece is the only one that
+word's own table of prefixes, which is made once per word and kept as long as it is met. There a prefix's last piece is the only one that
 stays apart from the last piece of the prefix before it when the two are merged, so a table takes one pass.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import TYPE_CHECKING
 
 import numpy as np
@@ -19,13 +19,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import text_batches
-from .tokens import MOST_KEPT, Kept, cut_words, looked_up
+from .common import ENCODE_BYTES, gives_back, text_batches
+from .tokens import WordIds, cut_words, spans
 
 if TYPE_CHECKING:
     from sentencepiece import SentencePieceProcessor
 
-COUNTS = "doc_id long, n_bytes long, n_tokens long, prefix_ends array<int>, tokens_at array<int>"
+COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, prefix_ends array<int>, tokens_at array<int>"
 
 
 # Texts in which a space stands beside another or at an end, the mark that stands for a space in pieces, or the character
@@ -33,10 +33,10 @@ COUNTS = "doc_id long, n_bytes long, n_tokens long, prefix_ends array<int>, toke
 SPACES = "  |^ | $|\u2581|\\x00"
 
 
-# Characters of the longest words whose tables are kept.
-LONGEST_KEPT = 64
-# Texts counted at a time.
-ENCODED = 8_000_000
+# Words and tables that are kept; making one costs several times what encoding a word does.
+KEPT_BYTES = 128_000_000
+# Pairs of pieces of which it is remembered whether they stay apart.
+MOST_PAIRS = 300_000
 
 
 class Merges:
@@ -48,7 +48,7 @@ class Merges:
         ids = [i for i in range(model.get_piece_size()) if not any(f(i) for f in special)]
         self.scores = {model.id_to_piece(i): model.get_score(i) for i in ids}
         self.longest = max(map(len, self.scores))
-        self.apart = lru_cache(maxsize=MOST_KEPT)(self._apart)
+        self.apart = lru_cache(maxsize=MOST_PAIRS)(self._apart)
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text."""
@@ -69,11 +69,13 @@ class Merges:
         no piece counts with its bytes."""
         text = text.replace(" ", "\u2581")
         counts, last = [0], [0]
+        scores, apart, longest = self.scores, self.apart, self.longest
         for end in range(1, len(text) + 1):
-            for start in range(end - 1, max(-1, end - self.longest - 1), -1):
+            for start in range(end - 1, max(-1, end - longest - 1), -1):
                 piece = text[start:end]
-                if (start == end - 1 or piece in self.scores) and self.apart(text[start - last[start] : start], piece):
-                    counts.append(counts[start] + (1 if piece in self.scores else len(piece.encode())))
+                known = piece in scores
+                if (known or start == end - 1) and apart(text[start - last[start] : start], piece):
+                    counts.append(counts[start] + (1 if known else len(piece.encode())))
                     last.append(end - start)
                     break
         return counts[1:]
@@ -85,54 +87,59 @@ class PrefixCounter:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.model = SentencePieceProcessor(model_file=path)
         self.cut = re.compile(r" *[^ ]+| +").findall
-        self.kept = Kept(self.count_words)
-        self.merges = Merges(self.model)
-        self.tables = Kept(lambda words: map(self.merges.prefixes, words))
-
-    def count_words(self, words: list[str]) -> list[int]:
-        """The model puts a space before each text, so a word's own first space is left to it. A single space, that
-        ends a text, is one piece."""
-        found = self.model.encode([w[1:] for w in words], num_threads=1)
-        return [len(x) if len(w) > 1 else 1 for w, x in zip(words, found, strict=True)]
-
-    def _values(self, words: list[str]) -> list[int]:
-        self.kept.learn(words)
-        return [self.kept[w] for w in words]
-
-    def totals(self, texts: pa.Array) -> list[int]:
-        """The count at each text's last prefix, the sum over its words; 0 for null."""
+        self.merges = Merges(SentencePieceProcessor(model_file=path))
+        self.kept = WordIds(self._word_tables, KEPT_BYTES)
+
+    def _word_tables(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The counts at every prefix of different words, in a row, and how many each has."""
+        tables = [self.merges.prefixes(w) for w in words.to_pylist()]
+        sizes = np.fromiter(map(len, tables), np.int64, len(tables))
+        return np.fromiter(chain.from_iterable(tables), "<u4", int(sizes.sum())), sizes
+
+    def _words(self, text: str) -> list[str]:
+        """A text's words, the space that the model puts in front with the first. One with the mark that stands for a space
+        in pieces is one word, since that mark may be merged with what is before it."""
+        if not text:
+            return []
+        return [f" {text}"] if "\u2581" in text else self.cut(f" {text}")
+
+    def _tables(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The tables of texts given as words, in a row, and how many entries each has."""
+        found = words.values.dictionary_encode()
+        place = self.kept.places(found.dictionary)[found.indices.to_numpy()]
+        starts, n = self.kept.ends[place], self.kept.ends[place + 1] - self.kept.ends[place]
+        whole = np.zeros(len(n), np.int64)  # a word's count is that at its last prefix
+        whole[n > 0] = self.kept.ids[(starts + n - 1)[n > 0]]
+        before = np.append(0, np.cumsum(whole))
+        bounds = words.offsets.to_numpy()
+        before = before[:-1] - np.repeat(before[bounds[:-1]], np.diff(bounds))
+        table = self.kept.ids[spans(starts, n)] + np.repeat(before, n)
+        sizes = np.diff(np.append(0, np.cumsum(n))[bounds])
+        # The space put in front of a text is no prefix of it.
+        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        return np.delete(table, first), np.maximum(sizes - 1, 0)
+
+    def tables(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The counts at the prefixes of 1, 2, ... characters of each text, in a row, and how many each text has."""
         texts = texts.fill_null("")
-        other = pc.or_(pc.match_substring_regex(texts, SPACES), pc.equal(texts, ""))
-        cut = cut_words(pc.binary_join_element_wise(" ", texts.filter(pc.invert(other)), ""))
-        counts, place, bounds = looked_up(cut, self._values)
-        # The first word of each list is the empty one before the space put in front.
-        sums = np.append(0, np.cumsum(np.array(counts, dtype=np.int64)[place]))
-        plain = iter((sums[bounds[1:]] - sums[np.minimum(bounds[:-1] + 1, bounds[1:])]).tolist())
-        return [self.total(t) if x else next(plain) for t, x in zip(texts.to_pylist() if pc.any(other).as_py() else [None] * len(texts), other.to_pylist(), strict=True)]
-
-    def total(self, text: str) -> int:
-        """The text's own count, without a table."""
-        if "\u2581" in text:
-            return len(self.model.encode(text))
-        words = self.cut(f" {text}") if text else []
-        return sum(self._values(words))
+        other = pc.or_(pc.match_substring_regex(texts, SPACES), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
+        odd = pa.array(list(map(self._words, texts.filter(pa.array(other)).to_pylist())), pa.list_(pa.string()))
+        plain = cut_words(pc.binary_join_element_wise(" ", texts.filter(pa.array(~other)), ""))
+        parts = [(np.flatnonzero(other), *self._tables(odd)), (np.flatnonzero(~other), *self._tables(plain))]
+        sizes = np.zeros(len(texts), np.int64)
+        for where, _, n in parts:
+            sizes[where] = n
+        starts = np.cumsum(sizes) - sizes
+        every = np.zeros(int(sizes.sum()), np.int64)
+        for where, counts, n in parts:
+            every[spans(starts[where], n)] = counts
+        return every, sizes
 
     def table(self, text: str) -> tuple[list[int], list[int]]:
-        """All prefixes of the text but the empty one: where they end, in characters, and their counts."""
-        if "\u2581" in text:
-            counts = self.merges.prefixes(f" {text}")
-        else:
-            words = self.cut(f" {text}") if text else []
-            self.tables.learn(w for w in words if len(w) <= LONGEST_KEPT)
-            counts, before = [], 0
-            for w in words:
-                own = self.tables[w] if len(w) <= LONGEST_KEPT else self.merges.prefixes(w)
-                counts += [before + n for n in own]
-                before = counts[-1]
-        # The space put in front is no prefix.
-        return list(range(1, len(text) + 1)), counts[1:]
+        """All prefixes of a text but the empty one: where they end, in characters, and their counts."""
+        counts, _ = self.tables(pa.array([text]))
+        return list(range(1, len(text) + 1)), counts.tolist()
 
 
 @lru_cache(maxsize=2)
@@ -141,56 +148,41 @@ def prefix_counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def count_tokens(docs: DataFrame, model: str, tables: bool = False) -> DataFrame:
-    """Per row of `docs(doc_id, text)`: doc_id, n_bytes (UTF-8), n_tokens and, if asked for, the table of prefixes:
-    `prefix_ends`, each place in the text in characters, and `tokens_at`, the count of the prefix up to there.
+def count_tokens(docs: DataFrame, model: str, limit: int, tables: bool = False) -> DataFrame:
+    """Per row of `docs(doc_id, text)`: doc_id, n_bytes (UTF-8), n_tokens, over_limit and, if asked for, the table of
+    prefixes: `prefix_ends`, each place in the text in characters, and `tokens_at`, the count of the prefix up to there.
 
-    A null text counts as empty: 0 bytes, 0 tokens, empty tables. Each row is counted by itself, so repeated rows and
-    null ids give rows like any others.
+    The table of every text is made; `n_tokens` is its last entry, and `over_limit` says that this is above `limit`. A null
+    text counts as empty: 0 bytes, 0 tokens, an empty table. Each row is counted by itself, so repeated rows and null ids
+    give rows like any others.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counter(model)
-        for batch in text_batches(batches, ENCODED):
+        for batch in text_batches(batches, ENCODE_BYTES):
             texts = batch.column("text").fill_null("")
-            rows = [counter.table(t) for t in texts.to_pylist()] if tables else [(None, None)] * len(texts)
+            counts, sizes = counter.tables(texts)
+            ends = np.cumsum(sizes)
+            total = np.zeros(len(sizes), np.int64)
+            total[sizes > 0] = counts[ends[sizes > 0] - 1]
+            none = pa.nulls(len(sizes), pa.list_(pa.int32()))
+            places = spans(np.ones(len(sizes), np.int64), sizes)
+            stored = [pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(x, pa.int32())) for x in (places, counts)]
+            columns = [batch.column("doc_id").cast(pa.int64()), pc.binary_length(texts).cast(pa.int64()), pa.array(total), pa.array(total > limit)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").cast(pa.int64()),
-                    pc.binary_length(texts).cast(pa.int64()),
-                    pa.array(counter.totals(texts), pa.int64()),
-                    pa.array([r[0] for r in rows], pa.list_(pa.int32())),
-                    pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "n_bytes", "n_tokens", "prefix_ends", "tokens_at"],
+                [*columns, *(stored if tables else [none, none])],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit", "prefix_ends", "tokens_at"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(count, COUNTS)
-
-
-def tokens_of_prefix(text: str, ends: list[int], tokens: list[int], length: int, model: str) -> int:
-    """Count of the first `length` characters, from the stored table; nothing is encoded where the
-    table holds that prefix, as those of `count_tokens` do."""
-    if length <= 0:
-        return 0
-    i = bisect_right(ends, length) - 1
-    start, before = (ends[i], tokens[i]) if i >= 0 else (0, 0)
-    if start == length:
-        return before
-    word = text[start:length] if i >= 0 else f" {text[:length]}"
-    return before + prefix_counter(model).count_words([word])[0]
-
-
-def longest_prefix(text: str, ends: list[int], tokens: list[int], budget: int, model: str) -> int:
-    """Characters of the longest prefix of at most `budget` tokens. A longer prefix may hold fewer tokens, so the
-    last one that fits is looked for, and between it and the next in the table all are tried, from the last back."""
-    if not ends or tokens[-1] <= budget:
-        return len(text)
-    fits = [i for i, n in enumerate(tokens) if n <= budget]
-    first = fits[-1] if fits else -1
-    start = ends[first] if fits else 0
-    stop = ends[first + 1]
-    for length in range(stop - 1, start, -1):
-        if tokens_of_prefix(text, ends, tokens, length, model) <= budget:
-            return length
-    return start
+    return docs.select("doc_id", "text").mapInArrow(gives_back(count), COUNTS)
+
+
+def tokens_of_prefix(tokens: list[int], length: int) -> int:
+    """Count of the first `length` characters, from a text's stored `tokens_at`."""
+    return tokens[length - 1] if length > 0 else 0
+
+
+def longest_prefix(tokens: list[int], budget: int) -> int:
+    """Characters of the longest prefix of at most `budget` tokens, from a text's stored `tokens_at`. A longer prefix may
+    hold fewer tokens, so it is the last that fits."""
+    return next((i for i in range(len(tokens), 0, -1) if tokens[i - 1] <= budget), 0)

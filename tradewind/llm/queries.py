@@ -41,8 +41,8 @@ def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    counts = counting.count_tokens(documents(spark, folder), tokenizer("piece_bpe_32k.model"))
-    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+    counts = counting.count_tokens(documents(spark, folder), tokenizer("piece_bpe_32k.model"), limit=4096)
+    return counts.drop("prefix_ends", "tokens_at")
 
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -100,10 +100,16 @@ def measure(docs: DataFrame, least_words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(count, COUNTS)
 
 
-def judge(docs: DataFrame, least_words: int = 8, most_covered: float = 0.45, most_repeat: int = 50) -> DataFrame:
+def judge(
+    docs: DataFrame, least_words: int = 8, most_covered: float = 0.3, most_share: float = 0.15, most_repeat: int = 50
+) -> DataFrame:
     """The measures with `base_failed` (fewer than 50 words, or more than half of them in repeated 3-word windows)
     and `kept`: not failed, at most `most_covered` of the words in repeats of `least_words` or more, and no repeat
-    longer than `most_repeat` words."""
+    longer than `most_share` of the words or than `most_repeat` words."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    fine = (F.col("covered_words") <= most_covered * F.col("n_words")) & (F.col("longest_repeat") <= most_repeat)
+    fine = (
+        (F.col("covered_words") <= most_covered * F.col("n_words"))
+        & (F.col("longest_repeat") <= most_share * F.col("n_words"))
+        & (F.col("longest_repeat") <= most_repeat)
+    )
     return measure(docs, least_words).withColumn("base_failed", failed).withColumn("kept", ~failed & fine)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import struct
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -28,7 +28,6 @@ OTHERS = rf"[^{LETTERS}{MARKS} \t\n\x0b\x0c\r]|<\|"
 UNEVEN = r"[ \t\n\x0b\x0c\r] | [\t\n\x0b\x0c\r]|^ | $"
 # A full stop or comma beside another mark or after white space; elsewhere it is a piece by itself.
 MARKED = rf"[.,][{MARKS}']|[{MARKS}'][.,]|[ \t\n\x0b\x0c\r][.,]|^[.,]"
-MOST_KEPT = 300_000
 # Words that keep to themselves in a row of such: a space, and then no white space at either end.
 JOINED = r"(?s)^ [^ \t\n\x0b\x0c\r](.*[^ \t\n\x0b\x0c\r])?$"
 # Words that are encoded as one text.
@@ -44,33 +43,6 @@ def cut_words(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
 
 
-def looked_up(words: pa.ListArray, values: Callable[[list[str]], list]) -> tuple[list, np.ndarray, np.ndarray]:
-    """Values of the different words, each word's place among these, and where lists begin and end."""
-    found = words.values.dictionary_encode()
-    return values(found.dictionary.to_pylist()), found.indices.to_numpy(), words.offsets.to_numpy()
-
-
-class Kept(dict):
-    """Values by key, of many keys those met lately. `make` gives the values of new keys, all at once."""
-
-    def __init__(self, make: Callable[[list[str]], Iterable[object]]):
-        super().__init__()
-        self.make, self.older = make, {}
-
-    def learn(self, keys: Iterable[str]) -> None:
-        """All of `keys` are there until the next call."""
-        if len(self) > MOST_KEPT:
-            self.older = dict(self)
-            self.clear()
-        new = set(keys).difference(self)
-        known = [k for k in new if k in self.older]
-        self.update(zip(known, map(self.older.__getitem__, known), strict=True))
-        new.difference_update(known)
-        if new:
-            rest = list(new)
-            self.update(zip(rest, self.make(rest), strict=True))
-
-
 def _hashes(words: pa.Array) -> np.ndarray:
     """64 bits per word."""
     if not len(words):
@@ -88,8 +60,8 @@ class WordIds:
     """Ids of the words met lately, in arrays; `make` gives those of new words and how many each has. Words are found by
     their hashes and compared themselves then."""
 
-    def __init__(self, make: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
-        self.make = make
+    def __init__(self, make: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int):
+        self.make, self.most = make, most
         self.words, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(1, np.int64)
         self.hashes, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
@@ -103,7 +75,7 @@ class WordIds:
 
     def places(self, words: pa.Array) -> np.ndarray:
         """Where each of some different words stands among the `words`, until the next call."""
-        if self.words.nbytes + self.ids.nbytes + self.hashes.nbytes + self.order.nbytes > KEPT_BYTES:
+        if self.words.nbytes + self.ids.nbytes + self.hashes.nbytes + self.order.nbytes > self.most:
             self._halved()
         hashes = _hashes(words)
         found = np.full(len(words), -1)
@@ -152,7 +124,7 @@ class WordEncoder:
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token.removesuffix("</w>") if drops_space else token)
-        self.kept = WordIds(self._encode_words)
+        self.kept = WordIds(self._encode_words, KEPT_BYTES)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -191,7 +163,7 @@ class WordEncoder:
         starts = np.cumsum(sizes) - sizes
         every = np.zeros(int(sizes.sum()), "<u4")
         for where, ids, n in parts:
-            every[_spans(starts[where], n)] = ids
+            every[spans(starts[where], n)] = ids
         return every, sizes
 
     def _plain(self, texts: pa.Array, marked: bool) -> list[bytes]:
@@ -206,7 +178,7 @@ class WordEncoder:
         place = self.kept.places(found.dictionary)[found.indices.to_numpy()]
         starts, n = self.kept.ends[place], self.kept.ends[place + 1] - self.kept.ends[place]
         ends = np.append(0, np.cumsum(n))
-        every = memoryview(self.kept.ids[_spans(starts, n)]).cast("B")
+        every = memoryview(self.kept.ids[spans(starts, n)]).cast("B")
         cuts = (4 * ends[words.offsets.to_numpy()]).tolist()
         return [bytes(every[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
@@ -223,7 +195,7 @@ class WordEncoder:
         return [next(found[k]) for k in kind.to_pylist()]
 
 
-def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, `sizes` of them, in a row."""
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
