@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tradewind.functions import as_date
+from tradewind.functions import as_date, register_sql_functions
 from tradewind.operators import (
     IdSets,
     complete_rank,
     distinct_ratio,
     duplicate_groups,
     fixed_sample,
+    grid_pyramid,
     id_sets,
     look_up,
     merge_samples,
@@ -606,6 +607,66 @@ register(
 )
 
 
+def sql_state_bands(t: StarTables) -> DataFrame:
+    """State totals with marker sizes and colours, in SQL with the library's functions and parameters."""
+    register_sql_functions(t.spark)
+    for name in ("order_items", "sellers", "geolocation"):
+        getattr(t, name).createOrReplaceTempView(f"sales_{name}")
+    return t.spark.sql(
+        """
+        WITH earned AS (
+            SELECT seller_id, sum(tw_cents(price)) AS earned FROM sales_order_items WHERE seller_id IS NOT NULL GROUP BY seller_id
+        ),
+        zips AS (
+            SELECT geolocation_zip_code_prefix AS zip, avg(geolocation_lat) AS lat, avg(geolocation_lng) AS lng
+            FROM sales_geolocation GROUP BY 1
+        ),
+        by_zip AS (
+            SELECT SELLER_STATE, seller_zip_code_prefix AS zip, sum(CAST(earned AS DECIMAL(38,0))) AS earned, count(seller_city) AS n
+            FROM sales_sellers JOIN earned USING (seller_id) GROUP BY ALL
+        ),
+        totals AS (
+            SELECT seller_state, CAST(sum(earned) AS DOUBLE) / 100 AS revenue, sum(n) AS count,
+                   round(sum(lat * n) / sum(CASE WHEN lat IS NOT NULL THEN n END), 6) AS lat,
+                   round(sum(lng * n) / sum(CASE WHEN lng IS NOT NULL THEN n END), 6) AS lng
+            FROM by_zip LEFT JOIN zips USING (zip) GROUP BY seller_state
+        )
+        SELECT *, CAST(tw_pick(tw_band(count, :limits), :sizes) AS BIGINT) AS size, tw_pick(tw_band(count, :limits), :colors) AS colors
+        FROM totals
+        """,
+        args={
+            "limits": F.array(*(F.lit(float(x)) for x in COUNT_LIMITS)),
+            "sizes": F.array(*(F.lit(str(x)) for x in sellers.SIZES)),
+            "colors": F.array(*map(F.lit, sellers.COLORS)),
+        },
+    )
+
+
+register("sql_state_bands", sql_state_bands, ENTRIES["state_bands"][1])
+
+
+GRID = {"finest": 6, "y_bounds": (-1000.0, 10000.0)}
+
+
+def cells_sql(level: int, finest: int) -> str:
+    cells = 1 << finest
+
+    def cell(value: str, low: float, high: float) -> str:
+        at = f"floor(({value} - ({low})) / {(high - low) / cells!r})"
+        return f"(CAST(least(greatest({at}, 0), {cells - 1}) AS BIGINT) >> {finest - level})"
+
+    return f"""SELECT CAST({level} AS INTEGER) AS level, {cell("c_acctbal", -1000.0, 10000.0)} AS y,
+        {cell("((c_custkey % 3600) / 10 - 180)", -180.0, 180.0)} AS x, count(*) AS points
+        FROM customer WHERE c_acctbal IS NOT NULL GROUP BY ALL"""
+
+
+register(
+    "map_cells",
+    lambda t: grid_pyramid(t.geolocation, "geolocation_lat", "geolocation_lng", **GRID),
+    " UNION ALL ".join(cells_sql(i, GRID["finest"]) for i in range(GRID["finest"] + 1)),
+)
+
+
 def quantity_by_type(t: StarTables) -> DataFrame:
     per_part = t.raw("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum("l_quantity").alias("quantity"))
     parts = per_part.join(t.raw("part").select("p_partkey", "p_type", "p_brand"), "p_partkey")

@@ -12,6 +12,7 @@ from .checks import (
     require_unique,
     sample_points,
 )
+from .grid import grid_pyramid
 from .joins import join_spread, match_keys
 from .ranks import complete_rank, positions
 from .sets import IdSets, id_sets, set_members, set_sizes, set_union
@@ -25,6 +26,7 @@ __all__ = [
     "distinct_ratio",
     "duplicate_groups",
     "fixed_sample",
+    "grid_pyramid",
     "id_sets",
     "join_spread",
     "look_up",
