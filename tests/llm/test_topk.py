@@ -6,28 +6,81 @@ import pytest
 from tradewind.llm import topk
 
 
-@pytest.mark.parametrize("k", [1, 7, 500])
-def test_nearest_equals_brute_force(spark, k):
-    random = np.random.default_rng(2)
-    codes = random.integers(-(2**63), 2**63 - 1, 300, dtype=np.int64)
-    codes[50:120] = codes[0]  # a very common code
-    codes[120:200] = codes[1] ^ (np.int64(1) << random.integers(0, 62, 80))
-    rows = [(int(i), int(c)) for i, c in enumerate(codes)]
+def brute_force(rows, queries, k):
+    expected = Counter()
+    for q, code in queries:
+        near = sorted(((code ^ c) % 2**64).bit_count() * 10**6 + i for i, c in rows)[:k]
+        expected.update((q, x % 10**6, x // 10**6, r + 1) for r, x in enumerate(near))
+    return expected
+
+
+def odd_codes(n, seed=2):
+    """Random codes, a very common one, near copies of another, and many that share three quarters of their bits."""
+    random = np.random.default_rng(seed)
+    codes = random.integers(-(2**63), 2**63 - 1, n, dtype=np.int64)
+    part = n // 6
+    codes[part : 2 * part] = codes[0]
+    codes[2 * part : 3 * part] = codes[1] ^ (np.int64(1) << random.integers(0, 62, part))
+    codes[3 * part : 5 * part] = (codes[2] & ~np.int64(0xFFFF)) | random.integers(0, 1 << 16, 2 * part)
+    return [(int(i), int(c)) for i, c in enumerate(codes)]
+
+
+@pytest.mark.parametrize(("n", "k"), [(300, 1), (300, 7), (300, 500), (5, 3), (4000, 10)])
+def test_nearest_equals_brute_force(spark, n, k):
+    rows = odd_codes(n)
     rows += rows[:3]
     frame = spark.createDataFrame(rows, "id long, code long").repartition(3)
     found = topk.nearest(frame, frame.where("id % 50 = 0"), k).collect()
-    expected = Counter()
-    for q, code in rows:
-        if q % 50 == 0:
-            near = sorted(((code ^ c) % 2**64).bit_count() * 10**6 + i for i, c in rows)[:k]
-            expected.update((q, x % 10**6, x // 10**6, r + 1) for r, x in enumerate(near))
-    assert Counter(map(tuple, found)) == expected
+    assert Counter(map(tuple, found)) == brute_force(rows, [x for x in rows if x[0] % 50 == 0], k)
+
+
+def test_hot_values_in_parts_and_no_blocks(spark, monkeypatch):
+    """A third of the rows shares three segments; its values are cut into parts, and no query is left for the blocks."""
+    monkeypatch.setattr(topk, "ROWS_PER_PART", 100)
+    monkeypatch.setattr(topk, "_in_blocks", None)
+    rows = odd_codes(4000, 3)
+    frame = spark.createDataFrame(rows, "id long, code long")
+    asked = [x for x in rows if x[0] % 50 == 0]
+    found = topk.nearest(frame, frame.where("id % 50 = 0"), 10).collect()
+    assert Counter(map(tuple, found)) == brute_force(rows, asked, 10)
+
+
+def test_far_queries_go_to_blocks(spark, monkeypatch):
+    """Queries far from all rows, with few values allowed, small blocks of rows and of queries."""
+    monkeypatch.setattr(topk, "MOST_PROBES", 40)
+    monkeypatch.setattr(topk, "ROWS_PER_BLOCK", 60)
+    monkeypatch.setattr(topk, "QUERIES_PER_BLOCK", 2)
+    rows = [(i, i * 7) for i in range(200)]
+    queries = [(9000 + i, -1 - i * 11) for i in range(5)] + rows[:2]
+    found = topk.nearest(spark.createDataFrame(rows, "id long, code long"), spark.createDataFrame(queries, "id long, code long"), 4).collect()
+    assert Counter(map(tuple, found)) == brute_force(rows, queries, 4)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 10**4, 10**6, 10**9, 10**15])
+def test_segments_cut_all_bits(rows):
+    cuts = topk.segments(rows)
+    assert [a for a, _ in cuts] == [sum(n for _, n in cuts[:i]) for i in range(len(cuts))]
+    assert sum(n for _, n in cuts) == 64 and all(10 <= n <= 32 for _, n in cuts)
 
 
 def test_codes_of_odd_rows(spark):
-    rows = [(1, [0.5, -0.5, 0.0, 2.0]), (2, [None, 1.0]), (3, []), (4, None), (None, [1.0]), (5, [1.0] * 64)]
-    found = {r.id: r.code for r in topk.sign_codes(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v").collect()}
-    assert found == {1: 9, 2: 2, 3: 0, 5: -1}
+    nan = float("nan")
+    rows = [(1, [0.5, -0.5, 0.0, 2.0]), (2, [None, 1.0]), (3, []), (4, None), (None, [1.0]), (5, [1.0] * 64), (6, [nan, -1.0]), (6, [nan, -1.0])]
+    found = [(r.id, r.code) for r in topk.sign_codes(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v").collect()]
+    assert sorted(found) == [(1, 9), (2, 2), (3, 0), (5, -1), (6, 1), (6, 1)]
+
+
+def test_long_vectors_fail(spark):
+    rows = spark.createDataFrame([(1, [1.0] * 65)], "id long, v array<double>")
+    with pytest.raises(Exception, match="at most 64 bits"):
+        topk.sign_codes(rows, "id", "v").collect()
+
+
+def test_clashing_columns_and_nulls(spark):
+    rows = [(1, 5, 0, 0, 0), (2, 4, 0, 0, 0), (None, 5, 0, 0, 0), (3, None, 0, 0, 0)]
+    frame = spark.createDataFrame(rows, "id long, code long, rank int, query int, distance int")
+    found = topk.nearest(frame, frame, 2).collect()
+    assert Counter(map(tuple, found)) == Counter([(1, 1, 0, 1), (1, 2, 1, 2), (2, 2, 0, 1), (2, 1, 1, 2)])
 
 
 def test_empty_tables(spark):
