@@ -110,11 +110,37 @@ def test_all_contexts_of_a_small_language_count(spark):
     rare = ["ÀB ÀBC", "CÀB À"]
     rows = [(0, common, "common"), *((i + 1, t, "rare") for i, t in enumerate(rare))]
     model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert len(model.escape) > 36**3
+    assert len(model.three.keys) > 36**3
     found = langid.code_lengths(model, [x.encode() for x in ["ÀBC À", "ab À"]])[:, model.languages.index("rare")]
     np.testing.assert_allclose(found, [bits_by_hand([t.encode() for t in rare], x.encode()) for x in ["ÀBC À", "ab À"]], rtol=1e-5)
 
 
+def test_stretches_and_layout_change_nothing(spark, monkeypatch):
+    """Texts longer than a stretch, empty ones between, all texts of a language in one task or in several."""
+    random = np.random.default_rng(5)
+    rows = [(i, "".join(random.choice(list("abcde é\n"), random.integers(0, 90))), f"l{i % 3}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, other = langid.fit(frame.coalesce(1)), langid.fit(frame.repartition(7))
+    texts = ["", "abc", "", "e" * 300, "zz é", ""] + [t for _, t, _ in rows[:6]]
+    expected = [[bits_by_hand([t.encode() for _, t, own in rows if own == k], x.encode()) for k in model.languages] for x in texts]
+    for values in (langid.VALUES, 60, 3, 1):
+        monkeypatch.setattr(langid, "VALUES", values)
+        for m in (model, other):
+            np.testing.assert_allclose(langid.code_lengths(m, [x.encode() for x in texts]), expected, rtol=1e-5, atol=1e-4)
+
+
+def test_model_grows_with_what_was_met(spark):
+    """Forty languages with alphabets of their own, over more than two hundred byte values."""
+    random = np.random.default_rng(6)
+    rows = [(i, "a " + "".join(chr(0xA1 + 40 * (i % 40) + x) for x in random.integers(0, 40, 4000)), f"l{i % 40}") for i in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    met = len(model.three.lang) + len(model.four.lang)
+    assert len(model.languages) == 40 and met > 100_000
+    assert model.n_bytes() <= 24 * met + 8 * 40 * model.size**2 + 100_000 < 100_000_000
+    found = langid.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {i: lang for i, _, lang in rows}
+
+
 def test_language_of_odd_texts(docs, rows, empty):
     found = langid.predict(docs, langid.fit(docs)).collect()
     assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)

@@ -21,21 +21,39 @@ from .common import text_batches
 
 # Stands before each text, so that its first bytes have contexts too.
 START = b"\n\n\n"
+# Bytes times languages that are looked up at a time.
+VALUES = 1 << 20
+
+
+class Contexts(NamedTuple):
+    """Bits by gram and language, only where a language has met the gram: `first[i]` to `first[i + 1]` are the places of
+    gram `keys[i]` in `lang`, `bits` and `escape`. `bits` is what is to be added for the gram in a text to the bits
+    under shorter contexts, `escape` the part of it that counts for the byte after the gram."""
+
+    keys: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
+    bits: np.ndarray
+    escape: np.ndarray
 
 
 class Model(NamedTuple):
-    """`code` gives each byte value a number, 0 for bytes not met in the fit. `short` has bits by the three numbers
-    of two context bytes and the byte, `context` the number of a known three-byte context (0: none), `escape` bits by
-    that. `grams` has the known numbers of three context bytes and the byte, ascending, and `long` their bits, NaN where a
-    language hasn't met them; their last row stands for all others. Bits are for each language."""
+    """`code` gives each byte value a number, 0 for bytes not met in the fit, below `size`. `two` has the bits of a byte after one
+    byte, and `escape` those of leaving a context of two bytes, by the numbers of two bytes and language. Longer grams are
+    kept for the languages that have met them, so the model takes some 16 bytes for each gram and language met in the
+    sample, and 8 bytes a language for each pair of byte values, at most half a megabyte."""
 
     languages: list[str]
     code: np.ndarray
-    context: np.ndarray
-    short: np.ndarray
+    size: int
+    two: np.ndarray
     escape: np.ndarray
-    grams: np.ndarray
-    long: np.ndarray
+    three: Contexts
+    four: Contexts
+
+    def n_bytes(self) -> int:
+        own = [self.code, self.two, self.escape, *self.three, *self.four]
+        return sum(x.nbytes for x in own)
 
 
 def _grams(codes: np.ndarray, n: int, size: int) -> np.ndarray:
@@ -61,8 +79,12 @@ def count_grams(docs: DataFrame, rows_per_language: int) -> DataFrame:
             langs = batch.column("lang").to_pylist()
             texts = batch.column("text").to_pylist()
             for lang in set(langs):
-                data = b"".join(START + t.encode() for t, own in zip(texts, langs, strict=True) if own == lang)
-                grams, n = np.unique(_grams(np.frombuffer(data, np.uint8).astype(np.int64), 4, 256), return_counts=True)
+                data = [START + t.encode() for t, own in zip(texts, langs, strict=True) if own == lang]
+                ends = np.cumsum([len(x) for x in data])
+                every = _grams(np.frombuffer(b"".join(data) + START, np.uint8).astype(np.int64), 4, 256)
+                # A gram counts where its last byte is one of a text, so none goes from one text to the next.
+                between = (ends[:, None] - np.arange(len(START), 0, -1)).ravel()
+                grams, n = np.unique(np.delete(every, between), return_counts=True)
                 own = sums.setdefault(lang, {})
                 for g, k in zip(grams.tolist(), n.tolist(), strict=True):
                     own[g] = own.get(g, 0) + k
@@ -73,10 +95,25 @@ def count_grams(docs: DataFrame, rows_per_language: int) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _contexts(grams: np.ndarray, lang: np.ndarray, bits: np.ndarray, escape: np.ndarray) -> Contexts:
+    order = np.lexsort((lang, grams))
+    keys, first = np.unique(grams[order], return_index=True)
+    return Contexts(keys, np.append(first, len(grams)).astype(np.int32), lang[order].astype(np.int16), bits[order].astype(np.float32), escape[order].astype(np.float32))
+
+
+def _after(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Bits of each byte after each context, from counts (the last axis is the byte) and the bits under the shorter context."""
+    total, kinds = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
+    with np.errstate(divide="ignore"):
+        seen, escape = -np.log2(counts / np.maximum(total + kinds, 1)), -np.log2(kinds / np.maximum(total + kinds, 1))
+    return np.where(counts > 0, seen, shorter + np.where(kinds > 0, escape, 0))
+
+
 def fit(docs: DataFrame, rows_per_language: int = 2000) -> Model:
-    """Context trees of the languages in `docs(doc_id, text, lang)`; rows without a text or language teach nothing.
+    """Context trees of the languages in `docs(doc_id, text, lang)`; rows without a text or language teach nothing, and
+    repeated rows count each time. An empty table gives a model without languages.
 
-    The driver gets the counts of the bounded sample. All of its contexts are kept; of three bytes only the bytes met.
+    The driver gets the counts of the bounded sample. All of its contexts are kept.
     """
     rows = count_grams(docs, rows_per_language).toPandas()
     languages = sorted(rows["lang"].unique())
@@ -85,65 +122,103 @@ def fit(docs: DataFrame, rows_per_language: int = 2000) -> Model:
     used = np.unique(np.concatenate([*digits, np.frombuffer(START, np.uint8)]))
     code = np.zeros(256, dtype=np.int64)
     code[used] = np.arange(1, len(used) + 1)
-    size = len(used) + 1
+    size, kinds = len(used) + 1, len(languages)
     a, b, c, d = (code[x] for x in digits)
     n = rows["n"].to_numpy(np.float64)
-    own = [rows["lang"].to_numpy() == x for x in languages]
-    three = (a * size + b) * size + c
-    kept = np.unique(three)
-    context = np.zeros(size**3, dtype=np.int32)
-    context[kept] = np.arange(1, len(kept) + 1)
-    four = three * size + d
-    met = np.append(np.unique(four), np.iinfo(np.int64).max)
-
-    def bits(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Bits of each byte after each context, from counts (contexts by bytes) and bits under the shorter context."""
-        total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-        with np.errstate(divide="ignore"):
-            seen, escape = -np.log2(counts / np.maximum(total + kinds, 1)), -np.log2(kinds / np.maximum(total + kinds, 1))
-        return np.where(counts > 0, seen, shorter + np.where(kinds > 0, escape, 0))
-
-    short = np.zeros((size**3, len(languages)), dtype=np.float32)
-    escape = np.zeros((len(kept) + 1, len(languages)), dtype=np.float32)
-    long = np.full((len(met), len(languages)), np.nan, dtype=np.float32)
-    for i, mine in enumerate(own):
-        w = n[mine]
-
-        def table(context: np.ndarray, contexts: int, w: np.ndarray = w, mine: np.ndarray = mine) -> np.ndarray:
-            return np.bincount(context * size + d[mine], weights=w, minlength=contexts * size).reshape(contexts, size)
-
-        zero = bits(table(np.zeros(mine.sum(), dtype=np.int64), 1), np.full((1, size), 8.0))
-        one = bits(table(c[mine], size), zero)
-        short[:, i] = bits(table((b * size + c)[mine], size * size), np.tile(one, (size, 1))).ravel()
-        place = context[three[mine]]
-        kinds = np.bincount(place, minlength=len(kept) + 1)
-        total = np.bincount(place, weights=w, minlength=len(kept) + 1) + kinds
-        there = kinds > 0
-        escape[there, i] = -np.log2(kinds[there] / total[there])
-        long[np.searchsorted(met, four[mine]), i] = -np.log2(w / total[place])
-    return Model(languages, code, context, short, escape, met, long)
+    lang = np.searchsorted(np.array(languages, dtype=object), rows["lang"].to_numpy()) if kinds else np.zeros(0, np.int64)
+
+    def table(place: np.ndarray, *shape: int) -> np.ndarray:
+        return np.bincount(place, weights=n, minlength=int(np.prod(shape))).reshape(shape)
+
+    zero = _after(table(lang * size + d, kinds, size), np.full((kinds, size), 8.0))
+    one = _after(table((lang * size + c) * size + d, kinds, size, size), zero[:, None, :])
+
+    # Three bytes and a language: their number, and what stands for them in the context of two bytes.
+    key, at = np.unique(((b * size + c) * size + d) * max(kinds, 1) + lang, return_inverse=True)
+    met = np.bincount(at, weights=n, minlength=len(key))
+    three, of = np.divmod(key, max(kinds, 1))
+    pair = of * size * size + three // size
+    total = np.bincount(pair, weights=met, minlength=kinds * size * size)
+    others = np.bincount(pair, minlength=kinds * size * size)
+    leave = np.where(others > 0, -np.log2(np.maximum(others, 1) / np.maximum(total + others, 1)), 0.0)
+    last = of * size * size + three % (size * size)
+    shorter = leave[pair] + one.ravel()[last]
+    bits = -np.log2(met / (total + others)[pair])
+
+    # Four bytes and a language, in the context of three.
+    before, place = np.unique(((a * size + b) * size + c) * max(kinds, 1) + lang, return_inverse=True)
+    total = np.bincount(place, weights=n, minlength=len(before))
+    others = np.bincount(place, minlength=len(before))
+    escape = -np.log2(others / (total + others))
+    longest = -np.log2(n / (total + others)[place]) - escape[place] - bits[at]
+    four = _contexts(((a * size + b) * size + c) * size + d, lang, longest, np.zeros(len(n)))
+
+    every = np.union1d(key, before)
+    as_gram, as_context = np.zeros(len(every)), np.zeros(len(every))
+    as_gram[np.searchsorted(every, key)] = bits - shorter
+    as_context[np.searchsorted(every, before)] = escape
+    own, of = np.divmod(every, max(kinds, 1))
+    two = one.reshape(kinds, size * size).T.astype(np.float32)
+    leave = leave.reshape(kinds, size * size).T.astype(np.float32)
+    return Model(languages, code, size, two, leave, _contexts(own, of, as_gram + as_context, as_context), four)
+
+
+def _add(sums: np.ndarray, table: Contexts, values: np.ndarray, grams: np.ndarray, own: np.ndarray) -> None:
+    """Add to `sums` (texts by languages) the values of the grams that the languages have met; `own` are the texts."""
+    if not len(grams) or not len(table.keys):
+        return
+    at = np.searchsorted(table.keys, grams)
+    at[at == len(table.keys)] = 0
+    known = table.keys[at] == grams
+    at, text = at[known], own[known]
+    low = table.first[at].astype(np.int64)
+    n = table.first[at + 1] - low
+    rows = np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+    place = np.repeat((text - own[0]) * sums.shape[1], n) + table.lang[rows]
+    few = sums[own[0] : own[-1] + 1]
+    few += np.bincount(place, weights=values[rows], minlength=few.size).reshape(few.shape)
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
-    """Bits of each text under each language."""
-    size = len(np.unique(model.code[model.code > 0])) + 1
-    data = np.frombuffer(b"".join(START + t for t in texts) or START, np.uint8)
-    codes = model.code[data]
-    threes = _grams(codes, 3, size)
-    fours = threes[:-1] * size + codes[3:]
-    at = np.searchsorted(model.grams, fours)
-    long = model.long[np.where(model.grams[at] == fours, at, len(model.grams) - 1)]
-    bits = np.where(np.isnan(long), model.short[threes[1:]] + model.escape[model.context[threes[:-1]]], long)
-    sums = np.vstack([np.zeros((1, len(model.languages))), np.cumsum(bits, axis=0, dtype=np.float64)])
-    stops = np.cumsum([len(t) + len(START) for t in texts]) - len(START)
-    return sums[stops] - sums[stops - [len(t) for t in texts]]
+    """Bits of each text under each language. The texts' bytes are gone through in stretches, so that memory beyond the
+    texts doesn't grow with their length."""
+    size, kinds = model.size, len(model.languages)
+    data = np.frombuffer(b"".join(START + t for t in texts), np.uint8)
+    stops = np.cumsum([len(t) + len(START) for t in texts])
+    first = stops - [len(t) for t in texts]
+    sums = np.zeros((len(texts), kinds))
+    step = max(1, VALUES // max(kinds, 1))
+    for start in range(len(START), len(data), step):
+        stop = min(start + step, len(data))
+        codes = model.code[data[start - len(START) : stop]]
+        own = np.searchsorted(stops, np.arange(start, stop), side="right")
+        inside = np.flatnonzero(np.arange(start, stop) >= first[own])
+        if not len(inside):
+            continue
+        own = own[inside]
+        pairs = codes[:-1] * size + codes[1:]
+        three = pairs[:-1] * size + codes[2:]
+        four = (three[:-1] * size + codes[3:])[inside]
+        bits = model.two[pairs[2:][inside]] + model.escape[pairs[1:-1][inside]]
+        begins = np.flatnonzero(np.diff(own, prepend=-1))
+        sums[own[begins]] += np.add.reduceat(bits, begins, axis=0, dtype=np.float64)
+        _add(sums, model.three, model.three.bits, three[1:][inside], own)
+        _add(sums, model.four, model.four.bits, four, own)
+    # Escapes count for the byte that follows: not after a text's last bytes, but after those that stand before it.
+    ends = model.code[data[stops[:, None] + np.arange(-3, 0)]] if len(texts) else np.zeros((0, 3), np.int64)
+    every = np.arange(len(texts))
+    _add(sums, model.three, -model.three.escape, (ends[:, 0] * size + ends[:, 1]) * size + ends[:, 2], every)
+    begin = model.code[np.frombuffer(START, np.uint8)]
+    _add(sums, model.three, model.three.escape, np.full(len(texts), (begin[0] * size + begin[1]) * size + begin[2]), every)
+    return sums
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of `docs(doc_id, text)`: doc_id, lang_pred and score. `und` with score 0 where the text is null or has no
     letter, or where no language was learned. The score is the share of the predicted language when a language's
-    weight halves with each bit that it needs more, per byte of up to 64 bytes. Equal codes: the first by name."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    weight halves with each bit that it needs more, per byte of up to 64 bytes. Equal codes: the first by name. Repeated
+    rows are rows of their own; an empty table gives none."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample, see Model
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, letter = shared.value, regex.compile(r"\p{L}").search
