@@ -99,3 +99,29 @@ def test_small_sources_reach_their_targets(spark, most):
     assert sum(goal[s] == most * n for s, n in sizes.items()) >= 5
     for r in found:
         assert abs(r.taken - r.target) <= 0.5
+
+
+def test_many_sources(spark):
+    """Far more sources than cells, beside a hot one; each is within a word of its target, whatever the layout."""
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), f"site{i}.example" if i else "hot") for i in range(3_000)]
+    rows[0] = (0, " ".join(["w"] * 12_000), "hot")
+    rows += [(3_000, "two words", None), (3_001, None, "no words"), (3_002, "a", "site\U0001F600"), (3_003, "b", "site\uFFFD")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    goal = level_targets({s: len((t or "").split()) for _, t, s in rows})
+    found = mixing.words_taken(*mixing.mix(docs, WEIGHTS, block_words=4)).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.target == pytest.approx(goal[r.source]) and abs(r.taken - r.target) <= 0.5
+    assert Counter(found) == Counter(mixing.words_taken(*mixing.mix(docs.coalesce(1), WEIGHTS, block_words=4)).collect())
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_ordered_totals(spark, n):
+    from pyspark.sql import functions as F
+
+    from tradewind.llm.common import ordered_totals
+
+    rows = [(i * 37 % 101, i, i * 0.5) for i in range(n)]
+    frame = spark.createDataFrame(rows, "a long, b long, x double").repartition(6)
+    found = ordered_totals(frame, ["a", "b"], {"rows": F.lit(1), "sum": F.col("x")}).collect()
+    assert {(r.a, r.b): (r.rows, r["sum"]) for r in found} == {(a, b): (i, sum(x for _, _, x in sorted(rows)[:i])) for i, (a, b, _) in enumerate(sorted(rows))}

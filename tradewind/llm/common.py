@@ -6,6 +6,7 @@ import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 from pathlib import Path
 
 import numpy as np
@@ -20,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 2_000_000
 # Texts that a task encodes at a time, as Arrow arrays.
 ENCODE_BYTES = 4_000_000
+# `monotonically_increasing_id` holds the task above this many bits.
+TASK_BITS = 33
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -93,6 +96,26 @@ def running_totals(
     )
 
 
+def ordered_totals(df: DataFrame, order: list[str], totals: dict[str, Column]) -> DataFrame:
+    """Add for each name in `totals` the sum of its expression over the rows before this one in an order over all rows.
+
+    Rows are dealt to tasks by ranges of the order, sorted there and written; a sum is that of the tasks before and that of
+    the own task's rows before. One number per task goes through the driver. Rows that agree in the whole order go to
+    one task.
+    """
+    own = df.withColumns({f"_own_{n}": x for n, x in totals.items()}).repartitionByRange(*order).sortWithinPartitions(*order)
+    kept = written(own.withColumn("_at", F.monotonically_increasing_id()), "ordered").withColumn("_task", F.shiftright("_at", TASK_BITS).cast("int"))
+    sums = kept.groupBy("_task").agg(*(F.sum(f"_own_{n}").alias(n) for n in totals)).collect()
+    found = {r["_task"]: r for r in sums}
+    inside = Window.partitionBy("_task").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    added = []
+    for name in totals:
+        each = [found[i][name] if i in found else 0 for i in range(max(found, default=0) + 1)]
+        starts = F.split(F.lit(",".join(map(str, accumulate(each[:-1], initial=0)))), ",").cast("array<double>" if any(isinstance(x, float) for x in each) else "array<long>")
+        added.append((F.get(starts, F.col("_task")) + F.coalesce(F.sum(f"_own_{name}").over(inside), F.lit(0))).alias(name))
+    return kept.select(*df.columns, *added)
+
+
 def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes of text, or of one row."""
     sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)

@@ -14,12 +14,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, running_totals, set_aside, written
+from .common import WORD, ordered_totals, running_totals, set_aside, written
 
 BLOCK_WORDS = 128
 SLOTS_PER_SHARD = 1024
 SEED = 20_011
-# Cells into which the slots' range is cut to find the source of a draw by an equi-join.
+# Cells, at least, into which the slots' range is cut to find the source of a draw by an equi-join; as many as sources, if
+# these are more.
 CELLS = 1024
 # Steps allowed to walk back into a source's range of blocks. Up to 4,096 blocks there are fewer numbers outside than
 # that; for more blocks a walk of this length has a chance below 64 ** -64.
@@ -41,22 +42,19 @@ def targets(sizes: DataFrame, weights: list[int], share: float, most: float) ->
     source's own words; what is cut off there goes to the others by weight.
 
     Sources take the weights in turn, by code point, null last. The level, words per weight, at which all is dealt is
-    the largest found by taking sources with the smallest limits as full, one after another. One row per source is
-    ordered in one task.
+    the largest found by taking sources with the smallest limits as full, one after another. Sources are ordered by
+    ranges over all tasks, so there may be very many.
     """
     by_source = sizes.groupBy("source_key").agg(F.sum("size").alias("source_size"))
-    turn = (F.row_number().over(Window.orderBy("source_key")) - 1) % len(weights)
+    turn = F.pmod("turn", F.lit(len(weights))).cast("int")
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), turn + 1)
-    limits = by_source.withColumn("weight", weight).withColumn("limit", F.col("source_size") * F.lit(float(most)))
-    full = Window.orderBy(F.col("limit") / F.col("weight"), "source_key")
-    all_rows = Window.partitionBy()
-    left = F.sum("source_size").over(all_rows) * F.lit(float(share)) - F.coalesce(
-        F.sum("limit").over(full.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-    )
-    weights_left = F.sum("weight").over(full.rowsBetween(0, Window.unboundedFollowing))
-    return limits.withColumn("level", left / weights_left).select(
-        "source_key", "source_size", F.least("limit", F.max("level").over(all_rows) * F.col("weight")).alias("target")
-    )
+    limits = ordered_totals(by_source, ["source_key"], {"turn": F.lit(1)}).withColumn("weight", weight).drop("turn")
+    limits = limits.withColumn("limit", F.col("source_size") * F.lit(float(most))).withColumn("fills", F.col("limit") / F.col("weight"))
+    limits = ordered_totals(limits, ["fills", "source_key"], {"full": F.col("limit"), "spent": F.col("weight")})
+    words, every = limits.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    left = F.lit(float(words)) * F.lit(float(share)) - F.col("full")
+    level = limits.agg(F.coalesce(F.max(left / (F.lit(every) - F.col("spent"))), F.lit(0.0))).first()[0]
+    return limits.select("source_key", "source_size", F.least("limit", F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _quotas(goals: DataFrame, block_words: int) -> DataFrame:
@@ -81,8 +79,8 @@ def _quotas(goals: DataFrame, block_words: int) -> DataFrame:
     q = q.withColumn("more", few + (held(few) < F.col("rest")).cast("long"))
     last = F.when(F.col("rest") > 0, F.col("rest") - held(F.col("more") - 1)).otherwise(whole)
     q = q.withColumns({"draws": F.col("passes") * F.col("blocks") + F.col("more"), "last_words": last})
-    q = q.withColumn("high", F.sum("draws").over(Window.orderBy("source_key"))).withColumn("low", F.col("high") - F.col("draws"))
-    return q.drop("words", "rest", "passes", "place", "missing", "more")
+    q = q.drop("words", "rest", "passes", "place", "missing", "more")
+    return running_totals(q, [], ["source_key"], {"low": F.col("draws")}).withColumn("high", F.col("low") + F.col("draws"))
 
 
 def _grid(n: Column) -> tuple[Column, Column]:
@@ -144,7 +142,7 @@ def draw(quotas: DataFrame, slots: int, block_words: int) -> DataFrame:
         (F.col("id") / SLOTS_PER_SHARD).cast("long").alias("shard"),
         F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(max(slots, 1))).alias("drawn"),
     )
-    width = max(1, -(-slots // CELLS))
+    width = max(1, -(-slots // max(CELLS, quotas.count())))
     first_cell, last_cell = (F.col("low") / width).cast("long"), ((F.col("high") - 1) / width).cast("long")
     cells = quotas.where("draws > 0").select("source_key", "low", "high", F.explode(F.sequence(first_cell, last_cell)).alias("cell"))
     found = slot.withColumn("cell", (F.col("drawn") / width).cast("long")).join(cells, "cell").where("low <= drawn AND drawn < high")
@@ -162,10 +160,10 @@ def draw(quotas: DataFrame, slots: int, block_words: int) -> DataFrame:
     had = counts.groupBy("source_key").agg(F.sum("n").alias("had"))
     short = quotas.join(had, "source_key", "left").withColumn("had", F.coalesce("had", F.lit(0)))
     short = short.withColumn("lack", F.greatest(F.col("draws") - F.col("had"), F.lit(0))).where("lack > 0")
-    short = short.withColumn("until", F.sum("lack").over(Window.orderBy("source_key"))).select(
-        "source_key", "had", "until", "lack", F.explode(F.sequence(F.col("until") - F.col("lack"), F.col("until") - 1)).alias("spare")
+    short = running_totals(short.select("source_key", "had", "lack"), [], ["source_key"], {"first": F.col("lack")}).select(
+        "source_key", "had", "first", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("lack") - 1)).alias("spare")
     )
-    given = free.join(short, "spare").select("shard", "source_key", (F.col("had") + F.col("spare") - F.col("until") + F.col("lack")).alias("k"))
+    given = free.join(short, "spare").select("shard", "source_key", (F.col("had") + F.col("spare") - F.col("first")).alias("k"))
     every = taken.unionByName(given).join(quotas.select("source_key", "blocks", "draws", "last_words"), "source_key")
     turn = (F.col("k") / F.col("blocks")).cast("long")
     return every.select(
