@@ -76,6 +76,16 @@ def test_links_join_all_near_fingerprints(spark, group):
     assert {frozenset(g) for g in by_root.values()} == {frozenset(g) for g in expected.values()}
 
 
+def test_rows_of_one_id_keep_the_same_text(spark):
+    """Texts that differ only in white space share a fingerprint; which of those of the least id stays is fixed."""
+    texts = [("one two  three four five" + " " * i) for i in range(12)]
+    rows = [(1, t) for t in texts] + [(2, texts[0]), (None, texts[1]), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [sorted(map(str, simhash.without_near_duplicates(x).collect())) for x in (frame.coalesce(1), frame.repartition(6), frame.orderBy("text"))]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+    assert simhash.without_near_duplicates(frame.limit(0)).count() == 0
+
+
 def test_anchors_cover(spark):
     random = np.random.default_rng(4)
     for width in (21, 22):

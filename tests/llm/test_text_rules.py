@@ -182,3 +182,15 @@ def test_quality_of_odd_texts(spark, docs, rows, empty):
     assert {r.score for r in quality.score(measured, None).collect()} == {1.0}
     assert quality.accepted(docs, None).columns == docs.columns and quality.accepted(docs, None).count() == len(rows)
     assert quality.score(quality.measure(empty), None).count() == 0
+
+
+def test_odd_labels_teach_nothing(spark, docs):
+    """Labels other than 0 and 1, of no id or of no document leave the model as it is."""
+    measured = quality.measure(docs.where("doc_id < 60"))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, label int")
+    odd = spark.createDataFrame([(1, 7), (2, -1), (3, None), (None, 1), (9_999, 0)], "doc_id long, label int")
+    plain, mixed = quality.fit(measured, labels), quality.fit(measured, labels.unionByName(odd))
+    for a, b in zip(plain, mixed, strict=True):
+        np.testing.assert_allclose(a, b, rtol=1e-6, atol=1e-9)
+    twice = quality.fit(measured, labels.unionByName(labels))
+    assert all(0 <= r.score <= 1 for r in quality.score(measured, twice).collect())

@@ -130,8 +130,9 @@ def isotonic(counts: np.ndarray, ones: np.ndarray) -> np.ndarray:
 def fit(measured: DataFrame, labels: DataFrame, cosines: int = 256, ridge: float = 1e-3, seed: int = 5) -> Model | None:
     """A model of `labels(doc_id, label)` for documents with statistics. All labelled rows count; three quarters of
     them, by a hash of doc_id, enter the normal equations and the others the calibration. None without labelled rows
-    in both parts."""
-    rows = written(measured.join(labels.where("label IS NOT NULL AND doc_id IS NOT NULL"), "doc_id"), "labelled")
+    in both parts. Labels other than 0 and 1, and those of a null id, teach nothing; a document with several labels, and
+    each of several documents of one id, counts once for each."""
+    rows = written(measured.join(labels.where("label IN (0, 1) AND doc_id IS NOT NULL"), "doc_id"), "labelled")
     rows = rows.select("statistics", F.col("label").cast("double").alias("label"), (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(4)) == 0).alias("last"))
     own = rows.where("NOT last")
     columns = [F.col("statistics")[i] for i in range(STATISTICS)]
