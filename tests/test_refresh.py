@@ -6,7 +6,7 @@ from plans import executed_plan
 from pyspark.sql import functions as F
 
 import run_reports
-from tradewind.plans import bundle, spenders
+from tradewind.plans import bundle, refresh, spenders
 from tradewind.plans.refresh import FACTS, SUMS, ReportStore
 from tradewind.sources import (
     Conflict,
@@ -110,6 +110,48 @@ def test_late_rows_correct_old_months(spark, tmp_path):
     assert store.batches() == ["1", "2", "3"]
 
 
+def numbered_batch(spark, first, n=40):
+    """Orders from a number on; each is paid, has an item, and the order n numbers later is paid and has one too."""
+    day = F.lit("2017-03-05").cast("date")
+    ids = spark.range(first, first + n, numPartitions=2).withColumnRenamed("id", "order_id")
+    both = ids.unionByName(ids.select((F.col("order_id") + n).alias("order_id")))
+    return {
+        "orders": ids.select(
+            "order_id", F.col("order_id").alias("customer_id"), F.lit("ok").alias("order_status"),
+            *(day.alias(f"order_{c}") for c in (
+                "purchase_timestamp", "delivered_carrier_date", "delivered_customer_date", "estimated_delivery_date"
+            )),
+        ),
+        "order_items": both.select(
+            "order_id", F.col("order_id").alias("product_id"), (F.col("order_id") % 7).alias("seller_id"), F.lit(1.5).alias("price")
+        ),
+        "order_payments": both.select("order_id", F.lit(2.5).alias("payment_value")),
+    }
+
+
+def test_stored_orders_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """The files of the narrow rows are far smaller than the rows; by their size Spark would broadcast millions of them."""
+    plans, keep = {}, refresh.materialize
+
+    def watched(df, folder, name):
+        plans.setdefault(name, []).append(executed_plan(df))
+        return keep(df, folder, name)
+
+    monkeypatch.setattr(refresh, "materialize", watched)
+    store = ReportStore(spark, str(tmp_path))
+    for name, first in (("a", 0), ("b", 40), ("c", 80)):
+        store.add(name, numbered_batch(spark, first))
+    for name in ("month_payments", "seller_months", "waiting_payments", "waiting_items"):
+        assert len(plans[name]) == 3
+        for plan in plans[name]:
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, name
+    # Of orders 40 to 119, each paid twice, the second half's later payments wait no more.
+    paid = {row.customer_id: row.paid for row in store.sums("month_payments").collect()}
+    assert paid == {i: 250 if i < 40 else 500 for i in range(120)}
+    waiting = store.ledger.latest()[1]["waiting"]
+    assert spark.read.parquet(*waiting["payments"]).count() == spark.read.parquet(*waiting["items"]).count() == 40
+
+
 def test_no_batch_yet(spark, tmp_path):
     store = ReportStore(spark, str(tmp_path))
     store.compact()

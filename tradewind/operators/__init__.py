@@ -13,7 +13,7 @@ from .checks import (
     sample_points,
 )
 from .grid import grid_pyramid
-from .joins import join_spread, match_keys
+from .joins import by_shuffle, join_spread, match_keys
 from .ranks import complete_rank, positions
 from .sets import IdSets, id_sets, set_members, set_sizes, set_union
 from .topn import best_wide, top_ranked, top_rows, top_with_rest
@@ -21,6 +21,7 @@ from .topn import best_wide, top_ranked, top_rows, top_with_rest
 __all__ = [
     "IdSets",
     "best_wide",
+    "by_shuffle",
     "complete_rank",
     "count_by",
     "distinct_ratio",

@@ -24,6 +24,16 @@ def match_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return df.join(wanted, df[key].eqNullSafe(wanted[f"_{name}"])).select(*df.columns)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """The rows for a join that both sides are shuffled for, at any size.
+
+    For stored tables with a row per order, product, customer or seller. Spark takes the size of the files for that of the
+    rows, but ids in order compress to a byte or two: a few MB of files are millions of rows, and those would be broadcast
+    through the driver.
+    """
+    return df.hint("merge")
+
+
 def join_spread(df: DataFrame, few: DataFrame, keys: Sequence[str], *, parts: int = PARTS) -> DataFrame:
     """Inner join of any number of rows with one row per key; null keys match each other.
 

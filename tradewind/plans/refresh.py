@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_date, month_start, sum_cents, to_amount
-from ..operators import require_unique, top_ranked
+from ..operators import by_shuffle, require_unique, top_ranked
 from ..sources import Published, Snapshots, materialize, side_by_side
 from . import bundle, categories, sellers, spenders
 
@@ -89,23 +89,24 @@ class ReportStore:
             **{f"open_{name}": partial(open_sums, name) for name in WAITING},
         }
         done = dict(zip(jobs, side_by_side(self.spark, [lambda n=n, j=j: keep(j(), name=n) for n, j in jobs.items()])))
-        old = self._read(state.get("placed", ()))
+        orders_now, old = by_shuffle(done["placed"]), self._read(state.get("placed", ()))
+        old = None if old is None else by_shuffle(old)
         if check_orders and old is not None:
-            again = done["placed"].join(old.select("order_id"), "order_id", "left_semi")
+            again = orders_now.join(old.select("order_id"), "order_id", "left_semi")
             if not again.isEmpty():
                 raise ValueError(f"batch {batch} has orders of an earlier batch")
 
         def met(name: str) -> DataFrame:
             """The sums whose order is known, with that order."""
             own = done[f"open_{name}"]
-            found = own.join(done["placed"], "order_id")
+            found = own.join(orders_now, "order_id")
             if old is None:
                 return found
-            late = own.join(done["placed"], "order_id", "left_anti").join(old, "order_id")
+            late = own.join(orders_now, "order_id", "left_anti").join(old, "order_id")
             return found.unionByName(late)
 
         def left(name: str) -> DataFrame:
-            own = done[f"open_{name}"].join(done["placed"], "order_id", "left_anti")
+            own = done[f"open_{name}"].join(orders_now, "order_id", "left_anti")
             return own if old is None else own.join(old, "order_id", "left_anti")
 
         month = {"year": F.year("day"), "order_purchase_month": F.month("day"), "date": month_start(F.col("day"))}
