@@ -152,6 +152,29 @@ def test_stored_orders_are_never_broadcast(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(*waiting["payments"]).count() == spark.read.parquet(*waiting["items"]).count() == 40
 
 
+def test_stored_sums_are_never_broadcast(spark, tmp_path):
+    """The sums per product, seller and customer meet the lookup tables by a shuffle."""
+    store = ReportStore(spark, str(tmp_path))
+    store.add("a", numbered_batch(spark, 0))
+    products = spark.range(80).select(F.col("id").alias("product_id"), F.lit("x").alias("product_category_name"))
+    places = spark.range(7).select(
+        F.col("id").alias("seller_id"), F.lit(1).alias("seller_zip_code_prefix"), F.lit("c").alias("seller_city"), F.lit("s").alias("seller_state")
+    )
+    tables = {
+        "products": products,
+        "sellers": places,
+        "category_translation": spark.createDataFrame([("x", "y")], "product_category_name string, product_category_name_english string"),
+        "customers": spark.range(80).select(F.col("id").alias("customer_id"), F.col("id").alias("customer_unique_id")),
+    }
+    settings = bundle.Settings(year=2017)
+    parts = store.parts(tables, settings)
+    paid = refresh.materialize(parts["month_payments"](), str(tmp_path), "paid")
+    spent = bundle.spender_results({"month_payments": paid}, tables, settings)[bundle.MONTH_SPENDING_UNIQUE]
+    for df, key in ((parts["sold_products"](), "product_id"), (parts["seller_sales"](), "seller_id"), (spent, "customer_id")):
+        joins = [line for line in executed_plan(df).split("\n") if "Join" in line and f"[{key}#" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins), key
+
+
 def test_no_batch_yet(spark, tmp_path):
     store = ReportStore(spark, str(tmp_path))
     store.compact()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_date
-from ..operators import count_by, require_unique
+from ..operators import by_shuffle, count_by, require_unique
 from ..sources import materialize, read_parquet, remove_folder, side_by_side, table_path, write_table
 from . import categories, delivery, sellers, shipping, spenders, status
 
@@ -114,7 +114,7 @@ def spender_results(parts: Tables, tables: Tables, settings: Settings) -> Result
     paid = parts["month_payments"]
     return {
         MONTH_SPENDING: spenders.month_spending(paid),
-        MONTH_SPENDING_UNIQUE: spenders.month_spending_unique(paid, tables["customers"]),
+        MONTH_SPENDING_UNIQUE: spenders.month_spending_unique(by_shuffle(paid), tables["customers"]),
     }
 
 

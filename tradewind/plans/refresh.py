@@ -166,10 +166,12 @@ class ReportStore:
         translation = tables["category_translation"]
         return {
             "order_summary": lambda: self.sums("order_summary"),
-            "sold_products": lambda: categories.with_category(self.sums("product_items"), tables["products"], translation),
+            "sold_products": lambda: categories.with_category(
+                by_shuffle(self.sums("product_items")), tables["products"], translation
+            ),
             "month_payments": lambda: self.month_payments(settings.year, settings.excluded_status),
             "seller_sales": lambda: sellers.with_place(
-                self.sums("seller_earnings"), require_unique(tables["sellers"], "seller_id")
+                by_shuffle(self.sums("seller_earnings")), require_unique(tables["sellers"], "seller_id")
             ),
             "zip_positions": lambda: sellers.zip_positions(tables["geolocation"]),
         }
