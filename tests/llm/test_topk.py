@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from plans import executed_plan
 
 from tradewind.llm import topk
 
@@ -56,6 +57,60 @@ def test_far_queries_go_to_blocks(spark, monkeypatch):
     assert Counter(map(tuple, found)) == brute_force(rows, queries, 4)
 
 
+def test_probes_are_never_broadcast(spark, monkeypatch):
+    """The values that queries look up outnumber them by far; by the size of the queries' files Spark would broadcast them."""
+    plans, keep = {"nearest": [], "queries": []}, topk.written
+
+    def watched(df, name):
+        if name in plans:
+            plans[name].append(executed_plan(df))
+        return keep(df, name)
+
+    monkeypatch.setattr(topk, "written", watched)
+    rows = odd_codes(600, 4)
+    frame = spark.createDataFrame(rows, "id long, code long")
+    out = topk.nearest(frame, frame.where("id % 50 = 0"), 10)
+    result = [line for line in executed_plan(out).split("\n") if "Join" in line]
+    assert result and all("SortMergeJoin" in line for line in result)
+    assert len(plans["nearest"]) > 1 and len(plans["queries"]) == len(plans["nearest"]) + 1
+    for plan in plans["nearest"]:
+        met = [line for line in plan.split("\n") if "Join" in line and "part#" in line]
+        assert met and all("SortMergeJoin" in line for line in met)
+    for plan in plans["queries"][1:]:
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert Counter(map(tuple, out.collect())) == brute_force(rows, [x for x in rows if x[0] % 50 == 0], 10)
+
+
+def test_costly_lookups_give_way_to_blocks(spark, monkeypatch):
+    """Queries left after radius 1 are compared in blocks, no farther than they have met k rows."""
+    monkeypatch.setattr(topk, "FEW_PROBES", 100)
+    monkeypatch.setattr(topk, "ROWS_PER_BLOCK", 700)
+    monkeypatch.setattr(topk, "FEW_QUERIES", 20)
+    given, blocks = [], topk._in_blocks
+    monkeypatch.setattr(topk, "_in_blocks", lambda kept, rows, asked, left, k: given.extend(asked.collect()) or blocks(kept, rows, asked, left, k))
+    rows = odd_codes(3000, 5)
+    frame = spark.createDataFrame(rows, "id long, code long")
+    found = topk.nearest(frame, frame.where("id % 50 = 0"), 10).collect()
+    assert Counter(map(tuple, found)) == brute_force(rows, [x for x in rows if x[0] % 50 == 0], 10)
+    assert 0 < len(given) < 60 and any(r.far < 64 for r in given)
+
+
+@pytest.mark.parametrize("n", [0, 1, 50, 30_000, 300_000])
+def test_index_of_a_block(n):
+    random = np.random.default_rng(n)
+    codes = random.integers(0, 2**64, n, dtype=np.uint64)
+    codes[: n // 3] = codes[:1].sum() ^ (np.uint64(1) << random.integers(0, 64, n // 3).astype(np.uint64))
+    ids = random.permutation(n)
+    index = topk.Index(codes, ids)
+    for query in (0, 2**64 - 1, *(int(c) ^ 5 for c in codes[:2]), *(int(c) for c in codes[-2:])):
+        distances = np.bitwise_count(codes ^ np.uint64(query)).astype(int)
+        for far in (0, 2, 3, 11, 15, 18, 64):
+            near = np.flatnonzero(distances <= far)
+            near = near[np.lexsort((ids[near], distances[near]))][:10]
+            found = index.search(query, 10, far)
+            assert found[0].tolist() == ids[near].tolist() and found[1].tolist() == distances[near].tolist()
+
+
 @pytest.mark.parametrize("rows", [0, 1, 10**4, 10**6, 10**9, 10**15])
 def test_segments_cut_all_bits(rows):
     cuts = topk.segments(rows)

@@ -5,8 +5,10 @@ each segment. A search looks up, with growing radius, all values that differ fro
 When all `p` segments have been searched to radius `a`, every code within `p * (a + 1) - 1` bits has been met, since one
 farther would differ in more than `a` bits in each segment. A query ends when its k-th distance is no more than that.
 
-Spark joins the queries' values with the rows' values, one radius after another, for the queries still open. Queries so far
-from all rows that their values would outnumber the rows are compared in blocks, where each pair of blocks is a task.
+Spark joins the queries' values with the rows' values, one radius after another, for the queries still open. The values are
+made by the query, so the files that the queries come from say nothing of their number: these joins are by a shuffle, as is
+every join of this module that a file's size could make a broadcast of many rows. Queries so far from all rows that looking
+up their values would cost more than comparing blocks are compared in blocks, where each pair of blocks is a task.
 """
 
 from __future__ import annotations
@@ -26,12 +28,18 @@ CODE_BITS = 64
 ROWS_PER_KEY, LEAST_BITS, MOST_BITS = 64, 10, 32
 # Rows of one value that a task joins; a value with more is dealt to several.
 ROWS_PER_PART = 8_192
-# Values that one query looks up at one radius; beyond that, rows are compared in blocks.
-MOST_PROBES = 1 << 16
-# Of the index of a block.
+# Values that one query looks up at one radius; beyond that, rows are compared in blocks. A lookup costs about as much as
+# comparing with so many rows of a block, and a few lookups always cost little.
+MOST_PROBES, ROWS_PER_PROBE, FEW_PROBES = 1 << 16, 4_096, 2_048
+# Of the index of a block, and values looked up there; beyond these, all rows of the block are compared.
 PARTS, WIDTH = 4, 16
-ROWS_PER_BLOCK = 250_000
-QUERIES_PER_BLOCK = 5_000
+MOST_LOOKUPS, ROWS_PER_LOOKUP = 1 << 13, 64
+ROWS_PER_BLOCK = 1_000_000
+QUERIES_PER_BLOCK = 20_000
+# Pairs of blocks are so many at least, unless their queries were fewer than these.
+FEW_PAIRS, FEW_QUERIES = 32, 500
+# Bits within which rows of a block are looked up first, if nothing is known of a query's distances.
+FIRST_REACH = 11
 FOUND = "query long, neighbor_id long, distance int"
 
 
@@ -94,52 +102,57 @@ class Index:
 
     def __init__(self, codes: np.ndarray, ids: np.ndarray):
         self.codes, self.ids = codes, ids
-        self.order, self.starts = [], []
+        self.sorted, self.order, self.starts = [], [], []
         for p in range(PARTS):
-            values = self.part(codes, p)
-            self.order.append(np.argsort(values, kind="stable"))
+            values = (codes >> np.uint64(p * WIDTH)).astype(np.uint16)
+            order = np.argsort(values, kind="stable").astype(np.int32)
+            self.order.append(order)
+            self.sorted.append(codes[order])
             self.starts.append(np.append(0, np.cumsum(np.bincount(values, minlength=1 << WIDTH))))
-        weight = np.bitwise_count(np.arange(1 << WIDTH, dtype=np.uint32))
-        self.near = [np.flatnonzero(weight == a) for a in range(WIDTH + 1)]
+        self.near = np.argsort(np.bitwise_count(np.arange(1 << WIDTH, dtype=np.uint32)), kind="stable")
+        self.ends = [0, *np.cumsum([comb(WIDTH, a) for a in range(WIDTH + 1)]).tolist()]
 
-    @staticmethod
-    def part(codes: np.ndarray, p: int) -> np.ndarray:
-        return (codes >> np.uint64(p * WIDTH)).astype(np.int64) & ((1 << WIDTH) - 1)
-
-    def search(self, query: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and distances of the k nearest rows, equal distances by id; all rows if there are fewer."""
+    def within(self, query: int, far: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows at most `far` bits from the query, and their distances. Such a row differs in at most `(far - p) // PARTS`
+        bits in one part `p` at least, since else it would differ in more than `far` bits."""
         target = np.uint64(query)
-        seen = np.zeros(len(self.codes), dtype=bool)
-        rows, distances = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        counts = np.zeros(PARTS * WIDTH + 1, dtype=np.int64)
-        for radius in range(WIDTH + 1):
-            for p in range(PARTS):
-                values = (int(query) >> (p * WIDTH) & ((1 << WIDTH) - 1)) ^ self.near[radius]
-                low = self.starts[p][values]
-                n = self.starts[p][values + 1] - low
-                total = int(n.sum())
-                if total:
-                    at = self.order[p][np.arange(total) + np.repeat(low - np.cumsum(n) + n, n)]
-                    at = at[~seen[at]]
-                    seen[at] = True
-                    far = np.bitwise_count(self.codes[at] ^ target).astype(np.int64)
-                    rows.append(at)
-                    distances.append(far)
-                    counts += np.bincount(far, minlength=len(counts))
-                covered = PARTS * radius + p
-                if counts[: covered + 1].sum() >= k:
-                    break
-            else:
-                continue
-            break
-        at, far = np.concatenate(rows), np.concatenate(distances)
-        best = np.lexsort((self.ids[at], far))[:k]
-        return self.ids[at[best]], far[best]
+        lookups = [self.ends[min((far - p) // PARTS, WIDTH) + 1] for p in range(PARTS)]
+        if sum(lookups) > min(MOST_LOOKUPS, len(self.codes) // ROWS_PER_LOOKUP):
+            distances = np.bitwise_count(self.codes ^ target)
+            rows = np.flatnonzero(distances <= far)
+            return rows, distances[rows]
+        found = []
+        for p, n in enumerate(lookups):
+            values = (query >> (p * WIDTH) & ((1 << WIDTH) - 1)) ^ self.near[:n]
+            low = self.starts[p][values]
+            n = self.starts[p][values + 1] - low
+            at = np.arange(int(n.sum())) + np.repeat(low - np.cumsum(n) + n, n)
+            distances = np.bitwise_count(self.sorted[p][at] ^ target)
+            close = np.flatnonzero(distances <= far)
+            found.append((self.order[p][at[close]], distances[close]))
+        rows, distances = (np.concatenate(x) for x in zip(*found, strict=True))
+        rows, first = np.unique(rows, return_index=True)
+        return rows, distances[first]
+
+    def search(self, query: int, k: int, far: int = CODE_BITS) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of the k nearest of the rows at most `far` bits away, equal distances by id; all of them if
+        there are fewer."""
+        reach = far if far < CODE_BITS else FIRST_REACH
+        rows, distances = self.within(query, reach)
+        while len(rows) < k and reach < far:
+            reach = min(2 * reach, far)
+            rows, distances = self.within(query, reach)
+        farthest = np.searchsorted(np.cumsum(np.bincount(distances)), k)
+        close = np.flatnonzero(distances <= farthest)
+        rows, distances = rows[close], distances[close]
+        best = np.lexsort((self.ids[rows], distances))[:k]
+        return self.ids[rows[best]], distances[best].astype(np.int64)
 
 
 def _in_blocks(kept: DataFrame, rows: int, asked: DataFrame, queries: int, k: int) -> DataFrame:
-    """The k best of each block of rows for each query: query, neighbor_id and distance."""
-    blocks, query_blocks = -(-rows // ROWS_PER_BLOCK) or 1, -(-queries // QUERIES_PER_BLOCK) or 1
+    """The k best of each block of rows for each query, no farther than its `far`: query, neighbor_id and distance."""
+    blocks = -(-rows // ROWS_PER_BLOCK) or 1
+    query_blocks = max(-(-queries // QUERIES_PER_BLOCK), min(FEW_PAIRS // blocks, queries // FEW_QUERIES)) or 1
 
     def all_of(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -148,11 +161,11 @@ def _in_blocks(kept: DataFrame, rows: int, asked: DataFrame, queries: int, k: in
         return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
     left = kept.select("id", "code", own(blocks, "id", "code").alias("block"), all_of(query_blocks).alias("asked"))
-    right = asked.select("query", all_of(blocks).alias("block"), own(query_blocks, "query").alias("asked"))
+    right = asked.select("query", "far", all_of(blocks).alias("block"), own(query_blocks, "query").alias("asked"))
 
     def search(part: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         index = Index(part["code"].to_numpy(np.int64).view(np.uint64), part["id"].to_numpy(np.int64))
-        out = [(q, *index.search(int(q) % (1 << 64), k)) for q in wanted["query"].tolist()]
+        out = [(q, *index.search(q % (1 << 64), k, far)) for q, far in zip(wanted["query"].tolist(), wanted["far"].tolist(), strict=True)]
         return pd.DataFrame({
             "query": np.repeat(np.array([q for q, _, _ in out], dtype=np.int64), [len(i) for _, i, _ in out]),
             "neighbor_id": np.concatenate([np.zeros(0, np.int64), *(i for _, i, _ in out)]),
@@ -180,7 +193,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     asked = written(named.select("query", F.lit(CODE_BITS).alias("far")).distinct(), "queries")
     rows, left = kept.count(), asked.count()
     cuts = segments(rows)
-    most, radius, full = min(rows, MOST_PROBES), 0, min(rows, k)
+    most, radius, full = min(rows, MOST_PROBES, max(FEW_PROBES, rows // ROWS_PER_PROBE)), 0, min(rows, k)
     done: list[DataFrame] = []
     best = None
     if left and len(cuts) <= most:
@@ -189,7 +202,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         probes = asked.select("query", "far", _values(F.col("query"), cuts, radius)).join(hot, ["segment", "value"], "left")
         probes = probes.select("query", "far", "segment", "value", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
         different = F.col("query").bitwiseXOR(F.col("code"))
-        met = probes.join(index, ["segment", "value", "part"]).where((F.bit_count(different) <= F.col("far")) & _met_first(different, cuts, radius))
+        met = probes.hint("merge").join(index, ["segment", "value", "part"]).where((F.bit_count(different) <= F.col("far")) & _met_first(different, cuts, radius))
         found = met.select("query", F.col("id").alias("neighbor_id"), F.bit_count(different).cast("int").alias("distance"))
         state = _best(found if best is None else best.unionByName(found), k)
         own = Window.partitionBy("query")
@@ -202,7 +215,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         best = state.where("NOT ends").select(*result)
         far = F.when(F.col("n") == full, F.col("farthest")).otherwise(CODE_BITS)
         reached = state.where("rank = 1").select("query", "ends", far.alias("far"))
-        still = asked.select("query").join(reached, "query", "left").where("ends IS NULL OR NOT ends")
+        still = asked.select("query").join(reached.hint("merge"), "query", "left").where("ends IS NULL OR NOT ends")
         asked = written(still.select("query", F.coalesce("far", F.lit(CODE_BITS)).alias("far")), "queries")
         left, radius = asked.count(), radius + 1
     if left:
@@ -212,4 +225,4 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     every = done[0]
     for more in done[1:]:
         every = every.unionByName(more)
-    return named.join(_best(every, k), "query").select("query_id", "neighbor_id", "distance", "rank")
+    return named.join(_best(every, k).hint("merge"), "query").select("query_id", "neighbor_id", "distance", "rank")
