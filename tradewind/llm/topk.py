@@ -102,13 +102,15 @@ class Index:
 
     def __init__(self, codes: np.ndarray, ids: np.ndarray):
         self.codes, self.ids = codes, ids
-        self.sorted, self.order, self.starts = [], [], []
+        # One part after another: rows by value, their codes, and where each value starts.
+        self.order = np.empty(PARTS * len(codes), dtype=np.int32)
+        counts = np.empty((PARTS, 1 << WIDTH), dtype=np.int64)
         for p in range(PARTS):
             values = (codes >> np.uint64(p * WIDTH)).astype(np.uint16)
-            order = np.argsort(values, kind="stable").astype(np.int32)
-            self.order.append(order)
-            self.sorted.append(codes[order])
-            self.starts.append(np.append(0, np.cumsum(np.bincount(values, minlength=1 << WIDTH))))
+            self.order[p * len(codes) : (p + 1) * len(codes)] = np.argsort(values, kind="stable")
+            counts[p] = np.bincount(values, minlength=1 << WIDTH)
+        self.sorted = codes[self.order]
+        self.starts = np.append(0, np.cumsum(counts))
         self.near = np.argsort(np.bitwise_count(np.arange(1 << WIDTH, dtype=np.uint32)), kind="stable")
         self.ends = [0, *np.cumsum([comb(WIDTH, a) for a in range(WIDTH + 1)]).tolist()]
 
@@ -121,18 +123,19 @@ class Index:
             distances = np.bitwise_count(self.codes ^ target)
             rows = np.flatnonzero(distances <= far)
             return rows, distances[rows]
-        found = []
-        for p, n in enumerate(lookups):
-            values = (query >> (p * WIDTH) & ((1 << WIDTH) - 1)) ^ self.near[:n]
-            low = self.starts[p][values]
-            n = self.starts[p][values + 1] - low
-            at = np.arange(int(n.sum())) + np.repeat(low - np.cumsum(n) + n, n)
-            distances = np.bitwise_count(self.sorted[p][at] ^ target)
-            close = np.flatnonzero(distances <= far)
-            found.append((self.order[p][at[close]], distances[close]))
-        rows, distances = (np.concatenate(x) for x in zip(*found, strict=True))
-        rows, first = np.unique(rows, return_index=True)
-        return rows, distances[first]
+        mask = (1 << WIDTH) - 1
+        values = np.concatenate([(self.near[:n] ^ (query >> (p * WIDTH) & mask)) + (p << WIDTH) for p, n in enumerate(lookups)])
+        low = self.starts[values]
+        n = self.starts[values + 1] - low
+        skipped = np.cumsum(n)
+        at = np.repeat(low - skipped + n, n)
+        at += np.arange(len(at))
+        differ = self.sorted[at]
+        differ ^= target
+        distances = np.bitwise_count(differ)
+        close = np.flatnonzero(distances <= far)
+        rows, first = np.unique(self.order[at[close]], return_index=True)
+        return rows, distances[close[first]]
 
     def search(self, query: int, k: int, far: int = CODE_BITS) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the k nearest of the rows at most `far` bits away, equal distances by id; all of them if
